@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, mixing
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, mixing
 from tickerloom.llm.common import table
 
 
@@ -17,11 +17,15 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op7_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op6_jaccard_join, op7_decontaminate)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
@@ -29,4 +33,18 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 """
 
-ORACLE_SQL = {"op3_exact_dedup": OP3_SQL}
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words
+), members AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM members a JOIN members b ON a.m = b.m AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met WHERE 100 * k >= 80 * (na + nb - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON s.doc_id = c.a
+"""
+
+ORACLE_SQL = {"op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
