@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, mixing
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, mixing, quality
 from tickerloom.llm.common import table
 
 
@@ -25,7 +25,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op6_jaccard_join, op7_decontaminate)}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op6_jaccard_join, op7_decontaminate, op8_quality, op10_language_id)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
