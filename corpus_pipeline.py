@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import decontaminate, dedup_exact, mixing
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, mixing, quality
 from tickerloom.llm.common import staged, table
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_exact.keep_first(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
@@ -20,7 +28,13 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.Mix(docs).taken()
 
 
-STAGES = [("exact dedup", exact_dedup), ("benchmark decontamination", decontamination), ("source mix", source_mix)]
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("exact dedup", exact_dedup),
+    ("n-gram jaccard join", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("source mix", source_mix),
+]
 
 #: The quality classifier is learned, and the mix is drawn: SQL can't express them.
 ORACLE_SQL = None

@@ -17,6 +17,8 @@ from tickerloom.llm.common import Words, utf8
 
 DIM = 2048
 SAMPLE = 4000  # documents that the scorer learns from, about
+BIN = 0.4  # value of a bin's feature
+PRIOR = 0.05  # of the texts, as which the first belief in a labeller counts
 PSEUDO = 60  # bytes added to a text's length in the shares, so that a few words say little
 THRESHOLD = 0.5  # posterior of being good from which a text is kept
 # Labellers: a measure, the bound beyond which it votes bad, the bound within which it votes good, words needed. Fixed values.
@@ -113,25 +115,31 @@ def _patterns(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes(measures(batch.column("text"))) @ power)], ["doc_id", "pattern"])
 
 
-def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> dict[int, float]:
-    """Posterior of being good of each pattern: EM for labellers that err independently within a class.
+def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[int, float]:
+    """Posterior of being good of each pattern: EM over good texts and one kind of junk for each labeller.
 
-    It starts from the majority of votes; accuracies are smoothed by one vote of either kind.
+    Labellers err independently within a kind, and no vote says nothing. Each is believed at first to call few good texts
+    bad, most junk of its own kind, and some of the other kinds; that belief weighs PRIOR of the texts, beside the votes.
     """
-    v = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-    good = (1 + (v == 2).sum(1)) / (2 + (v > 0).sum(1))
-    good = np.where((v == 1).sum(1) >= 2, np.minimum(good, 0.3), good)
+    n = len(LABELLERS)
+    v = patterns[:, None] // 3 ** np.arange(n) % 3
+    bad, good = (v == 1).astype(float), (v == 2).astype(float)
+    belief = np.full((n + 1, n), 0.2)
+    belief[np.arange(n), np.arange(n)] = 0.9
+    belief[n] = 0.01
+    kinds = np.c_[0.02 + bad, 0.9 * (1 - bad.max(1, initial=0)) + 0.1]
+    kinds /= kinds.sum(1, keepdims=True)
+    extra = PRIOR * counts.sum() / (n + 1) + 1e-9
     for _ in range(rounds):
-        logs = []
-        for weight in (counts * (1 - good), counts * good):
-            cast = np.array([[(weight * (v[:, j] == k)).sum() for k in range(3)] for j in range(len(LABELLERS))]) + 1
-            cast = cast / cast.sum(1, keepdims=True)
-            logs.append(np.log((weight.sum() + 1) / (counts.sum() + 2)) + sum(np.log(cast[j][v[:, j]]) for j in range(len(LABELLERS))))
-        now = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-        done, good = np.abs(now - good).max(initial=0) < 1e-6, now
+        weight = counts[:, None] * kinds
+        wrong = (weight.T @ bad + extra * belief) / (weight.T @ (bad + good) + extra)
+        logs = np.log((weight.sum(0) + extra) / (weight.sum() + extra * (n + 1))) + bad @ np.log(wrong).T + good @ np.log(1 - wrong).T
+        now = np.exp(logs - logs.max(1, keepdims=True))
+        now /= now.sum(1, keepdims=True)
+        done, kinds = np.abs(now - kinds).max(initial=0) < 1e-6, now
         if done:
             break
-    return dict(zip(patterns.tolist(), good.tolist()))
+    return dict(zip(patterns.tolist(), kinds[:, n].tolist()))
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
@@ -144,9 +152,10 @@ def _grams(raw: np.ndarray) -> np.ndarray:
 def _bins(m: dict[str, np.ndarray]) -> np.ndarray:
     """texts x measures: hashed bins of the measures in the last 256 places."""
     out = np.empty((len(m["words"]), len(MEASURES)), np.int64)
-    for j, name in enumerate(MEASURES):
+    for j, (name, _, _, _, least) in enumerate(LABELLERS):
         x = np.minimum(15, m[name] if name == "mean_length" else m[name] * 20).astype(np.int64)
-        out[:, j] = DIM - 256 + (x * 31 + j * 17) % 256
+        x = np.where(m["words"] < least, 16, x)  # too few words to say
+        out[:, j] = DIM - 256 + (x * 9 + j) % 256
     return out
 
 
@@ -160,7 +169,7 @@ def _features(batches):
         for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
             which, n = np.unique(grams[a : max(a, b - 2)], return_counts=True)
             index.append(np.r_[which, bins[i]])
-            value.append(np.r_[n / (b - a + PSEUDO), np.full(len(MEASURES), 0.2)])
+            value.append(np.r_[n / (b - a + PSEUDO), np.full(len(MEASURES), BIN)])
         pattern = votes(m) @ 3 ** np.arange(len(LABELLERS))
         yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))], ["pattern", "places", "value"])
 
@@ -172,7 +181,7 @@ def fit_scorer(rows: list, posterior: dict[int, float], rounds: int = 300) -> np
         np.add.at(x[i], np.array(r.places, np.int64), r.value)
     if not len(rows):
         return np.zeros(DIM + 1)
-    w, b, momentum, step = np.zeros(DIM), 0.0, np.zeros(DIM + 1), 8.0
+    w, b, momentum, step = np.zeros(DIM), 0.0, np.zeros(DIM + 1), 0.5
     for _ in range(rounds):
         error = (1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40))) - y) / len(y)
         momentum = 0.9 * momentum - step * np.r_[x.T @ error + 1e-4 * w, error.sum()]
@@ -191,7 +200,7 @@ def _scored(weights):
             v = votes(m)
             total = np.r_[0.0, np.cumsum(w[:-1][_grams(raw)])]
             last = np.maximum(off[:-1], off[1:] - 2)
-            z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + 0.2 * w[_bins(m)].sum(1) + w[-1]
+            z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + BIN * w[_bins(m)].sum(1) + w[-1]
             p = np.where(m["words"] > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(v @ 3 ** np.arange(len(LABELLERS))), pa.array((v == 1).sum(1)), pa.array((v == 2).sum(1)), pa.array(p)], ["doc_id", "pattern", "votes_bad", "votes_good", "score"])
 
