@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, mixing, quality
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, mixing, quality, warc
 from tickerloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_groups(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op6_jaccard_join, op7_decontaminate, op8_quality, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op10_language_id)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
@@ -55,4 +59,16 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON s.doc_id = c.a
 """
 
-ORACLE_SQL = {"op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
+OP5_SQL = r"""
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM hashed)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((((instr('0123456789abcdef', substr(h, CAST(i * 5 // 4 + 1 AS BIGINT), 1)) - 1) * 16
+              + (CASE WHEN i * 5 // 4 + 2 > 40 THEN 0 ELSE instr('0123456789abcdef', substr(h, CAST(i * 5 // 4 + 2 AS BIGINT), 1)) - 1 END)) >> CAST(3 - (i * 5) % 4 AS INTEGER)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts
+"""
+
+ORACLE_SQL = {"op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
