@@ -130,3 +130,15 @@ def shingle_sets(column, k: int = 5) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def sliced(batches, column: str = "text", most: int = 4 << 20):
+    """The rows of Arrow batches in slices of about `most` bytes of a text column, so that a task's memory stays bounded. A longer text goes alone."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // most
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import _mix, shingle_sets, staged
+from tickerloom.llm.common import _mix, shingle_sets, sliced, staged
 from tickerloom.llm.components import components
 
 SHINGLE = 5
@@ -39,7 +39,7 @@ def _sent(buckets: int):
     """Rows of two kinds. bucket >= 0: shingles of one bucket, by node. bucket -1: a document's id, node and set size."""
 
     def send(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column("doc_id")
             sets = shingle_sets(batch.column("text"), SHINGLE)
             sizes = np.array([len(s) for s in sets], np.int64)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import crc_mod, utf8
+from tickerloom.llm.common import crc_mod, sliced, utf8
 
 DIM = 1 << 15
 ORDERS = (2, 3)
@@ -66,7 +66,7 @@ def _frequencies(batches):
     """Of each task, in how many texts a feature is, and in the row -1 the number of texts."""
     df, n = np.zeros(DIM, np.int64), 0
     flags = np.zeros(DIM + 1, bool)
-    for batch in batches:
+    for batch in sliced(batches):
         if not batch.num_rows:
             continue
         orders, at, _ = grams(batch.column("text"))
@@ -81,7 +81,7 @@ def _frequencies(batches):
 
 
 def _sampled(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         if not batch.num_rows:
             continue
         orders, at, _ = grams(batch.column("text"))
@@ -139,7 +139,7 @@ def hash_id(doc_id) -> int:
 def _predicted(model):
     def predict(batches):
         labels, table, intercept, temperature = model.value
-        for batch in batches:
+        for batch in sliced(batches):
             if not batch.num_rows:
                 continue
             orders, at, letters = grams(batch.column("text"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import Words, _mix, staged
+from tickerloom.llm.common import _mix, sliced, staged, Words
 
 BLOCK = 64  # words of a block
 SHARD = 65536  # slots of a shard
@@ -89,7 +89,7 @@ def _slots(batches):
 
 
 def _sizes(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         of = Words(batch.column("text")).of
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(np.diff(of).astype(np.int64))], ["doc_id", "source", "size"])
 
@@ -137,14 +137,15 @@ class Mix:
     def pieces(self) -> DataFrame:
         """source_no, block, doc_id, start, size, from_word, words: the part of each row in each block."""
         b = F.lit(self.block)
-        cut = self.rows.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))))
+        cut = self.rows.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {self.block}, (start + size - 1) div {self.block})")))
         low, high = F.greatest(F.col("start"), F.col("block") * b), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
         return cut.select("source_no", "block", "doc_id", "start", "size", (low - F.col("start")).alias("from_word"), (high - low).alias("words"))
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every row."""
         times = self.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-        used = self.pieces().join(times, ["source_no", "block"], "left").groupBy("source_no", "doc_id", "start", "size").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+        # Merge join by hint: the slots come from a small plan, from which Spark would take their number to be small.
+        used = self.pieces().join(times.hint("merge"), ["source_no", "block"], "left").groupBy("source_no", "doc_id", "start", "size").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
         used = used.select("source_no", "doc_id", "size", "taken").unionByName(self.rows.where("size = 0").select("source_no", "doc_id", "size", F.lit(0).cast("long").alias("taken")))
         return used.join(F.broadcast(self.sources), "source_no").select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
@@ -153,7 +154,7 @@ class Mix:
         words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "").alias("all")).dropDuplicates(["doc_id"])
         cut = self.pieces().join(words, "doc_id").select("source_no", "block", "start", F.expr("slice(all, int(from_word) + 1, int(words))").alias("part"))
         blocks = cut.groupBy("source_no", "block").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts")).select("source_no", "block", F.array_join(F.flatten(F.col("parts.part")), " ").alias("text"))
-        return self.slots.join(blocks, ["source_no", "block"]).join(F.broadcast(self.sources), "source_no").select("shard", "slot", "source", "text")
+        return self.slots.join(blocks.hint("merge"), ["source_no", "block"]).join(F.broadcast(self.sources), "source_no").select("shard", "slot", "source", "text")
 
 
 def _slot_count(words: int, target: float, block: int) -> int:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import Words, utf8
+from tickerloom.llm.common import sliced, utf8, Words
 
 DIM = 2048
 SAMPLE = 4000  # documents that the scorer learns from, about
@@ -110,7 +110,7 @@ def votes(m: dict[str, np.ndarray]) -> np.ndarray:
 
 def _patterns(batches):
     power = 3 ** np.arange(len(LABELLERS))
-    for batch in batches:
+    for batch in sliced(batches):
         if batch.num_rows:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes(measures(batch.column("text"))) @ power)], ["doc_id", "pattern"])
 
@@ -160,7 +160,7 @@ def _bins(m: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _features(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         if not batch.num_rows:
             continue
         m = measures(batch.column("text"))
@@ -192,7 +192,7 @@ def fit_scorer(rows: list, posterior: dict[int, float], rounds: int = 300) -> np
 def _scored(weights):
     def score(batches):
         w = weights.value
-        for batch in batches:
+        for batch in sliced(batches):
             if not batch.num_rows:
                 continue
             m = measures(batch.column("text"))
