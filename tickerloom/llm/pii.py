@@ -25,6 +25,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 SAMPLE_DOCS = 60_000  # documents whose candidates teach the field, about
 BELIEF = 0.9  # of a label, from which a free candidate becomes a span
+SAME = 5.0  # weight of two candidates of one form having one label, before learning
 ROUNDS = 12  # of message passing
 NEAR = 200  # characters between neighbours on a chain edge at most
 DIM = 256
@@ -150,8 +151,10 @@ def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, n
                 sums[j, label[i]] += 1
             out.append(sums)
     w, a, b = np.zeros((DIM, k)), np.zeros((k, k)), np.zeros((k, k))
-    w[zlib.crc32(b"bias") % DIM, 0] = 3.0
-    np.fill_diagonal(b, 1.0)
+    bias = zlib.crc32(b"bias") % DIM
+    w[bias, 0] = 4.0  # and not learned: documents labelled by patterns may hold no candidate that is none
+    same = np.diag([0.0] + [SAME] * (k - 1))  # repeats of an entity are mostly entities; few documents say how mostly
+    b = same.copy()
     if not y:
         return w, a, b
     x, y, near, far = np.array(x), np.array(y), np.concatenate(near), np.concatenate(far)
@@ -161,7 +164,8 @@ def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, n
         z = x @ w + near @ a + far @ b
         p = np.exp(z - z.max(1, keepdims=True))
         error = (p / p.sum(1, keepdims=True) - want) / n
-        grads = [x.T @ error + 1e-4 * w, near.T @ error + 1e-3 * a, far.T @ error + 1e-3 * b]
+        grads = [x.T @ error + 1e-4 * w, near.T @ error + 1e-3 * a, far.T @ error + 1e-2 * (b - same)]
+        grads[0][bias] = 0
         momentum = [0.9 * m - 0.3 * g for m, g in zip(momentum, grads)]
         w, a, b = w + momentum[0], a + momentum[1], b + momentum[2]
         a, b = (a + a.T) / 2, (b + b.T) / 2  # an edge has no direction
