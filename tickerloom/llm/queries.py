@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, mixing, pii, quality, warc
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, lmscore, mixing, pii, quality, warc
 from tickerloom.llm.common import table
 
 
@@ -37,11 +37,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.text_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
