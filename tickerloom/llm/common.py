@@ -68,12 +68,12 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a batch of texts. begin, end: byte offsets in `low`; of: for each text, its first word's index (n + 1)."""
 
-    def __init__(self, column):
+    def __init__(self, column, space: np.ndarray = SPACE):
         raw, off = utf8(column)
         n = len(raw)
         self.low = np.zeros(n + 8, np.uint8)  # eight spare bytes, so that a load at the last byte stays inside
         np.take(LOWER, raw, out=self.low[:n])
-        word = ~SPACE[raw]
+        word = ~space[raw]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
         begin = word.copy()
@@ -132,7 +132,7 @@ def shingle_sets(column, k: int = 5) -> list[np.ndarray]:
     return out
 
 
-def sliced(batches, column: str = "text", most: int = 4 << 20):
+def sliced(batches, column: str = "text", most: int = 2 << 20):
     """The rows of Arrow batches in slices of about `most` bytes of a text column, so that a task's memory stays bounded. A longer text goes alone."""
     for batch in batches:
         if not batch.num_rows:

@@ -25,10 +25,9 @@ SHINGLE = 5
 PERCENT = 80  # of the union that two sets share at least
 ORDERS = 3
 STARS = 4  # shingles by which a node finds its centre in the first round
-BUCKET_CHARS = 8_000_000  # characters of text whose shingles one bucket gets, about
+BUCKET_CHARS = 16_000_000  # characters of text whose shingles one bucket gets, about
 HOT_SHARE = 1000
 _SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
-_TOKEN = np.uint64((1 << 40) - 1)
 
 
 def _binary(parts: list[bytes]) -> pa.Array:
@@ -36,19 +35,17 @@ def _binary(parts: list[bytes]) -> pa.Array:
 
 
 def _sent(buckets: int):
-    """Rows of two kinds. bucket >= 0: shingles of one bucket, by node. bucket -1: a document's id, node and set size."""
+    """Rows of two kinds. bucket >= 0: shingles of one bucket, by node. bucket < 0: a document's id, node and set size."""
 
     def send(batches):
         for batch in sliced(batches):
             ids = batch.column("doc_id")
             sets = shingle_sets(batch.column("text"), SHINGLE)
             sizes = np.array([len(s) for s in sets], np.int64)
-            nodes = np.array([_node(s) for s in sets], np.uint64).view(np.int64)
+            nodes = np.array([_node(s) for s in sets], np.uint64)
             k = len(sets)
-            if not k:
-                continue
-            empty = pa.array([b""] * k, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, -1)), ids, pa.array(nodes), pa.array(sizes), empty], ["bucket", "doc_id", "node", "n", "blob"])
+            part = (nodes % np.uint64(buckets)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - part), ids, pa.array(nodes.view(np.int64)), pa.array(sizes), _binary([b""] * k)], ["bucket", "doc_id", "node", "n", "blob"])
             _, once = np.unique(nodes, return_index=True)
             once = once[sizes[once] > 0]
             if not len(once):
@@ -57,14 +54,12 @@ def _sent(buckets: int):
             owner = np.repeat(np.arange(len(once)), sizes[once])
             bucket = (_mix(tokens) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")  # within a bucket by node
-            bucket, owner, tokens = bucket[order], owner[order], tokens[order] & _TOKEN
+            bucket, owner, tokens = bucket[order], owner[order], tokens[order].astype("<u4")
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             blobs = []
             for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
                 who, counts = np.unique(owner[a:b], return_counts=True)
-                low, high = (tokens[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4"), (tokens[a:b] >> np.uint64(32)).astype(np.uint8)
-                head = np.array([len(who), b - a], "<i8")
-                blobs.append(b"".join(x.tobytes() for x in (head, nodes[once[who]], sizes[once[who]].astype("<i4"), counts.astype("<i4"), low, high)))
+                blobs.append(_packed(nodes[once[who]], counts, tokens[a:b]))
             k = len(cuts)
             none = pa.nulls(k, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), none, none, none, _binary(blobs)], ["bucket", "doc_id", "node", "n", "blob"])
@@ -72,73 +67,91 @@ def _sent(buckets: int):
     return send
 
 
-def _node(s: np.ndarray) -> int:
-    """Identity of a set: 64 bits over its sorted members and its size."""
-    with np.errstate(over="ignore"):
-        return int(_mix(np.bitwise_xor.reduce(_mix(s + np.uint64(len(s)))) + np.add.reduce(_mix(s ^ np.uint64(_SEEDS[0]))) * np.uint64(31) + np.array([len(s)], np.uint64))[0])
+def _packed(nodes: np.ndarray, counts: np.ndarray, *members: np.ndarray) -> bytes:
+    """Nodes with so many members each, and the members' columns (their kinds are fixed by the reader)."""
+    head = np.array([len(nodes), len(members[0])], "<i8")
+    return b"".join(x.tobytes() for x in (head, nodes.astype("<u8"), counts.astype("<u4"), *members))
 
 
-def _read(blob: bytes):
+def _unpacked(blob: bytes, *kinds: str) -> tuple[np.ndarray, ...]:
+    """The node of each member, and the members' columns."""
     k, m = np.frombuffer(blob, "<i8", 2)
     at, out = 16, []
-    for kind, n in (("<i8", k), ("<i4", k), ("<i4", k), ("<u4", m), ("u1", m)):
+    for kind, n in (("<u8", k), ("<u4", k), *((x, m) for x in kinds)):
         out.append(np.frombuffer(blob, kind, n, at))
         at += out[-1].nbytes
-    nodes, sizes, counts, low, high = out
-    return np.repeat(nodes, counts), np.repeat(sizes, counts), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+    return np.repeat(out[0], out[1]), *out[2:]
+
+
+def _node(s: np.ndarray) -> int:
+    """Identity of a set: 64 bits over its sorted members and its size."""
+    with np.errstate(over="ignore"):
+        return int(_mix(np.bitwise_xor.reduce(_mix(s + np.uint64(len(s)))) + np.add.reduce(_mix(s ^ np.uint64(_SEEDS[0]))) * np.uint64(31) + np.array([len(s)], np.uint64))[0])
+
 
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
 
-def _counted(groups: int):
+
+def _counted(buckets: int):
     def count(key, table):
-        """Of one bucket, the shingles that at least two nodes have, with a code of how many; as blobs by group of nodes."""
+        """Of a bucket, the shingles that at least two nodes have, with a code of how many, as blobs by part of the nodes.
+
+        Of documents, their rows, and their nodes' set sizes as a blob of their part.
+        """
         bucket = key[0].as_py()
-        node, size, token = (np.concatenate(x) for x in zip(*map(_read, table.column("blob").to_pylist())))
+        if bucket < 0:
+            node, n = table.column("node").to_numpy().view(np.uint64), table.column("n").to_numpy()
+            node, first = np.unique(node, return_index=True)
+            sizes = _packed(node, np.ones(len(node)), n[first].astype("<u4"))
+            none = pa.nulls(1, pa.int64())
+            head = pa.table({"kind": pa.array(["sizes"]), "part": pa.array([-1 - bucket], pa.int64()), "doc_id": none, "node": none, "n": none, "blob": _binary([sizes])})
+            k = len(table)
+            rows = pa.table({"kind": pa.array(["document"] * k), "part": pa.nulls(k, pa.int64()), "doc_id": table.column("doc_id"), "node": table.column("node"), "n": table.column("n"), "blob": pa.nulls(k, pa.binary())})
+            return pa.concat_tables([head, rows])
+        node, token = (np.concatenate(x) for x in zip(*(_unpacked(x, "<u4") for x in table.column("blob").to_pylist())))
         order = np.argsort(token, kind="stable")
         token = token[order]
         same = np.r_[False, token[1:] == token[:-1]]
         shared = same | np.r_[same[1:], False]
-        order, token = order[shared], token[shared]
-        node, size = node[order], size[order]
+        node, token = node[order[shared]], token[shared]
         order = np.lexsort((node, token))
-        node, size, token = node[order], size[order], token[order]
+        node, token = node[order], token[order]
         fresh = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])][: len(token)]
-        node, size, token = node[fresh], size[fresh], token[fresh]
-        first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+        node, token = node[fresh], token[fresh]
+        first = _runs(token)
         df = np.diff(np.r_[first, len(token)])
         df = np.repeat(df, df)
-        node, size, token, df = node[df > 1], size[df > 1], token[df > 1], df[df > 1]
+        node, token, df = node[df > 1], token[df > 1], df[df > 1]
         code = np.frexp(df.astype(np.float64))[1].astype(np.uint8)
-        token = token | np.uint64(bucket % (1 << 22)) << np.uint64(40)
-        part = (node.view(np.uint64) % np.uint64(groups)).astype(np.int64)
+        token = token.astype(np.uint64) | np.uint64(bucket % (1 << 31)) << np.uint64(32)
+        part = (node % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((node, part))
-        node, size, token, code, part = node[order], size[order], token[order], code[order], part[order]
-        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+        node, token, code, part = node[order], token[order], code[order], part[order]
+        cuts = _runs(part)
         blobs = []
         for a, b in zip(cuts, [*cuts[1:], len(part)]):
-            run = np.flatnonzero(np.r_[True, node[a + 1 : b] != node[a : b - 1]]) + a
-            head = np.array([len(run), b - a], "<i8")
-            blobs.append(b"".join(x.tobytes() for x in (head, node[run], size[run].astype("<i4"), np.diff(np.r_[run, b]).astype("<i4"), token[a:b].astype("<u8"), code[a:b])))
-        return pa.table({"part": pa.array(part[cuts], pa.int64()), "blob": _binary(blobs)})
+            run = _runs(node[a:b])
+            blobs.append(_packed(node[a:b][run], np.diff(np.r_[run, b - a]), token[a:b].astype("<u8"), code[a:b]))
+        k = len(cuts)
+        none = pa.nulls(k, pa.int64())
+        return pa.table({"kind": pa.array(["shared"] * k, pa.string()), "part": pa.array(part[cuts], pa.int64()), "doc_id": none, "node": none, "n": none, "blob": _binary(blobs)})
 
     return count
 
 
 def _candidates(key, table):
-    """Of one group of nodes, those with a shared shingle in their prefix: the shared shingles, and each order's prefix."""
-    parts = []
-    for blob in table.column("blob").to_pylist():
-        k, m = np.frombuffer(blob, "<i8", 2)
-        at, out = 16, []
-        for kind, n in (("<i8", k), ("<i4", k), ("<i4", k), ("<u8", m), ("u1", m)):
-            out.append(np.frombuffer(blob, kind, n, at))
-            at += out[-1].nbytes
-        parts.append((np.repeat(out[0], out[2]), np.repeat(out[1], out[2]), out[3], out[4]))
-    node, size, token, code = (np.concatenate(x) for x in zip(*parts))
+    """Of one part of the nodes, those with a shared shingle in their prefix: the shared shingles, and each order's prefix."""
+    kinds, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
+    known, size = (np.concatenate(x) for x in zip(*(_unpacked(b, "<u4") for k, b in zip(kinds, blobs) if k == "sizes")))
+    parts = [_unpacked(b, "<u8", "u1") for k, b in zip(kinds, blobs) if k == "shared"] or [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8))]
+    node, token, code = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(node, kind="stable")
-    node, size, token, code = node[order], size[order], token[order], code[order]
-    cuts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]][: len(node)])
+    node, token, code = node[order], token[order], code[order]
+    cuts = _runs(node)
     ends = np.r_[cuts[1:], len(node)].astype(np.int64)
-    n = size[cuts].astype(np.int64)
+    n = size[np.searchsorted(known, node[cuts])].astype(np.int64)
     prefix = n - (PERCENT * n + 99) // 100 + 1 - (n - (ends - cuts))  # without the shingles of one node
     keep = np.flatnonzero(prefix > 0)
     tokens, orders = [], [[] for _ in range(ORDERS)]
@@ -153,7 +166,7 @@ def _candidates(key, table):
         flat = np.concatenate(x) if x else np.zeros(0, np.int64)
         return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(y) for y in x])].astype(np.int32)), pa.array(flat))
 
-    columns = {"node": pa.array(node[cuts[keep]], pa.int64()), "n": pa.array(n[keep], pa.int64()), "tokens": lists(tokens)}
+    columns = {"node": pa.array(node[cuts[keep]].view(np.int64), pa.int64()), "n": pa.array(n[keep], pa.int64()), "tokens": lists(tokens)}
     return pa.table(columns | {f"prefix{k}": lists(orders[k]) for k in range(ORDERS)})
 
 
@@ -175,11 +188,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(16, chars // BUCKET_CHARS)
     sent = rows.mapInArrow(_sent(buckets), "bucket long, doc_id long, node long, n long, blob binary")
-    sent = staged(sent, "near-sent", "lz4")
-    info = sent.where("bucket = -1").select("doc_id", "node", "n")
-    blobs = sent.where("bucket >= 0").select("bucket", "blob").groupBy("bucket").applyInArrow(_counted(buckets), "part long, blob binary")
+    counted = sent.groupBy("bucket").applyInArrow(_counted(buckets), "kind string, part long, doc_id long, node long, n long, blob binary")
+    counted = staged(counted, "near-counted")
+    info = counted.where("kind = 'document'").select("doc_id", "node", "n")
     kind = "node long, n long, tokens array<long>, " + ", ".join(f"prefix{k} array<long>" for k in range(ORDERS))
-    nodes = staged(blobs.groupBy("part").applyInArrow(_candidates, kind), "near-nodes")
+    nodes = staged(counted.where("kind <> 'document'").select("kind", "part", "blob").groupBy("part").applyInArrow(_candidates, kind), "near-nodes")
     roots = _roots(nodes)
 
     n = info.count()
@@ -197,22 +210,31 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def _roots(nodes: DataFrame) -> DataFrame:
     """node, root of all nodes that are linked with another."""
-    # Round 1: each node against the least node that shares one of a few of its prefix shingles.
-    few = nodes.select("node", "n", F.explode(F.slice("prefix0", 1, STARS)).alias("token"))
-    centre = few.groupBy("token").agg(F.min("node").alias("b"))
-    stars = few.join(centre, "token").groupBy("node").agg(F.min("b").alias("b")).where("node <> b").select(F.col("node").alias("a"), "b")
+    # Round 1: each node against one centre, the node with the fewest shingles of its own among those that share one of a
+    # few of its prefix shingles.
+    few = nodes.select("node", (F.col("n") - F.size("tokens")).alias("own"), F.explode(F.slice("prefix0", 1, STARS)).alias("token"))
+    centre = few.groupBy("token").agg(F.min(F.struct("own", F.col("node").alias("b"))).alias("c"))
+    stars = few.join(centre, "token").groupBy("node").agg(F.min("c").alias("c")).where("node <> c.b").select(F.col("node").alias("a"), F.col("c.b").alias("b"))
     found = staged(_linked(stars, nodes), "near-links")
     roots = staged(components(found), "near-roots")
 
-    # Round 2: all pairs of different components whose prefixes meet under every order.
+    # Round 2: all pairs of different components whose prefixes meet under every order. `left`: members of the set from the
+    # shared one on. At the first that two sets share no more than that can be shared, which bounds their similarity; a
+    # posting that the bound rules out for the smallest set of its shingle can't be the first of any linked pair.
     pairs = None
     for k in range(ORDERS):
-        posts = nodes.select("node", "n", F.explode(f"prefix{k}").alias("token")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        posts = nodes.select("node", "n", F.posexplode(f"prefix{k}").alias("at", "token"), F.size("tokens").alias("shared"))
+        posts = posts.select("token", "node", "n", (F.col("shared") - F.col("at")).alias("left")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        posts = staged(posts, "near-posts")
+        least = posts.groupBy("token").agg(F.min("n").alias("least"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token", "least")
+        posts = posts.join(least, "token").where(_may(F.col("left"), F.col("n") + F.greatest("least", "left"))).drop("least")
+        posts = staged(posts, "near-posts")
         mixed = posts.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-        posts = posts.join(mixed, "token", "left_semi")
-        a, b = posts.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a")), posts.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
-        near = (F.lit(100) * F.col("n_a") >= F.lit(PERCENT) * F.col("n_b")) & (F.lit(100) * F.col("n_b") >= F.lit(PERCENT) * F.col("n_a"))
-        met = a.join(b, (a.token == b.token) & (F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b")) & near).select("a", "b").distinct()
+        posts = staged(posts.join(mixed, "token", "left_semi"), "near-posts")
+        side = lambda x: posts.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "left", "root")])  # noqa: B023, E731
+        a, b = side("a"), side("b")
+        may = _may(F.least("left_a", "left_b"), F.col("n_a") + F.col("n_b"))
+        met = a.join(b, (a.token == b.token) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & may).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
         pairs = met if pairs is None else pairs.join(met, ["a", "b"], "left_semi")
     more = staged(_linked(staged(pairs, "near-pairs"), nodes), "near-links")
     if more.isEmpty():
@@ -220,6 +242,11 @@ def _roots(nodes: DataFrame) -> DataFrame:
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
+def _may(inter, sizes):
+    """Whether sets of so many members together, sharing at most so many, can be similar enough."""
+    return F.lit(100) * inter >= F.lit(PERCENT) * (sizes - inter)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs without those whose component has a smaller doc_id. Of repeated rows of one doc_id, all or none stay."""
     lost = near_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()

@@ -34,7 +34,7 @@ LABELLERS = (
     ("mean_length", "outside", (2.5, 14.0), (3.0, 12.0), 5),
 )
 MEASURES = [x[0] for x in LABELLERS]
-_CLASS = np.zeros(256, np.int64)
+_CLASS = np.zeros(256, np.uint8)
 _CLASS[97:123] = 1
 _CLASS[65:91] = 2
 _CLASS[48:58] = 3
@@ -143,10 +143,10 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
-    c = _CLASS[raw]
-    out = np.zeros(len(c), np.int64)
-    out[:-2] = (c[:-2] * 38 + c[1:-1]) * 38 + c[2:]
-    return (out * 2654435761 >> 7) % (DIM - 256)
+    c = _CLASS[raw].astype(np.uint32)
+    out = np.zeros(len(c), np.uint32)
+    out[:-2] = (c[:-2] * np.uint32(38) + c[1:-1]) * np.uint32(38) + c[2:]
+    return (out * np.uint32(2654435761) >> np.uint32(7)) % np.uint32(DIM - 256)
 
 
 def _bins(m: dict[str, np.ndarray]) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, lmscore, mixing, pii, quality, warc
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, mixing, pii, quality, warc
 from tickerloom.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.licences(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
