@@ -44,10 +44,10 @@ query("agg_sent_volatility", f"WITH {_VOL} SELECT symbol, date, round(volatility
 query("win_sent_momentum", f"WITH {_MOM} SELECT symbol, date, round(momentum, 5) AS momentum FROM mo", "tweets")(lambda t: _rounded(S.momentum(t.tweets), "momentum", digits=5))
 _ALL = ", ".join([_bucket_sql(5), _bucket_sql(10), _bucket_sql(60), _DAILY, _VOL, _MOM])
 query("agg_sent_summary", f"""WITH {_ALL}, base AS (SELECT symbol, {_DAY} AS date, count(*) AS tweet_count, coalesce(avg(sentiment_confidence), 0) AS avg_confidence FROM tweets GROUP BY ALL)
-SELECT symbol, date, tweet_count, round(avg_confidence, 5) AS avg_confidence, round(coalesce(sent_5m, 0), 5) AS sent_5m, round(coalesce(sent_10m, 0), 5) AS sent_10m, round(coalesce(sent_60m, 0), 5) AS sent_60m, round(coalesce(sent_daily, 0), 5) AS sent_daily,
+SELECT symbol, date, tweet_count, round(avg_confidence, 3) AS avg_confidence, round(coalesce(sent_5m, 0), 5) AS sent_5m, round(coalesce(sent_10m, 0), 5) AS sent_10m, round(coalesce(sent_60m, 0), 5) AS sent_60m, round(coalesce(sent_daily, 0), 5) AS sent_daily,
 round(coalesce(momentum, 0), 5) AS momentum, round(coalesce(volatility, 0), 5) AS volatility
 FROM base LEFT JOIN s5 USING (symbol, date) LEFT JOIN s10 USING (symbol, date) LEFT JOIN s60 USING (symbol, date) LEFT JOIN sd USING (symbol, date) LEFT JOIN mo USING (symbol, date) LEFT JOIN sv USING (symbol, date)""", "tweets")(
-    lambda t: _rounded(S.summary(t.tweets), "avg_confidence", "sent_5m", "sent_10m", "sent_60m", "sent_daily", "momentum", "volatility", digits=5)
+    lambda t: _rounded(S.summary(t.tweets), "sent_5m", "sent_10m", "sent_60m", "sent_daily", "momentum", "volatility", digits=5).withColumn("avg_confidence", F.round("avg_confidence", 3))
 )
 _CAL = "cal AS (SELECT s.symbol, d.date FROM (SELECT DISTINCT symbol FROM tweets) s CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT min(created_at) FROM tweets)::DATE - 2, (SELECT max(created_at) FROM tweets)::DATE + 2, INTERVAL 1 DAY)) AS DATE) AS date) d)"
 _JOIN = f"WITH {_bucket_sql(5)}, {_bucket_sql(10)}, {_bucket_sql(60)}, {_DAILY}, {_CAL} SELECT symbol, date, " + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in ("sent_5m", "sent_10m", "sent_60m", "sent_daily")) + " FROM cal LEFT JOIN s5 USING (symbol, date) LEFT JOIN s10 USING (symbol, date) LEFT JOIN s60 USING (symbol, date) LEFT JOIN sd USING (symbol, date)"
@@ -112,20 +112,23 @@ query("agg_expected_count", "SELECT count(DISTINCT symbol) AS actual, 46 AS expe
 query("agg_process_summary", "SELECT status, count(*) AS n, count(DISTINCT job_name) AS jobs, array_to_string(list_sort(list(DISTINCT job_name)), ',') AS names FROM trials GROUP BY status", "trials")(lambda t: t.trials.groupBy("status").agg(F.count("*").alias("n"), F.countDistinct("job_name").alias("jobs"), F.array_join(F.sort_array(F.collect_set("job_name")), ",").alias("names")))
 
 # Trials
-_O = F.col("objective_value")
+def _o():
+    return F.col("objective_value")
+
+
 _AT = (0.55, 0.80, 0.95, 0.999)
 query("agg_trial_stats", "SELECT job_name, count(objective_value) AS n, round(avg(objective_value), 6) AS mean, min(objective_value) AS lo, max(objective_value) AS hi, " + ", ".join(f"count(*) FILTER (WHERE objective_value >= {x}) AS ge_{str(x)[2:]}" for x in _AT) + " FROM trials GROUP BY job_name", "trials")(
-    lambda t: t.trials.groupBy("job_name").agg(F.count(_O).alias("n"), F.round(F.avg(_O), 6).alias("mean"), F.min(_O).alias("lo"), F.max(_O).alias("hi"), *[F.count_if(_O >= x).alias(f"ge_{str(x)[2:]}") for x in _AT])
+    lambda t: t.trials.groupBy("job_name").agg(F.count(_o()).alias("n"), F.round(F.avg(_o()), 6).alias("mean"), F.min(_o()).alias("lo"), F.max(_o()).alias("hi"), *[F.count_if(_o() >= x).alias(f"ge_{str(x)[2:]}") for x in _AT])
 )
 query("agg_trials_by_source", "SELECT data_source, array_to_string(list_sort(list(DISTINCT job_name)), ',') AS jobs FROM trials GROUP BY data_source", "trials")(lambda t: t.trials.groupBy("data_source").agg(F.array_join(F.sort_array(F.collect_set("job_name")), ",").alias("jobs")))
 query("agg_trial_summary", "SELECT count(*) AS total, count(objective_value) AS completed, round(100e0 * count(objective_value) / count(*), 4) AS success_pct, max(objective_value) AS best, min(objective_value) AS worst, round(avg(objective_value), 6) AS mean, round(median(objective_value), 6) AS mid, round(stddev_samp(objective_value), 6) AS std FROM trials", "trials")(
-    lambda t: t.trials.agg(F.count("*").alias("total"), F.count(_O).alias("completed"), F.round(100.0 * F.count(_O) / F.count("*"), 4).alias("success_pct"), F.max(_O).alias("best"), F.min(_O).alias("worst"), F.round(F.avg(_O), 6).alias("mean"), F.round(F.median(_O), 6).alias("mid"), F.round(F.stddev_samp(_O), 6).alias("std"))
+    lambda t: t.trials.agg(F.count("*").alias("total"), F.count(_o()).alias("completed"), F.round(100.0 * F.count(_o()) / F.count("*"), 4).alias("success_pct"), F.max(_o()).alias("best"), F.min(_o()).alias("worst"), F.round(F.avg(_o()), 6).alias("mean"), F.round(F.median(_o()), 6).alias("mid"), F.round(F.stddev_samp(_o()), 6).alias("std"))
 )
 query("agg_trial_upper_median", "SELECT job_name, list_sort(list(objective_value) FILTER (WHERE objective_value IS NOT NULL))[count(objective_value) // 2 + 1] AS mid FROM trials GROUP BY job_name", "trials")(
-    lambda t: t.trials.groupBy("job_name").agg(F.sort_array(F.collect_list(_O)).alias("all")).select("job_name", F.try_element_at("all", F.expr("int(size(all) div 2 + 1)")).alias("mid"))
+    lambda t: t.trials.groupBy("job_name").agg(F.sort_array(F.collect_list(_o())).alias("all")).select("job_name", F.try_element_at("all", F.expr("int(size(all) div 2 + 1)")).alias("mid"))
 )
 query("agg_threshold_table", " UNION ALL ".join(f"SELECT {x}e0 AS threshold, count(*) FILTER (WHERE objective_value >= {x}) AS n, count(objective_value) AS total, round(100e0 * count(*) FILTER (WHERE objective_value >= {x}) / count(objective_value), 4) AS pct FROM trials" for x in _AT), "trials")(
-    lambda t: t.trials.agg(F.count(_O).alias("total"), *[F.count_if(_O >= x).alias(f"n{i}") for i, x in enumerate(_AT)]).select("total", F.explode(F.array(*[F.struct(F.lit(x).alias("threshold"), F.col(f"n{i}").alias("n")) for i, x in enumerate(_AT)])).alias("r")).select("r.threshold", "r.n", "total", F.round(100.0 * F.col("r.n") / F.col("total"), 4).alias("pct"))
+    lambda t: t.trials.agg(F.count(_o()).alias("total"), *[F.count_if(_o() >= x).alias(f"n{i}") for i, x in enumerate(_AT)]).select("total", F.explode(F.array(*[F.struct(F.lit(x).alias("threshold"), F.col(f"n{i}").alias("n")) for i, x in enumerate(_AT)])).alias("r")).select("r.threshold", "r.n", "total", F.round(100.0 * F.col("r.n") / F.col("total"), 4).alias("pct"))
 )
 _STATES = ("Completed", "Failed", "InProgress")
 query("agg_status_counters", "SELECT job_name, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s.lower()}" for s in _STATES) + ", count(*) AS total FROM trials GROUP BY job_name", "trials")(
@@ -202,15 +205,16 @@ query("join_completeness", "WITH have AS (SELECT DISTINCT symbol, CASE tweet_id
     lambda t: t.tweets.select("symbol").distinct().crossJoin(F.broadcast(t.spark.createDataFrame([("5min",), ("10min",), ("60min",)], "frame string"))).join(t.tweets.where("sentiment_confidence > 0.99").select("symbol", F.when(F.col("tweet_id") % 3 == 0, "5min").when(F.col("tweet_id") % 3 == 1, "10min").otherwise("60min").alias("frame")).distinct(), ["symbol", "frame"], "left_anti")
 )
 query("join_compare_versions", "SELECT a.job_name, a.v AS v1, b.v AS v2, round(b.v - a.v, 6) AS change FROM (SELECT job_name, max(objective_value) AS v FROM trials WHERE trial_id % 2 = 0 GROUP BY 1) a JOIN (SELECT job_name, max(objective_value) AS v FROM trials WHERE trial_id % 2 = 1 GROUP BY 1) b USING (job_name)", "trials")(
-    lambda t: t.trials.where("trial_id % 2 = 0").groupBy("job_name").agg(F.max(_O).alias("v1")).join(t.trials.where("trial_id % 2 = 1").groupBy("job_name").agg(F.max(_O).alias("v2")), "job_name").withColumn("change", F.round(F.col("v2") - F.col("v1"), 6))
+    lambda t: t.trials.where("trial_id % 2 = 0").groupBy("job_name").agg(F.max(_o()).alias("v1")).join(t.trials.where("trial_id % 2 = 1").groupBy("job_name").agg(F.max(_o()).alias("v2")), "job_name").withColumn("change", F.round(F.col("v2") - F.col("v1"), 6))
 )
 
 # Windows
-_BY_SYM = W.partitionBy("symbol").orderBy("date")
+def _by_symbol():
+    return W.partitionBy("symbol").orderBy("date")
 
 
 def _full(n):
-    w = _BY_SYM.rowsBetween(-(n - 1), 0)
+    w = _by_symbol().rowsBetween(-(n - 1), 0)
     return F.coalesce(F.when(F.count("close").over(w) == n, F.avg("close").over(w)), F.lit(0.0))
 
 
@@ -227,17 +231,17 @@ _MID, _DEV = f"CASE WHEN count(close) OVER {_W20} = 20 THEN avg(close) OVER {_W2
 
 @query("win_bollinger", f"SELECT symbol, date, round({_MID}, 4) AS mid, round({_MID} + 2 * ({_DEV}), 4) AS upper, round({_MID} - 2 * ({_DEV}), 4) AS lower FROM bars", "bars")
 def win_bollinger(t):
-    w, close = _BY_SYM.rowsBetween(-19, 0), F.col("close")
+    w, close = _by_symbol().rowsBetween(-19, 0), F.col("close")
     ready = F.count("close").over(w) == 20
     mid, dev = F.when(ready, F.avg("close").over(w)).otherwise(close), F.when(ready, F.stddev_samp("close").over(w)).otherwise(0.02 * close)
     return t.bars.select("symbol", "date", F.round(mid, 4).alias("mid"), F.round(mid + 2 * dev, 4).alias("upper"), F.round(mid - 2 * dev, 4).alias("lower"))
 
 
 query("win_news_lookback", "SELECT symbol, date, round(CASE WHEN count(volume) OVER w = 3 THEN avg(volume) OVER w ELSE 0 END, 4) AS news FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", "bars")(
-    lambda t: t.bars.select("symbol", "date", F.round(F.when(F.count("volume").over(_BY_SYM.rowsBetween(-2, 0)) == 3, F.avg("volume").over(_BY_SYM.rowsBetween(-2, 0))).otherwise(0.0), 4).alias("news"))
+    lambda t: t.bars.select("symbol", "date", F.round(F.when(F.count("volume").over(_by_symbol().rowsBetween(-2, 0)) == 3, F.avg("volume").over(_by_symbol().rowsBetween(-2, 0))).otherwise(0.0), 4).alias("news"))
 )
 query("win_cum_return", f"WITH {_NEXT} SELECT symbol, date, round(ln(100) + sum(ln(1 + coalesce(r, 0))) OVER (PARTITION BY symbol ORDER BY date), 5) AS log_price FROM nx", "bars")(
-    lambda t: _next_return(t.bars).select("symbol", "date", F.round(F.log(F.lit(100.0)) + F.sum(F.log1p(F.coalesce("r", F.lit(0.0)))).over(_BY_SYM), 5).alias("log_price"))
+    lambda t: _next_return(t.bars).select("symbol", "date", F.round(F.log(F.lit(100.0)) + F.sum(F.log1p(F.coalesce("r", F.lit(0.0)))).over(_by_symbol()), 5).alias("log_price"))
 )
 query("win_sequences")(lambda t: O.sequences(t.bars, ["open", "close", "volume"], ["symbol"], ["date"]))
 query("win_ordered", "SELECT symbol, count(*) FILTER (WHERE d < p) = 0 AS ordered FROM (SELECT symbol, date AS d, lag(date) OVER (PARTITION BY symbol ORDER BY volume, date) AS p FROM bars) GROUP BY symbol", "bars")(
@@ -259,7 +263,7 @@ query("win_walk_forward", "WITH f AS (SELECT CAST(fold AS INT) AS fold, a + to_m
 
 @query("win_lagged_returns", "WITH r AS (SELECT symbol, date, " + ", ".join(f"lag(close, 1) OVER w / lag(close, {k + 1}) OVER w - 1 AS r{k}" for k in (1, 3, 5)) + " FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)) SELECT a.symbol, a.date, round(a.r1, 5) AS ret_1d_lag1, round(a.r3, 5) AS ret_3d_lag1, round(a.r5, 5) AS ret_5d_lag1, round(a.r1 - b.r1, 5) AS relative FROM r a LEFT JOIN r b ON b.symbol = 'S0' AND a.date = b.date", "bars")
 def win_lagged_returns(t):
-    r = t.bars.select("symbol", "date", *[(F.lag("close", 1).over(_BY_SYM) / F.lag("close", k + 1).over(_BY_SYM) - 1).alias(f"r{k}") for k in (1, 3, 5)])
+    r = t.bars.select("symbol", "date", *[(F.lag("close", 1).over(_by_symbol()) / F.lag("close", k + 1).over(_by_symbol()) - 1).alias(f"r{k}") for k in (1, 3, 5)])
     index = r.where("symbol = 'S0'").select("date", F.col("r1").alias("base"))
     return r.join(index, "date", "left").select("symbol", "date", *[F.round(f"r{k}", 5).alias(f"ret_{k}d_lag1") for k in (1, 3, 5)], F.round(F.col("r1") - F.col("base"), 5).alias("relative"))
 
@@ -267,7 +271,7 @@ def win_lagged_returns(t):
 # Order, limits, sets
 query("sort_by_date", "SELECT symbol, date FROM bars ORDER BY date, symbol", "bars")(lambda t: t.bars.select("symbol", "date").orderBy("date", "symbol"))
 query("topk_trials", "SELECT trial_id, objective_value, row_number() OVER (ORDER BY objective_value DESC, trial_id) AS rank FROM trials WHERE objective_value IS NOT NULL ORDER BY objective_value DESC, trial_id LIMIT 10", "trials")(
-    lambda t: t.trials.where(_O.isNotNull()).orderBy(F.desc("objective_value"), "trial_id").limit(10).select("trial_id", "objective_value", F.row_number().over(W.orderBy(F.desc("objective_value"), "trial_id")).alias("rank"))
+    lambda t: t.trials.where(_o().isNotNull()).orderBy(F.desc("objective_value"), "trial_id").limit(10).select("trial_id", "objective_value", F.row_number().over(W.orderBy(F.desc("objective_value"), "trial_id")).alias("rank"))
 )
 query("topk_universe", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10")(lambda t: t.part.orderBy(F.desc("p_retailprice"), "p_partkey").limit(10).select("p_partkey", "p_retailprice"))
 query("topk_features", f"SELECT feature, round(avg(abs(value)), 4) AS importance FROM {_LB} GROUP BY feature HAVING avg(abs(value)) >= 0.01 ORDER BY 2 DESC, 1 LIMIT 10", "bars")(lambda t: M.long_form(t.bars, list(_NUM)).groupBy("feature").agg(F.round(F.avg(F.abs("value")), 4).alias("importance")).where("importance >= 0.01").orderBy(F.desc("importance"), "feature").limit(10))
@@ -275,9 +279,9 @@ query("sort_newest_jobs", "SELECT job_name, max(creation_time) AS newest FROM tr
 query("sort_largest_artifacts", "SELECT path, size FROM artifacts ORDER BY size DESC, path", "artifacts")(lambda t: t.artifacts.select("path", "size").orderBy(F.desc("size"), "path"))
 query("topk_recent", "SELECT path, modified FROM artifacts ORDER BY modified DESC LIMIT 5", "artifacts")(lambda t: t.artifacts.select("path", "modified").orderBy(F.desc("modified")).limit(5))
 query("latest_row", "SELECT max(modified) AS modified, max_by(path, modified) AS path FROM artifacts", "artifacts")(lambda t: t.artifacts.agg(F.max("modified").alias("modified"), F.max_by("path", "modified").alias("path")))
-query("best_model", "SELECT job_name, max(objective_value) AS best, arg_max(trial_id, (objective_value, -trial_id)) AS trial_id FROM trials WHERE objective_value IS NOT NULL GROUP BY job_name", "trials")(lambda t: t.trials.where(_O.isNotNull()).groupBy("job_name").agg(F.max(_O).alias("best"), F.max_by("trial_id", F.struct("objective_value", -F.col("trial_id"))).alias("trial_id")))
+query("best_model", "SELECT job_name, max(objective_value) AS best, arg_max(trial_id, (objective_value, -trial_id)) AS trial_id FROM trials WHERE objective_value IS NOT NULL GROUP BY job_name", "trials")(lambda t: t.trials.where(_o().isNotNull()).groupBy("job_name").agg(F.max(_o()).alias("best"), F.max_by("trial_id", F.struct("objective_value", -F.col("trial_id"))).alias("trial_id")))
 query("latest_qualifying_run", "SELECT job_name, newest FROM (SELECT job_name, max(creation_time) AS newest, count(objective_value) AS done FROM trials WHERE starts_with(data_source, 's3://') GROUP BY job_name) WHERE done >= 100 ORDER BY newest DESC, job_name LIMIT 1", "trials")(
-    lambda t: t.trials.where(F.startswith("data_source", F.lit("s3://"))).groupBy("job_name").agg(F.max("creation_time").alias("newest"), F.count(_O).alias("done")).where("done >= 100").orderBy(F.desc("newest"), "job_name").limit(1).select("job_name", "newest")
+    lambda t: t.trials.where(F.startswith("data_source", F.lit("s3://"))).groupBy("job_name").agg(F.max("creation_time").alias("newest"), F.count(_o()).alias("done")).where("done >= 100").orderBy(F.desc("newest"), "job_name").limit(1).select("job_name", "newest")
 )
 query("limit_files", "SELECT path FROM artifacts ORDER BY path LIMIT 20", "artifacts")(lambda t: t.artifacts.select("path").orderBy("path").limit(20))
 query("src_sample_head", "SELECT row_id, f_median FROM features ORDER BY row_id LIMIT 1000", "features")(lambda t: t.features.select("row_id", "f_median").orderBy("row_id").limit(1000))

@@ -142,7 +142,7 @@ for _n, _c in (("src_jsonl", "none"), ("src_jsonl_gz", "gzip")):
 def _by_hour(t, write):
     path = folder(t.spark)
     write(t.tweets.select("tweet_id", "symbol", "created_at"), path)
-    return t.spark.read.schema("tweet_id bigint, symbol string").json(path)
+    return t.spark.read.schema("tweet_id bigint, symbol string").json(path).select("tweet_id", "symbol")
 
 
 query("snk_jsonl_symbol_hour", "SELECT tweet_id, symbol FROM tweets", "tweets")(lambda t: _by_hour(t, S.write_jsonl_by_hour))
@@ -173,7 +173,7 @@ def src_symbol_list(t):
 @query("src_metrics_json", "SELECT job_name, count(*) AS n FROM trials GROUP BY job_name", "trials")
 def src_metrics_json(t):
     path = folder(t.spark)
-    t.trials.groupBy("job_name").agg(F.count("*").alias("n")).write.json(path)
+    t.trials.groupBy("job_name").agg(F.count("*").alias("n")).repartition(64, "job_name").write.json(path)
     return S.read_results(t.spark, path, "job_name string, n bigint").select("job_name", "n")
 
 
@@ -233,7 +233,7 @@ _FAN = "(VALUES ('AAPL'), ('TSLA'), ('V'), ('VZ')) k(symbol)"
 query("st_symbol_fanout", f"SELECT tweet_id, symbol FROM tweet_text JOIN {_FAN} ON contains(upper(text), concat('$', symbol))", "tweet_text")(
     lambda t: _drained(t, J.fan_out(_text_stream(t), t.spark.createDataFrame([("AAPL",), ("TSLA",), ("V",), ("VZ",)], "symbol string")).select("tweet_id", "symbol"))
 )
-query("st_incremental_score", f"SELECT tweet_id, round({_U} * 1e0 / ({_U} + {_B} + 2), 6) AS positive FROM tweet_text", "tweet_text")(lambda t: _drained(t, J.scores(_text_stream(t)).select("tweet_id", F.round("positive", 6).alias("positive"))))
+query("st_incremental_score", f"SELECT tweet_id, round(u * 1e0 / (u + d + 2), 6) AS positive FROM (SELECT tweet_id, {_U} AS u, {_B} AS d FROM tweet_text)", "tweet_text")(lambda t: _drained(t, J.scores(_text_stream(t)).select("tweet_id", F.round("positive", 6).alias("positive"))))
 query("st_sent_windows")(lambda t: _drained(t, J.sentiment_windows(J.posts(J.read_events(t.spark, *_ordered(t))), 60)))
 
 

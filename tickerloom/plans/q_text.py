@@ -112,8 +112,14 @@ query("fn_business_days", "WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS a
 query("fn_json_metrics", "SELECT event_id, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k, coalesce(CAST(json_extract(props, '$.likes') AS BIGINT), 0) AS likes FROM events")(
     lambda t: t.events.withColumn("j", F.from_json("props", "k BIGINT, likes BIGINT")).select("event_id", F.coalesce("j.k", F.lit(0)).alias("k"), F.coalesce("j.likes", F.lit(0)).alias("likes"))
 )
-_RULES = F.array(F.struct(F.lit(1).alias("id"), F.concat(F.lit("cashtag_"), "symbol").alias("tag")), F.struct(F.lit(2).alias("id"), F.concat(F.lit("company_"), "symbol").alias("tag")))
-query("fn_array_tags", "SELECT tweet_id, concat('cashtag_', symbol, ',company_', symbol) AS tags FROM tweets", "tweets")(lambda t: t.tweets.select("tweet_id", F.array_join(F.transform(_RULES, lambda r: r.tag), ",").alias("tags")))
+
+
+@query("fn_array_tags", "SELECT tweet_id, concat('cashtag_', symbol, ',company_', symbol) AS tags FROM tweets", "tweets")
+def fn_array_tags(t):
+    rules = F.array(*[F.struct(F.lit(i).alias("id"), F.concat(F.lit(kind), "symbol").alias("tag")) for i, kind in enumerate(("cashtag_", "company_"))])
+    return t.tweets.select("tweet_id", F.array_join(F.transform(rules, lambda r: r.tag), ",").alias("tags"))
+
+
 
 # Cleaning and predicates
 _DATE = "features_d AS (SELECT * REPLACE (TRY_CAST(trim(date) AS DATE) AS date) FROM features WHERE lower(trim(date)) NOT IN ('date', '', 'nan') AND TRY_CAST(trim(date) AS DATE) IS NOT NULL)"

@@ -47,8 +47,8 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Many small JSON files, with model and symbol of names such as model_symbol.json."""
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    """Many small JSON files of one value each, or of one a line, with model and symbol of names such as model_symbol.json."""
+    rows = spark.read.schema(schema).json(path)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
     return rows.withColumn("model", F.split_part(stem, F.lit("_"), F.lit(1))).withColumn("symbol", F.split_part(stem, F.lit("_"), F.lit(-1)))
 
