@@ -131,12 +131,15 @@ def _describe(text: str, a: int, b: int) -> tuple[list[int], list[int]]:
 def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights of features, chain and skip edges. rows: a document's (features, marks, labels, chain, skip) each.
 
-    Pseudo-likelihood: each node given its features and its neighbours' labels, with an L2 penalty.
+    Pseudo-likelihood: each node given its features and its neighbours' labels, with an L2 penalty. A candidate that no
+    pattern labels but that repeats a labelled one may be either: it teaches nothing, nor do its edges.
     """
     k = len(LABELS)
-    x, y, near, far = [], [], [], []
+    x, y, sure, near, far = [], [], [], [], []
     for features, marks, label, chain, skip in rows:
         base = len(y)
+        open_ends = {j for edge in skip for i, j in (edge, edge[::-1]) if label[i] and not label[j]}
+        sure.extend(i not in open_ends for i in range(len(label)))
         for i, (f, m) in enumerate(zip(features, marks)):
             row = np.zeros(DIM)
             row[f] = 1
@@ -147,6 +150,8 @@ def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, n
         for edges, out in ((chain, near), (skip, far)):
             sums = np.zeros((len(label), k))
             for i, j in edges:
+                if i in open_ends or j in open_ends:
+                    continue
                 sums[i, label[j]] += 1
                 sums[j, label[i]] += 1
             out.append(sums)
@@ -158,11 +163,13 @@ def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, n
     if not y:
         return w, a, b
     x, y, near, far = np.array(x), np.array(y), np.concatenate(near), np.concatenate(far)
-    want, n = np.eye(k)[y], len(y)
+    sure = np.array(sure)
+    x, y, near, far = x[sure], y[sure], near[sure], far[sure]
+    want, n = np.eye(k)[y], max(1, len(y))
     momentum = [np.zeros_like(w), np.zeros_like(a), np.zeros_like(b)]
     for _ in range(rounds):
         z = x @ w + near @ a + far @ b
-        p = np.exp(z - z.max(1, keepdims=True))
+        p = np.exp(z - z.max(1, keepdims=True, initial=-1e9))
         error = (p / p.sum(1, keepdims=True) - want) / n
         grads = [x.T @ error + 1e-4 * w, near.T @ error + 1e-3 * a, far.T @ error + 1e-2 * (b - same)]
         grads[0][bias] = 0
