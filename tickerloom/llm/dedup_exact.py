@@ -169,10 +169,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose text no row with a smaller doc_id has. Of repeated rows with one doc_id and text, one stays."""
-    dropped = exact_groups(docs)
-    dropped = staged(dropped.where("group_size > 1").select("doc_id", "kept"), "exact-dropped")
-    lost = dropped.where("not kept").select("doc_id").distinct()
-    twice = dropped.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = docs.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(lost.unionByName(twice), "doc_id", "left_anti").unionByName(once)
+    """The rows of docs whose text no row with a smaller doc_id has. Of repeated rows with one doc_id and text, one stays.
+
+    Rows are told apart by doc_id and text, so a doc_id may come with several texts, or be null.
+    """
+    groups = exact_groups(docs).where("group_size > 1")
+    groups = staged(groups.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept")), "exact-decisions")
+    ids = groups.select(F.col("doc_id").alias("_id")).distinct()
+    met = docs.doc_id.eqNullSafe(ids._id)
+    some = docs.join(ids, met, "left_semi").withColumn("_sha", F.sha2(norm_text(F.col("text")).cast("binary"), 256))
+    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
+    some = some.join(kept, some.doc_id.eqNullSafe(kept._id) & (some._sha == kept._kept), "left_semi").dropDuplicates(["doc_id", "_sha"])
+    return docs.join(ids, met, "left_anti").unionByName(some.drop("_sha"))

@@ -174,11 +174,11 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))], ["pattern", "places", "value"])
 
 
-def fit_scorer(rows: list, posterior: dict[int, float], rounds: int = 300) -> np.ndarray:
+def fit_scorer(rows: list[tuple], posterior: dict[int, float], rounds: int = 300) -> np.ndarray:
     """Weights and, last, the intercept: logistic regression on soft labels, by accelerated gradient steps."""
-    x, y = np.zeros((len(rows), DIM)), np.array([posterior.get(r.pattern, 0.5) for r in rows])
-    for i, r in enumerate(rows):
-        np.add.at(x[i], np.array(r.places, np.int64), r.value)
+    x, y = np.zeros((len(rows), DIM)), np.array([posterior.get(pattern, 0.5) for pattern, _, _ in rows])
+    for i, (_, places, value) in enumerate(rows):
+        np.add.at(x[i], np.array(places, np.int64), value)
     if not len(rows):
         return np.zeros(DIM + 1)
     w, b, momentum, step = np.zeros(DIM), 0.0, np.zeros(DIM + 1), 0.5
@@ -189,46 +189,58 @@ def fit_scorer(rows: list, posterior: dict[int, float], rounds: int = 300) -> np
     return np.r_[w, b]
 
 
+def _score(column, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Votes, and the scorer's probability of being good, of each text."""
+    m = measures(column)
+    raw, off = utf8(column)
+    total = np.r_[0.0, np.cumsum(w[:-1][_grams(raw)])]
+    last = np.maximum(off[:-1], off[1:] - 2)
+    z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + BIN * w[_bins(m)].sum(1) + w[-1]
+    return votes(m), np.where(m["words"] > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
+
+
 def _scored(weights):
     def score(batches):
-        w = weights.value
         for batch in sliced(batches):
-            if not batch.num_rows:
-                continue
-            m = measures(batch.column("text"))
-            raw, off = utf8(batch.column("text"))
-            v = votes(m)
-            total = np.r_[0.0, np.cumsum(w[:-1][_grams(raw)])]
-            last = np.maximum(off[:-1], off[1:] - 2)
-            z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + BIN * w[_bins(m)].sum(1) + w[-1]
-            p = np.where(m["words"] > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
+            v, p = _score(batch.column("text"), weights.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(v @ 3 ** np.arange(len(LABELLERS))), pa.array((v == 1).sum(1)), pa.array((v == 2).sum(1)), pa.array(p)], ["doc_id", "pattern", "votes_bad", "votes_good", "score"])
 
     return score
 
 
-def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, votes_bad, votes_good, weak_good, score, kept of every row of docs(doc_id, text); other columns are ignored.
+def _kept(weights):
+    def keep(batches):
+        for batch in sliced(batches):
+            yield batch.filter(pa.array(_score(batch.column("text"), weights.value)[1] >= THRESHOLD))
 
-    weak_good: the posterior of the votes; score: the scorer's probability of being good; kept: whether that is at least
-    THRESHOLD. Null, empty and blank texts score 0 and are not kept. Repeated rows score alike. An empty table gives no rows.
-    """
+    return keep
+
+
+def learned(docs: DataFrame):
+    """The scorer's weights, broadcast, and the posterior of each pattern of votes."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = rows.mapInArrow(_patterns, "doc_id long, pattern long").groupBy("pattern").count().collect()  # 3 ** labellers rows at most
     posterior = fit_labellers(np.array([r["pattern"] for r in counted], np.int64), np.array([r["count"] for r in counted], float))
     n = sum(r["count"] for r in counted)
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(max(1, min(1_000_000, 1_000_000 * SAMPLE // max(1, n)))))
-    learned = fit_scorer(sample.mapInArrow(_features, "pattern long, places array<long>, value array<double>").collect(), posterior)
-    weights = spark.sparkContext.broadcast(learned)
-    weak = F.broadcast(spark.createDataFrame(list(posterior.items()), "pattern long, weak_good double"))
+    found = sample.mapInArrow(_features, "pattern long, places array<long>, value array<double>").collect()
+    return spark.sparkContext.broadcast(fit_scorer(sorted(map(tuple, found)), posterior)), posterior
+
+
+def scores(docs: DataFrame) -> DataFrame:
+    """doc_id, votes_bad, votes_good, weak_good, score, kept of every row of docs(doc_id, text); other columns are ignored.
+
+    weak_good: the posterior of the votes; score: the scorer's probability of being good; kept: whether that is at least
+    THRESHOLD. Null, empty and blank texts score 0 and are not kept. Repeated rows score alike. An empty table gives no rows.
+    """
+    weights, posterior = learned(docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    weak = F.broadcast(docs.sparkSession.createDataFrame(list(posterior.items()), "pattern long, weak_good double"))
     out = rows.mapInArrow(_scored(weights), "doc_id long, pattern long, votes_bad long, votes_good long, score double")
     return out.join(weak, "pattern", "left").select("doc_id", "votes_bad", "votes_good", "weak_good", "score", (F.col("score") >= THRESHOLD).alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier keeps, with all their columns. Rows with equal doc_id stay where any of them does not fail."""
-    from tickerloom.llm.common import staged
-
-    out = staged(scores(docs).where("not kept").select("doc_id").distinct(), "quality-out")
-    return docs.join(out, "doc_id", "left_anti")
+    """The rows of docs that the classifier keeps, with all their columns; each row by its own text."""
+    return docs.mapInArrow(_kept(learned(docs)[0]), docs.schema)
