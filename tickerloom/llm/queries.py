@@ -83,4 +83,18 @@ SELECT page_id, payload_bytes,
 FROM firsts
 """
 
-ORACLE_SQL = {"op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
+# Of 15 aligned words with two different ones, some five in a row are the same: so five-word runs find all candidates.
+OP7_SQL = r"""
+WITH docs AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS d FROM documents),
+items AS (SELECT item_id, w FROM (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark) WHERE len(w) >= 8),
+runs_d AS (SELECT doc_id, p, array_to_string(d[p:p + 4], ' ') AS run FROM (SELECT doc_id, d, unnest(range(1, len(d) - 3)) AS p FROM docs)),
+runs_i AS (SELECT item_id, p, array_to_string(w[p:p + 4], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM items)),
+hits AS (SELECT DISTINCT doc_id, item_id, a.p - b.p AS shift FROM runs_d a JOIN runs_i b USING (run)),
+same AS (SELECT doc_id, item_id, shift, len(w) AS size, list_transform(range(greatest(1, 1 - shift), least(len(w), len(d) - shift) + 1), lambda k: CAST(w[k] = d[k + shift] AS INT)) AS s FROM hits JOIN docs USING (doc_id) JOIN items USING (item_id)),
+best AS (SELECT *, list_max(list_transform(range(1, len(s) - least(15, size) + 2), lambda i: list_sum(s[i:i + least(15, size) - 1]))) AS most FROM same WHERE len(s) >= least(15, size)),
+found AS (SELECT doc_id, item_id, len(s) AS n_aligned, list_sum(s) AS n_same, greatest(shift, 0) AS first_word FROM best WHERE most >= CASE WHEN size >= 15 THEN 13 ELSE size END)
+SELECT doc_id, item_id, CAST(n_aligned AS INT) AS n_aligned, CAST(n_same AS INT) AS n_same, CAST(first_word AS INT) AS first_word FROM found
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_same DESC, n_aligned DESC, first_word) = 1
+"""
+
+ORACLE_SQL = {"op7_decontaminate": OP7_SQL, "op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
