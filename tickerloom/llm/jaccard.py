@@ -6,9 +6,9 @@ orders put rare shingles first and differ in how they break ties; a pair goes on
 order, and is then compared exactly. Shingles that only one node has can't be shared: they fill prefixes, and are
 neither kept nor sent on.
 
-Only links that change the components are looked for. A first round compares each node with one nearby centre and joins
-what is linked; after it, only pairs of different components are candidates, so a large group of copies of a text does
-not make all its pairs.
+Only links that change the components are looked for. Star rounds compare each node with a nearby centre and join what is
+linked; after them, only pairs of different components are candidates, so a large group of copies of a text does not make
+all its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from tickerloom.llm.components import components
 SHINGLE = 5
 PERCENT = 80  # of the union that two sets share at least
 ORDERS = 3
-STARS = 4  # shingles by which a node finds its centre in the first round
+STARS = 4  # of a node's rarest shingles find it a centre of their own
+STAR_ROUNDS = 2
 BUCKET_CHARS = 16_000_000  # characters of text whose shingles one bucket gets, about
 HOT_SHARE = 1000
 _SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
@@ -210,15 +211,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def _roots(nodes: DataFrame) -> DataFrame:
     """node, root of all nodes that are linked with another."""
-    # Round 1: each node against one centre, the node with the fewest shingles of its own among those that share one of a
-    # few of its prefix shingles.
-    few = nodes.select("node", (F.col("n") - F.size("tokens")).alias("own"), F.explode(F.slice("prefix0", 1, STARS)).alias("token"))
-    centre = few.groupBy("token").agg(F.min(F.struct("own", F.col("node").alias("b"))).alias("c"))
-    stars = few.join(centre, "token").groupBy("node").agg(F.min("c").alias("c")).where("node <> c.b").select(F.col("node").alias("a"), F.col("c.b").alias("b"))
-    found = staged(_linked(stars, nodes), "near-links")
-    roots = staged(components(found), "near-roots")
-
-    # Round 2: all pairs of different components whose prefixes meet under every order. `left`: members of the set from the
+    # Star rounds: each node against a centre of another component, at most two of them: the best of all centres that share
+    # one of its prefix shingles, and that of its rarest ones. The first round's best has the fewest shingles of its own,
+    # the others' is drawn.
+    roots, links = None, None
+    posts = nodes.select("node", (F.col("n") - F.size("tokens")).alias("own"), F.posexplode("prefix0").alias("at", "token"))
+    for r in range(STAR_ROUNDS):
+        rank = F.col("own").cast("long") if r == 0 else F.xxhash64("node", F.lit(r))
+        known = posts.withColumn("root", F.col("node")) if roots is None else posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        centre = known.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("b"), F.col("root").alias("root_b"))).alias("c"))
+        met = known.join(centre, "token").where("root <> c.root_b").groupBy("node").agg(F.min("c").alias("best"), F.min(F.when(F.col("at") < STARS, F.col("c"))).alias("rare"))
+        stars = met.select(F.col("node").alias("a"), F.explode(F.array("best.b", "rare.b")).alias("b")).where("b is not null").distinct()
+        found = staged(_linked(stars, nodes), "near-links")
+        links = found if links is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = staged(components(links), "near-roots")
+
+    # Last: all pairs of different components whose prefixes meet under every order. `left`: members of the set from the
     # shared one on. At the first that two sets share no more than that can be shared, which bounds their similarity; a
     # posting that the bound rules out for the smallest set of its shingle can't be the first of any linked pair.
     pairs = None
@@ -248,6 +256,9 @@ def _may(inter, sizes):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs without those whose component has a smaller doc_id. Of repeated rows of one doc_id, all or none stay."""
+    """The rows of docs without those whose component has a smaller doc_id. Of repeated rows of one doc_id, all or none stay.
+
+    Rows without a doc_id stay.
+    """
     lost = near_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(staged(lost, "near-lost"), "doc_id", "left_anti")
