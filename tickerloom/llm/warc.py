@@ -265,4 +265,5 @@ def archived(pages: DataFrame) -> DataFrame:
     lines = staged(write_archives(pages, folder), "warc-lines")
     index = staged(merged_index(lines), "warc-index")
     read = read_archives(index, folder)
-    return read.join(index.select("page_id", "url_key", "ts", "part", "place").dropDuplicates(["page_id"]), read.page_id.eqNullSafe(index.page_id), "left").select(read.page_id, "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "part", "place")
+    places = index.select("page_id", "url_key", "ts", "part", "place").dropDuplicates(["page_id"]).hint("merge")  # as many rows as pages
+    return read.join(places, read.page_id.eqNullSafe(places.page_id), "left").select(read.page_id, "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "part", "place")
