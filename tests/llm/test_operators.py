@@ -330,6 +330,22 @@ def test_lm_learns():
     assert model.scores(ids, starts).sum() > 0.6 * before
 
 
+def test_lm_learns_from_all_training_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    n, few = 1500, 3
+    monkeypatch.setattr(lmscore, "SAMPLE", few)
+    sampled = lambda d: (d * 0x9E3779B97F4A7C15 >> 20) % 1_000_000 < 1_000_000 * few // n * 2
+    ring = ["red", "old", "man", "sea", "car", "two"]
+    texts = {True: [], False: []}
+    for d in range(n):
+        text = ring * 20
+        mixed = rng.sample(text, len(text))
+        for ordered in texts:  # the same words either way, and the same texts in the sample and held out
+            texts[ordered].append((d, " ".join(text if ordered or zlib.crc32(str(d).encode()) % 7 == 2 else mixed) if not sampled(d) else "red"))
+    mean = {k: lmscore.text_scores(spark.createDataFrame(r, "doc_id long, text string")).where("held_out and n_tokens > 2").agg(F.avg("score")).first()[0] for k, r in texts.items()}
+    assert mean[True] > mean[False] + 0.3
+
+
 # 10
 def test_languages(spark, none):
     rng = random.Random(3)
