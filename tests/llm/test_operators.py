@@ -362,6 +362,17 @@ def test_languages(spark, none):
 
 
 # 1
+def test_rare_languages_are_learned_at_every_size(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 40)  # a small table as large against the sample as millions of documents
+    rng = random.Random(4)
+    sounds = {"aa": ("ka", "tu", "mi"), "bb": ("sch", "ung", "keit"), "rare": ("ção", "nho", "lha")}
+    kinds = ["rare" if i % 200 == 51 else ("aa", "bb")[i % 2] for i in range(4000)]
+    rows = [(i, " ".join("".join(rng.choice(sounds[k]) for _ in range(3)) for _ in range(12)), k) for i, k in enumerate(kinds)]
+    got = {r.doc_id: r.lang_pred for r in langid.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    rare = [i for i, k in enumerate(kinds) if k == "rare"]
+    assert sum(got[i] == "rare" for i in rare) >= 0.9 * len(rare)
+
+
 def brute_spans(text):
     out = []
     patterns = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")

@@ -2,7 +2,8 @@
 
 Characters are lower-cased, what is no letter counts as a blank. Bigrams and trigrams hash to DIM features; a feature's
 weight in a text is its share of the text's n-grams times its inverse document frequency over all training documents.
-Follow-the-regularised-leader with L1 and L2 penalties learns the weights from a bounded sample of training documents,
+Follow-the-regularised-leader with L1 and L2 penalties learns the weights from a bounded sample of training documents that
+has some of every language: languages are counted over all training documents, and a rare one's rate is raised to LEAST,
 and a temperature fitted on a part of it that was left out calibrates the probabilities.
 """
 
@@ -19,6 +20,7 @@ DIM = 1 << 15
 ORDERS = (2, 3)
 FOLDS, HELD = 5, 0  # held out: crc32(doc_id) mod FOLDS = HELD
 SAMPLE = 4000  # training documents that the regression learns from, about
+LEAST = 200  # of each language's training documents that it learns from, about, or all if it has fewer
 EPOCHS, ALPHA, BETA, L1, L2, SCALE = 3, 0.5, 1.0, 0.02, 0.01, 20.0
 _TABLES: dict = {}
 
@@ -179,9 +181,15 @@ def languages(docs: DataFrame) -> DataFrame:
     idf = np.full(DIM, np.log(1 + n) + 1)
     for i, k in df.items():
         idf[i] = np.log((1 + n) / (1 + k)) + 1
-    sample = learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(max(1, min(1_000_000, 1_000_000 * SAMPLE // max(1, n)))))
-    found = sample.select("doc_id", "lang", "text").mapInArrow(_sampled, "doc_id long, lang string, places array<int>, value array<float>").collect()
-    labels = sorted({r.lang for r in found})
+    sizes = {r.lang: r["count"] for r in learn.groupBy("lang").count().collect()}  # one row for each language
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000_000))
+    rates = {x: 1_000_000_000 if k <= LEAST else min(1_000_000_000, 1_000_000_000 * max(SAMPLE * k, LEAST * n) // (n * k)) for x, k in sizes.items()}
+    raised = {x: r for x, r in rates.items() if r > 1_000_000_000 * SAMPLE // n}  # the others have one rate
+    rate = F.lit(min(1_000_000_000, 1_000_000_000 * SAMPLE // max(1, n)))
+    if raised:
+        rate = F.coalesce(F.create_map(*[F.lit(y) for x, r in sorted(raised.items()) for y in (x, r)])[F.col("lang")].cast("long"), rate)
+    found = learn.where(draw < rate).select("doc_id", "lang", "text").mapInArrow(_sampled, "doc_id long, lang string, places array<int>, value array<float>").collect()
+    labels = sorted(sizes)
     if labels:
         w, intercept, temperature = train(found, labels, idf)
         table = np.vstack([w * idf[:, None], np.zeros((1, len(labels)))])  # the last row, also -1, is for no n-gram
