@@ -306,44 +306,133 @@ def test_lm_base_and_totals(docs, rows, none):
     assert lmscore.text_scores(none).count() == 0
 
 
+def lm_model(uses, first):
+    model = lmscore.Model(uses, first)
+    rng = np.random.default_rng(3)
+    for k in ("ask", "offer", "carry", "own", "out"):
+        model.p[k] += rng.standard_normal(model.p[k].shape).astype(np.float32) * 0.3
+    return model
+
+
 def test_lm_probabilities_sum_to_one_and_look_back_only():
     rng = np.random.default_rng(0)
-    uses = rng.integers(0, 50, 700).astype(float)
-    model = lmscore.Model(uses, rng.random(700) < 0.5)
+    model = lm_model(np.r_[rng.integers(0, 50, 700).astype(float), 5], np.r_[rng.random(700) < 0.5, True])
     seq = rng.integers(0, 700, 40)
-    lm = lambda ids: model.scores(np.array(ids), np.array([0, len(ids)]))[0]
     for k in (0, 1, 7, 20):
-        head = lm(seq[:k]) if k else 0.0
-        total = sum(10 ** (lm([*seq[:k], x]) - head) for x in range(700))
-        assert total == pytest.approx(1, abs=1e-4)
+        own, kind = zip(*(model.each(np.array([*seq[:k], x]), np.array([0, k + 1])) for x in range(701)))
+        assert sum(10 ** (o[-1] + q[-1]) for o, q in zip(own, kind)) == pytest.approx(1, abs=1e-4)
+        assert all(np.allclose(o[:k], own[0][:k]) for o in own)
 
 
 def test_lm_learns():
     rng = np.random.default_rng(1)
     ids = np.array([[1, 2, 3, 4][i % 4] if rng.random() > 0.05 else 9 for i in range(6000)])
-    uses = np.bincount(ids, minlength=600).astype(float)
-    model = lmscore.Model(uses, np.arange(600) % 2 == 0)
+    uses = np.bincount(ids, minlength=601).astype(float)
+    model = lmscore.Model(uses, np.arange(601) % 2 == 0)
     starts = np.arange(0, 6001, 60)
-    before = model.scores(ids, starts).sum()
+    before = sum(x.sum() for x in model.each(ids, starts))
     x, target = model.windows(ids, starts)
-    model.learn(x, np.where(target >= 0, model.class_of[ids[target]], -1))
-    assert model.scores(ids, starts).sum() > 0.6 * before
-
-
-def test_lm_learns_from_all_training_rows(spark, monkeypatch):
-    rng = random.Random(5)
-    n, few = 1500, 3
-    monkeypatch.setattr(lmscore, "SAMPLE", few)
-    sampled = lambda d: (d * 0x9E3779B97F4A7C15 >> 20) % 1_000_000 < 1_000_000 * few // n * 2
-    ring = ["red", "old", "man", "sea", "car", "two"]
-    texts = {True: [], False: []}
-    for d in range(n):
-        text = ring * 20
-        mixed = rng.sample(text, len(text))
-        for ordered in texts:  # the same words either way, and the same texts in the sample and held out
-            texts[ordered].append((d, " ".join(text if ordered or zlib.crc32(str(d).encode()) % 7 == 2 else mixed) if not sampled(d) else "red"))
-    mean = {k: lmscore.text_scores(spark.createDataFrame(r, "doc_id long, text string")).where("held_out and n_tokens > 2").agg(F.avg("score")).first()[0] for k, r in texts.items()}
-    assert mean[True] > mean[False] + 0.3
+    model.learn(x, model.classes(ids, target))
+    assert sum(x.sum() for x in model.each(ids, starts)) > 0.6 * before
+    some, _ = model.windows(ids, starts, 4, rng)
+    assert len(x) / 4 <= len(some) <= len(x) / 4 + 1
+
+
+def test_lm_scores_are_those_of_plain_loops():
+    """All of a chunk against dictionaries and loops: words, spellings, segments, and each text's own counts left out."""
+    rng = random.Random(7)
+    stock, passage = prose(rng, 40), prose(rng, 90)
+    texts = [None, "", "one", " ".join(passage), " ".join(passage)] + [" ".join(rng.choice(stock) if rng.random() < 0.9 else "".join(prose(rng, 2)) for _ in range(rng.randint(1, 120))) for _ in range(25)] + [" ".join(prose(rng, 30) + passage[20:])]
+    held = [i % 5 == 2 for i in range(len(texts))]
+    with open(lmscore.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    table = {int(b): base64.b64decode(a) for a, b in map(bytes.split, ranks.splitlines())}
+    end = max(table) + 1
+    shared = type("Shared", (), {})
+    given = shared()
+    given.value = ranks
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts, pa.string()), "held_out": held})
+    (chunk,) = lmscore._chunks(given, end)([batch])
+    row = chunk.to_pylist()[0]
+    uses = np.zeros(end + 1)
+    uses[row["used"]], uses[end] = row["uses"], held.count(False)
+    model = lm_model(uses, np.array([table.get(i, b"").startswith(b" ") for i in range(end)] + [True]))
+
+    tokens = [[*words(x), None] for x in texts]
+    ids = [[list(i) for i in lmscore.subwords([w for w in t if w is not None], ranks)] for t in tokens]
+    cuts, anchors = [], []
+    for t in tokens:
+        w = t[:-1]
+        h = lmscore.Words(pa.array([" ".join(w)])).hashes()
+        marks = [0]
+        for i in range(len(w) - lmscore.ANCHOR + 1):
+            z = np.zeros(1, np.uint64)
+            for k in range(lmscore.ANCHOR):
+                z = lmscore._mix(z + h[i + k : i + k + 1] + np.uint64(k))
+            if int(z[0]) % lmscore.SEGMENT == 0:
+                marks.append(i + lmscore.ANCHOR)
+        cuts.append([(a, b) for a, b in zip(marks, [*marks[1:], len(t)])])
+        anchors.append([tuple(w[a - lmscore.ANCHOR : a]) if a else () for a in marks])
+    count, segs, starts, mass, types = (collections.Counter() for _ in range(5))
+    for t, c, a, i, out in zip(tokens, cuts, anchors, ids, held):
+        if not out:
+            count.update(t[:-1])
+            starts.update(a)
+            segs.update((x, tuple(t[p:q])) for x, (p, q) in zip(a, c))
+            mass.update(x[0] for x in i)
+    first_of = {w: x[0] for t, i in zip(tokens, ids) for w, x in zip(t, i)}
+    types.update(first_of[w] for w in count)
+    want = []
+    for t, c, a, i, out in zip(tokens, cuts, anchors, ids, held):
+        own, kind = model.each(np.array([*itertools.chain(*i), end]), np.array([0, sum(map(len, i)) + 1]))
+        less = collections.Counter(t) if not out else collections.Counter()
+        at, logs = 0, []
+        for w, x in zip(t[:-1], i):
+            spelling = sum(own[at + 1 : at + len(x)]) + sum(kind[at + 1 : at + len(x) + 1])
+            f = x[0]
+            rest = 10.0**spelling
+            logs.append(own[at] + math.log10(max(0, count[w] - less[w] - lmscore.DISCOUNT) / mass[f] + lmscore.DISCOUNT * types[f] / mass[f] * rest if mass[f] else rest))
+            at += len(x)
+        logs.append(own[at])
+        mine = [(x, tuple(t[p:q])) for x, (p, q) in zip(a, c)]
+        total = 0.0
+        for (p, q), key in zip(c, mine):
+            n_anchor = starts[key[0]] - (0 if out else a.count(key[0]))
+            n_seg = segs[key] - (0 if out else mine.count(key))
+            plain = sum(logs[p:q])
+            if n_anchor:
+                plain += math.log10(1 - lmscore.MEMORY)
+                memory = math.log10(lmscore.MEMORY * n_seg / n_anchor) if n_seg else -math.inf
+                plain = max(plain, memory) + math.log10(1 + 10 ** -abs(max(plain, memory) - min(plain, memory)))
+            total += plain
+        want.append(total)
+    asked = list(lmscore._asked([pa.RecordBatch.from_pylist([{"chunk": 0, **{k: row[k] for k in ("keys", "kinds", "counts")}}])]))[0]
+    asked = pa.table({"kind": asked.column("kind"), "key": asked.column("key"), "total": asked.column("n")})
+    given.value = (model, *(np.array([c.get(i, 0) for i in range(end + 1)]) for c in (mass, types)))
+    kept = pa.Table.from_pylist([{"chunk": 0} | {k: v for k, v in row.items() if k not in ("keys", "kinds", "counts", "used", "uses")}])
+    got = lmscore._scored(given, len(count) + 1, 100, held.count(False), end)(asked, kept)
+    assert got.column("score").to_pylist() == pytest.approx(want, rel=1e-4, abs=1e-3)
+    assert want[3] / len(tokens[3]) > want[-1] / len(tokens[-1])  # a text that occurs twice is remembered
+
+
+def test_lm_beats_its_base_on_held_out_texts(spark):
+    found = lmscore.text_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
+    score, base = found.agg(F.sum("score"), F.sum("base_score")).first()
+    assert score > base
+
+
+def test_lm_two_equal_long_rows(spark):
+    """Rows longer than a chunk are chunks of their own, and equal ones don't mix."""
+    stock = "government international information development university president community different important management".split()
+    text = " ".join(stock * 62_000)
+    assert len(text) > lmscore.CHUNK_BYTES
+    docs = spark.createDataFrame([(3, text), (3, text), (4, "red sea")], "doc_id long, text string")
+    got = lmscore.text_scores(docs).orderBy("doc_id", "n_tokens").collect()
+    count, long = collections.Counter(words(text) * 2 + ["red", "sea"]), len(words(text))
+    assert all(zlib.crc32(str(d).encode()) % 7 != 2 for d in (3, 4))
+    n, v = 2 * long + 2 + 3, len(count) + 1
+    want = sum(k * math.log10((count[w] + 1) / (n + v + 1)) for w, k in collections.Counter(words(text)).items()) + math.log10(4 / (n + v + 1))
+    assert [r.n_tokens for r in got] == [long + 1, long + 1, 3] and got[0].base_score == pytest.approx(want, rel=1e-9) and got[1].base_score == pytest.approx(want, rel=1e-9) and got[0].score == pytest.approx(got[1].score) and got[0].score < 0
 
 
 # 10
