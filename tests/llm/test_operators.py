@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import collections
+import gzip
 import hashlib
 import itertools
 import math
@@ -140,29 +141,54 @@ def test_mix_text(docs, rows):
 
 # 5
 def test_archives(spark):
-    pages = [(i, f"http://www.ex{i % 3}.com/p{i % 4}?q#f", f"<p>{i % 5}</p>\r\n\r\nWARC/1.1" if i % 7 else None) for i in range(60)] + [(99, None, ""), (100, "HTTP://M.Ex1.com", "ü" * 3000), (59, "http://x/", "own")]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
-    got = {(r.page_id, r.payload_bytes): r for r in warc.archived(df).collect()}
+    pages = [(i, f"http://www.ex{i % 3}.com/p{i % 4}?q#f", f"<p>{i % 5}</p>\r\n\r\nWARC/1.1" if i % 7 else None) for i in range(60)]
+    pages += [(99, None, ""), (100, "HTTP://M.Ex1.com", "ü" * 3000), (59, "http://x/", "own"), (98, "http://x/\r\ny", "own"), (1, "http://y/", "<p>2</p>\r\n\r\nWARC/1.1"), (None, "http://z/", "alone"), (None, "http://z/", "own"), (None, "http://z/", "two"), (None, None, "two")]
+    pages += [pages[4], pages[4], pages[59]]
+    kind = "page_id long, url string, html string, file string, place string, refers_to string, sha string, n string"
+    df = spark.createDataFrame([(*p, "f", "p", "r", "s", "n") for p in pages], kind).repartition(4)
     first: dict = {}
     for i, _, h in pages:
-        first[h or ""] = min(i, first.get(h or "", i))
-    for i, _, h in pages:
-        raw, r = (h or "").encode(), got[(i, len((h or "").encode()))]
-        assert r.payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode()
-        if i != 59:  # one page_id with two payloads
-            assert (r.record_type, r.refers_to) == (("response", None) if first[h or ""] == i else ("revisit", first[h or ""]))
-    assert len(got) == len(pages)
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    want = []
+    for i, u, h in pages:
+        raw, least = (h or "").encode(), first.get(h or "")
+        sha1, same = base64.b32encode(hashlib.sha1(raw).digest()).decode(), least is None or i == least
+        want.append((i, len(raw), sha1, "response" if same else "revisit", None if same else least, warc.url_key(u), warc.capture_time(i)))
+    got = warc.archived(df).collect()
+    text = lambda r: tuple(map(str, r))
+    assert sorted((tuple(r)[:7] for r in got), key=text) == sorted(want, key=text)
+    assert [r.place for r in sorted(got, key=lambda r: r.place)] == list(range(len(pages)))
+    assert [(r.url_key, r.ts) for r in sorted(got, key=lambda r: r.place)] == sorted((r.url_key, r.ts) for r in got)
     assert warc.archived(df.limit(0)).count() == 0
 
 
-def test_index_is_in_order(spark, tmp_path):
+def test_archives_keep_every_payload(spark, tmp_path):
+    """What a revisit repeats is in the archive: each distinct payload is in some response."""
+    pages = [(i % 20 if i % 3 else None, "http://h/", f"payload {i % 30}") for i in range(200)]
+    lines = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), f"file://{tmp_path}/w").collect()
+    found = set()
+    for r in lines:
+        raw = (tmp_path / "w" / r.file).read_bytes()[r.offset : r.offset + r.length]
+        fields, block = warc.parse(gzip.decompress(raw))
+        if fields["WARC-Type"] == "response":
+            found.add(block.partition(b"\r\n\r\n")[2].decode())
+    assert len(lines) == 200 and found == {h for _, _, h in pages}
+
+
+def test_capture_times_do_not_wrap():
+    ids = [-(10**18), -5, 0, 1, 5_000_000, 10**12, 10**16, 10**18]
+    times = [warc.capture_time(i) for i in ids]
+    assert times == sorted(times) and len(set(times)) == len(ids) and warc.capture_time(None) == warc.capture_time(0)
+
+
+def test_index_is_in_order(spark, tmp_path, monkeypatch):
     pages = spark.range(500).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), (F.col("id") % 7).cast("string"), F.lit(".org/")).alias("url"), F.lit("x").alias("html")).repartition(5)
     lines = warc.write_archives(pages, f"file://{tmp_path}/w").cache()
-    old, warc.RANGE_ROWS = warc.RANGE_ROWS, 60
-    rows = warc.merged_index(lines).orderBy("part", "place").collect()
-    warc.RANGE_ROWS = old
+    monkeypatch.setattr(warc, "RANGE_ROWS", 60)
+    rows = warc.merged_index(lines).orderBy("place").collect()
     keys = [(r.url_key, r.ts, r.page_id) for r in rows]
-    assert len(keys) == 500 and keys == sorted(keys) and len({r.part for r in rows}) > 3
+    assert len(keys) == 500 and keys == sorted(keys) and [r.place for r in rows] == list(range(500))
 
 
 def test_loser_tree():

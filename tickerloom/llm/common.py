@@ -47,6 +47,20 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: str, share: int = 1000) -> DataFrame:
+    """rows joined with groups by keys that are unique in groups; `n` says how many rows a group meets, about, and is dropped.
+
+    A group may meet a third of all rows: groups of over total / share rows, fewer than `share` of them, are broadcast, and
+    only the rows of the others are shuffled. how: inner or left; rows must be cheap to read twice.
+    """
+    more = [c for c in groups.columns if c not in (*keys, "n")]
+    hot = groups.where(F.col("n") * share > F.lit(total)).drop("n").withColumn("_hot", F.lit(True))
+    cold = groups.where(F.col("n") * share <= F.lit(total)).drop("n")
+    few = rows.join(F.broadcast(hot), keys, "left")
+    done, rest = few.where("_hot").drop("_hot"), few.where("_hot is null").drop("_hot", *more)
+    return done.unionByName(rest.join(cold, keys, how).select(*done.columns))
+
+
 def crc_mod(doc_id, k: int):
     """crc32 of doc_id as text, mod k; a null doc_id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % k

@@ -26,7 +26,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.archived(table(spark, sf_dir, "pages"))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,15 +72,21 @@ SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id FROM sets s JOIN (SELECT
 """
 
 OP5_SQL = r"""
-WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
-firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM hashed)
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+  regexp_extract(replace(replace(coalesce(url, ''), chr(13), ' '), chr(10), ' '), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^#]*)', ['host', 'path']) AS u FROM pages),
+hosts AS (SELECT *, lower(u.path) AS path, regexp_replace(lower(regexp_replace(u.host, '^.*@', '')), '^(www[0-9]*|m)[.]', '') AS host FROM hashed),
+keyed AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id,
+  array_to_string(list_reverse(string_split(split_part(host, ':', 1), '.')), ',') || CASE WHEN host LIKE '%:%' AND regexp_replace(host, '^[^:]*:', '') NOT IN ('', '80', '443') THEN ':' || regexp_replace(host, '^[^:]*:', '') ELSE '' END
+    || ')' || CASE WHEN path = '' THEN '/' ELSE path END AS url_key,
+  strftime(TIMESTAMP '2024-01-01' + to_microseconds(greatest(-60000000000000000, least(60000000000000000, coalesce(page_id, 0)))), '%Y-%m-%dT%H:%M:%S.%fZ') AS ts FROM hosts)
 SELECT page_id, payload_bytes,
        array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((((instr('0123456789abcdef', substr(h, CAST(i * 5 // 4 + 1 AS BIGINT), 1)) - 1) * 16
               + (CASE WHEN i * 5 // 4 + 2 > 40 THEN 0 ELSE instr('0123456789abcdef', substr(h, CAST(i * 5 // 4 + 2 AS BIGINT), 1)) - 1 END)) >> CAST(3 - (i * 5) % 4 AS INTEGER)) & 31), 1)), '') AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
-FROM firsts
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to,
+       url_key, ts, row_number() OVER (ORDER BY url_key, ts, page_id) - 1 AS place
+FROM keyed
 """
 
 # Of 15 aligned words with two different ones, some five in a row are the same: so five-word runs find all candidates.
