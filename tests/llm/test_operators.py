@@ -103,17 +103,52 @@ def test_filters_merge_without_loss():
 
 
 # 4
-def test_mix(docs, rows, none):
-    got = mixing.Mix(docs, block=4).taken().collect()
-    assert sorted(r["size"] for r in got) == sorted(len(words(x)) for _, x, _ in rows)
-    assert all(0 <= r.taken <= 2 * r["size"] for r in got)
-    by = collections.Counter()
-    for r in got:
-        by[(r.source_size, r.target)] += r.taken
-    assert all(abs(taken - target) <= 8 for (_, target), taken in by.items())
-    again = mixing.Mix(docs.repartition(7), block=4).taken()
-    assert sorted_rows(again) == sorted(map(tuple, got), key=lambda r: tuple((x is None, str(x)) for x in r))
-    assert mixing.Mix(none).taken().count() == 0
+def brute_mix(rows, mix, block):
+    """(doc_id, size, taken) and the blocks, by loops over each source's stream in the order of the mix's places."""
+    starts = collections.defaultdict(list)
+    for r in mix.rows.collect():
+        starts[(r.doc_id, r.source_no, r["size"], r.digest)].append(r.start)
+    streams, spans = collections.defaultdict(dict), []
+    number = {s: i for i, s, _, _ in mix.known}
+    digests = {r.text: r.d for r in mix.rows.sparkSession.createDataFrame([(x,) for _, x, _ in rows], "text string").select("text", F.xxhash64("text").alias("d")).collect()}
+    for d, x, s in rows:
+        w = words_as_they_are(x)
+        at = starts[(d, number[s], len(w), digests[x])].pop()
+        spans.append((d, len(w), number[s], at))
+        for i, y in enumerate(w):
+            assert at + i not in streams[number[s]]
+            streams[number[s]][at + i] = y
+    assert not any(starts.values()) and all(sorted(x) == list(range(len(x))) for x in streams.values())
+    slots = [(r.shard, r.slot, r.source_no, r.block) for r in mix.slots.collect()]
+    times = collections.Counter((s, b) for _, _, s, b in slots)
+    taken = [(d, n, sum(times[(s, i // block)] for i in range(at, at + n))) for d, n, s, at in spans]
+    text = [(a, b, " ".join(streams[s][i] for i in range(k * block, (k + 1) * block) if i in streams[s])) for a, b, s, k in slots]
+    return taken, text
+
+
+def words_as_they_are(x):
+    return [w for w in BLANK.split(x or "") if w]
+
+
+def test_mix(spark, docs, rows, none):
+    for table, given in ((docs, rows), (spark.createDataFrame(REPEATS, "doc_id long, text string, source string"), REPEATS)):
+        mix = mixing.Mix(table, block=4)
+        got = mix.taken().collect()
+        taken, text = brute_mix(given, mix, 4)
+        key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+        assert sorted(((r.doc_id, r["size"], r.taken) for r in got), key=key) == sorted(taken, key=key)
+        assert sorted((r.shard, r.slot, r.text) for r in mix.blocks(table).collect()) == sorted(text)
+        assert all(0 <= r.taken <= 2 * r["size"] for r in got)
+        by = collections.Counter()
+        for r in got:
+            by[(r.source_size, r.target)] += r.taken
+        assert all(abs(taken - target) <= 8 for (_, target), taken in by.items())
+        again = mixing.Mix(table.repartition(7), block=4).taken()
+        assert sorted_rows(again) == sorted(map(tuple, got), key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert mixing.Mix(none).taken().count() == 0 and mixing.Mix(none).blocks(none).count() == 0
+
+
+REPEATS = [(None, "a b c", "s")] * 30 + [(5, "one text", "s"), (5, "two words", "s"), (5, None, None), (None, "x y z u v", None)] + [(i, f"w{i} again", "t") for i in range(20)]
 
 
 def test_targets():
@@ -128,15 +163,15 @@ def test_permutation(n):
 
 
 def test_draws_add_up():
-    draws = mixing.shard_draws([1000, 3, 0, 70_000], 1, shard=500)
-    assert draws.sum(0).tolist() == [1000, 3, 0, 70_000] and (draws.sum(1)[:-1] == 500).all()
+    n = mixing.drawn(70_000, 10, [1, 2])
+    assert n.sum() == 70_000 and (abs(n - 7000) < 500).all() and (n == mixing.drawn(70_000, 10, [1, 2])).all() and mixing.drawn(0, 3, [1, 2]).tolist() == [0, 0, 0]
 
 
-def test_mix_text(docs, rows):
-    mix = mixing.Mix(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), block=4)
-    taken = mix.taken().agg(F.sum("taken")).first()[0]
-    shown = mix.text(docs)
-    assert shown.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == taken
+def test_copies_of_a_row_are_split(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(1, "a b c", "s")] * 40 + [(2, "d e", "s")]
+    got = mixing.Mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=2)
+    assert sorted(r.start for r in got.rows.where("doc_id = 1").collect()) in ([3 * i for i in range(40)], [2 + 3 * i for i in range(40)])
 
 
 # 5

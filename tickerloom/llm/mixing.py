@@ -1,9 +1,10 @@
 """Mixing sources to target weights: fixed-length blocks, multinomial draws per shard, pseudorandom index permutations.
 
-Each source's words form one stream, cut into blocks of BLOCK words. The mix is a sequence of slots in shards. A shard
-draws how many of its slots each source gets from a multinomial over the slots still owed, so the totals come out as
-planned. The t-th slot of a source takes block perm(t mod blocks) in pass t div blocks, where perm is a keyed
-permutation of the source's block numbers, another one in each pass. Slots and blocks join by (source, block).
+Each source's words form one stream, cut into blocks of BLOCK words. The mix is a sequence of slots in shards. Each source's
+slots fall on the shards by a multinomial draw, so a shard's counts of sources are multinomial and the totals come out as
+planned; the draws are made in tasks, each source's from its own seed. The t-th slot of a source takes block perm(t mod
+blocks) in pass t div blocks, where perm is a keyed permutation of the source's block numbers, another one in each pass.
+Slots and blocks join by (source, block).
 """
 
 from __future__ import annotations
@@ -14,15 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import _mix, sliced, staged, Words
+from tickerloom.llm.common import _mix, sliced, spread_join, staged, Words
 
 BLOCK = 64  # words of a block
-SHARD = 65536  # slots of a shard
+SHARD = 65536  # slots of a shard, about
+TASK_SLOTS = 500_000  # slots that a task makes, about
 WEIGHTS = (5, 2, 1)  # of sources in code point order, null last, repeating
 SHARE = 1.5  # of all words, to be shared
 MOST = 2.0  # times a source's words, at most
 ROUNDS = 4  # of the Feistel network
-BUCKET = 2000  # documents of a bucket, about
+BUCKET = 250  # documents of a bucket, about
+SPAN = 1000  # buckets of a span
+COPIES = 10_000  # of one row that a task makes at most
 
 
 def targets(sizes: list[tuple[str | None, int]]) -> dict[str | None, float]:
@@ -44,22 +48,6 @@ def targets(sizes: list[tuple[str | None, int]]) -> dict[str | None, float]:
     return out
 
 
-def shard_draws(slots: list[int], seed: int, shard: int = SHARD) -> np.ndarray:
-    """Slots of each source in each shard. Each shard draws a multinomial over what is still owed, never more than that."""
-    rng, owed = np.random.default_rng(seed), np.array(slots, np.int64)
-    shards = []
-    while (left := int(owed.sum())) > 0:
-        want = min(shard, left)
-        got = np.minimum(rng.multinomial(want, owed / left), owed)
-        for i in np.argsort(got - owed, kind="stable"):  # what a clipped draw lacks goes where most is owed
-            if (lack := want - int(got.sum())) <= 0:
-                break
-            got[i] += min(lack, int(owed[i] - got[i]))
-        shards.append(got)
-        owed = owed - got
-    return np.array(shards, np.int64).reshape(len(shards), len(slots))
-
-
 def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     """A pseudorandom permutation of 0..size-1, keyed: a Feistel network over an even power of two, walked until inside."""
     half = np.uint64(max(1, ((max(size, 2) - 1).bit_length() + 1) // 2))
@@ -74,8 +62,27 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def drawn(slots: int, shards: int, key: int) -> np.ndarray:
+    """How many of a source's slots fall on each shard."""
+    return np.random.default_rng(key).multinomial(slots, np.full(shards, 1 / shards))
+
+
+def _plan(shards: int, seed: int):
+    def plan(batches):
+        """Of each source (source_no, slots, blocks), a row for each shard that has slots of it: first, the number of the first one."""
+        for batch in batches:
+            for r in batch.to_pylist():
+                n = drawn(r["slots"], shards, [seed, r["source_no"]])
+                first, some = np.cumsum(n) - n, np.flatnonzero(n)
+                for at in np.array_split(some, -(-len(some) // 100_000)) if len(some) else []:
+                    k = len(at)
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(k, r["source_no"], np.int32)), pa.array(first[at]), pa.array(n[at]), pa.array(np.full(k, r["blocks"]))], ["shard", "source_no", "first", "n", "blocks"])
+
+    return plan
+
+
 def _slots(batches):
-    """Of each row (shard, source_no, first, n, at, blocks): its n slots with the blocks that they take."""
+    """Of each row (shard, source_no, first, n, blocks, at): its n slots with the blocks that they take."""
     for batch in batches:
         for r in batch.to_pylist():
             for a in range(0, r["n"], 1 << 20):
@@ -91,70 +98,92 @@ def _slots(batches):
 def _sizes(batches):
     for batch in sliced(batches):
         of = Words(batch.column("text")).of
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(np.diff(of).astype(np.int64))], ["doc_id", "source", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), batch.column("digest"), pa.array(np.diff(of).astype(np.int64))], ["doc_id", "source", "digest", "size"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).withColumn("digest", F.xxhash64("text"))
 
 
 class Mix:
-    """A mix of docs(doc_id, text, source).
+    """A mix of docs(doc_id, text, source); other columns are ignored.
 
-    rows: doc_id, source_no, size and `start`, the place of the row's first word in its source's stream.
-    sources: source_no, source, source_size, target: one row per source, held by the driver too.
-    slots: shard, slot, source_no, block: the mix.
-    Null text has no words. Rows with equal doc_id each have a place of their own. Reruns give the same mix.
+    rows: doc_id, digest (64 bits of the text), source_no, source_size, target, size and `start`, the place of the row's
+    first word in its source's stream. Null and blank texts have no words. Rows that repeat have a place each, one after
+    the other; a doc_id may be null or come with several texts. An empty table gives an empty mix.
+    slots: shard, slot, source_no, block: the mix. Reruns give the same mix, however the rows are partitioned.
+    The driver holds one row for each source.
     """
 
     def __init__(self, docs: DataFrame, seed: int = 20, block: int = BLOCK):
         spark, self.block = docs.sparkSession, block
-        sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
-        sized = staged(sized.mapInArrow(_sizes, "doc_id long, source string, size long"), "mix-sizes")
-        found = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()  # one row per source
+        sized = _keyed(docs).mapInArrow(_sizes, "doc_id long, source string, digest long, size long")
+        units = staged(sized.groupBy("doc_id", "source", "digest", "size").agg(F.count("*").alias("copies")), "mix-sizes")
+        found = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("words"), F.count("*").alias("n")).collect()  # one row per source
         want = targets([(r.source, r.words) for r in found])
         order = sorted(found, key=lambda r: (r.source is None, (r.source or "").encode("utf-32-be")))
         self.known = [(i, r.source, r.words, float(want[r.source])) for i, r in enumerate(order)]
-        self.sources = spark.createDataFrame(self.known, "source_no int, source string, source_size long, target double")
-
-        # Places: prefix sums over buckets of a source, and within each bucket; no source is gathered in one task.
-        buckets = max(1, sum(r.docs for r in found) // BUCKET)
-        placed = sized.join(F.broadcast(self.sources), sized.source.eqNullSafe(self.sources.source)).select("doc_id", "source_no", "size", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
-        within = W.partitionBy("source_no", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-        before = W.partitionBy("source_no").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-        totals = placed.groupBy("source_no", "bucket").agg(F.sum("size").alias("words")).select("source_no", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-        self.rows = placed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(totals, ["source_no", "bucket"]).select("doc_id", "source_no", "size", (F.col("base") + F.col("inside")).alias("start"))
-
-        blocks = [-(-words // block) for _, _, words, _ in self.known]
-        owed = [_slot_count(words, target, block) for _, _, words, target in self.known]
-        per_shard = max(SHARD, sum(owed) // 4096)
-        plan, first = [], [0] * len(owed)
-        for shard, draw in enumerate(shard_draws(owed, seed, per_shard)):
-            at = 0
-            for i, n in enumerate(draw.tolist()):
-                if n:
-                    plan.append((shard, i, first[i], n, at, blocks[i]))
-                    first[i], at = first[i] + n, at + n
-        plan = spark.createDataFrame(plan, "shard long, source_no int, first long, n long, at long, blocks long")
-        self.slots = plan.repartition("shard", "source_no").mapInArrow(_slots, "shard long, slot long, source_no int, block long")
+        none, name = F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")
+        sources = spark.createDataFrame([(*k, r.n) for k, r in zip(self.known, order)], "source_no int, source string, source_size long, target double, n long")
+        self.sources = sources.select("source_no", "source")
+
+        # Places: prefix sums over the spans of a source, the buckets of a span, and within each bucket.
+        total = sum(r.n for r in found)
+        buckets = total // BUCKET + 1
+        placed = spread_join(units.select("doc_id", "digest", "size", "copies", none, name), sources.select("source_no", "source_size", "target", "n", none, name), ["none", "name"], total, "inner")
+        placed = placed.drop("none", "name").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest", "size"), F.lit(buckets)))
+        before = lambda by, at: W.partitionBy(*by).orderBy(*at).rowsBetween(W.unboundedPreceding, -1)
+        words = F.sum(F.col("size") * F.col("copies"))
+        spans = placed.groupBy("source_no", "bucket").agg(words.alias("words")).withColumn("span", F.expr(f"bucket div {SPAN}"))
+        firsts = spans.groupBy("source_no", "span").agg(F.sum("words").alias("words"))
+        firsts = firsts.select("source_no", "span", F.coalesce(F.sum("words").over(before(["source_no"], ["span"])), F.lit(0)).alias("first"))
+        bases = spans.withColumn("inside", F.coalesce(F.sum("words").over(before(["source_no", "span"], ["bucket"])), F.lit(0))).join(firsts, ["source_no", "span"])
+        bases = bases.select("source_no", "bucket", (F.col("first") + F.col("inside")).alias("base"))
+        placed = placed.withColumn("inside", F.coalesce(words.over(before(["source_no", "bucket"], ["doc_id", "size", "digest"])), F.lit(0))).join(bases, ["source_no", "bucket"])
+        placed = staged(placed.select("doc_id", "digest", "source_no", "source_size", "target", "size", "copies", (F.col("base") + F.col("inside")).alias("start")), "mix-places")
+        names = ["doc_id", "digest", "source_no", "source_size", "target", "size"]
+        many = placed.where("copies > 1").withColumn("from", F.explode(F.expr(f"sequence(0l, copies - 1, {COPIES}l)")))
+        many = many.repartition(max(32, spark.sparkContext.defaultParallelism), "doc_id", "digest", "source_no", "size", "from")  # a row may be repeated by the million
+        many = many.withColumn("copy", F.explode(F.expr(f"sequence(from, least(copies, from + {COPIES}) - 1)")))
+        self.rows = placed.where("copies = 1").select(*names, "start").unionByName(many.select(*names, (F.col("start") + F.col("copy") * F.col("size")).alias("start")))
+
+        owed = [(i, _slot_count(words, target, block), -(-words // block)) for i, _, words, target in self.known]
+        slots = sum(n for _, n, _ in owed)
+        shards = max(1, -(-slots // SHARD))
+        plan = spark.createDataFrame([r for r in owed if r[1]], "source_no int, slots long, blocks long").repartition(max(1, min(len(owed), shards)), "source_no").mapInArrow(_plan(shards, seed), "shard long, source_no int, first long, n long, blocks long")
+        plan = plan.withColumn("at", F.coalesce(F.sum("n").over(before(["shard"], ["source_no"])), F.lit(0)))
+        self.slots = plan.repartition(max(32, -(-slots // TASK_SLOTS)), "shard", "source_no").mapInArrow(_slots, "shard long, slot long, source_no int, block long")
 
     def pieces(self) -> DataFrame:
-        """source_no, block, doc_id, start, size, from_word, words: the part of each row in each block."""
+        """The columns of rows, and block, from_word, words: the part of each row in each block."""
         b = F.lit(self.block)
         cut = self.rows.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {self.block}, (start + size - 1) div {self.block})")))
         low, high = F.greatest(F.col("start"), F.col("block") * b), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
-        return cut.select("source_no", "block", "doc_id", "start", "size", (low - F.col("start")).alias("from_word"), (high - low).alias("words"))
+        return cut.select("*", (low - F.col("start")).alias("from_word"), (high - low).alias("words"))
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every row."""
         times = self.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
+        names = ["doc_id", "size", "source_size", "target"]
         # Merge join by hint: the slots come from a small plan, from which Spark would take their number to be small.
-        used = self.pieces().join(times.hint("merge"), ["source_no", "block"], "left").groupBy("source_no", "doc_id", "start", "size").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
-        used = used.select("source_no", "doc_id", "size", "taken").unionByName(self.rows.where("size = 0").select("source_no", "doc_id", "size", F.lit(0).cast("long").alias("taken")))
-        return used.join(F.broadcast(self.sources), "source_no").select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
-
-    def text(self, docs: DataFrame) -> DataFrame:
-        """shard, slot, source, text: each slot's words with one space between, in the mix's order within a shard."""
-        words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "").alias("all")).dropDuplicates(["doc_id"])
-        cut = self.pieces().join(words, "doc_id").select("source_no", "block", "start", F.expr("slice(all, int(from_word) + 1, int(words))").alias("part"))
-        blocks = cut.groupBy("source_no", "block").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts")).select("source_no", "block", F.array_join(F.flatten(F.col("parts.part")), " ").alias("text"))
-        return self.slots.join(blocks.hint("merge"), ["source_no", "block"]).join(F.broadcast(self.sources), "source_no").select("shard", "slot", "source", "text")
+        used = self.pieces().select("source_no", "block", "start", *names, "words").join(times.hint("merge"), ["source_no", "block"], "left")
+        used = used.groupBy("source_no", "start", *names).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+        return used.select(*names, F.col("taken").cast("long").alias("taken")).unionByName(self.rows.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken")))
+
+    def blocks(self, docs: DataFrame) -> DataFrame:
+        """shard, slot, source, doc_ids, text: each slot's words with one space between, and the documents that they come from.
+
+        docs: the table that the mix was made of. The mix's order is that of shard, then slot.
+        """
+        key = ["doc_id", "digest"]
+        words = _keyed(docs).select(*key, F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "").alias("all")).where(F.size("all") > 0)
+        words = words.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))).dropDuplicates(key)  # rows with one doc_id and digest have one text
+        cut = self.pieces().select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "digest", "source_no", "block", "start", "from_word", "words")
+        cut = cut.join(words.hint("merge"), key).select("source_no", "block", F.struct("start", F.nullif(F.col("doc_id"), F.lit(-(2**63))).alias("doc_id"), F.array_join(F.expr("slice(all, int(from_word) + 1, int(words))"), " ").alias("part")).alias("piece"))
+        blocks = cut.groupBy("source_no", "block").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most one piece a word
+        blocks = blocks.select("source_no", "block", F.array_distinct("pieces.doc_id").alias("doc_ids"), F.array_join("pieces.part", " ").alias("text"))
+        sources = self.sources if len(self.known) > 100_000 else F.broadcast(self.sources)
+        return self.slots.join(blocks.hint("merge"), ["source_no", "block"]).join(sources, "source_no").select("shard", "slot", "source", "doc_ids", "text")
 
 
 def _slot_count(words: int, target: float, block: int) -> int:
