@@ -407,8 +407,7 @@ def test_lm_scores_are_those_of_plain_loops():
     held = [i % 5 == 2 for i in range(len(texts))]
     with open(lmscore.TOKENIZER, "rb") as f:
         ranks = f.read()
-    table = {int(b): base64.b64decode(a) for a, b in map(bytes.split, ranks.splitlines())}
-    end = max(table) + 1
+    end = len(lmscore._blank(ranks))
     shared = type("Shared", (), {})
     given = shared()
     given.value = ranks
@@ -417,10 +416,10 @@ def test_lm_scores_are_those_of_plain_loops():
     row = chunk.to_pylist()[0]
     uses = np.zeros(end + 1)
     uses[row["used"]], uses[end] = row["uses"], held.count(False)
-    model = lm_model(uses, np.array([table.get(i, b"").startswith(b" ") for i in range(end)] + [True]))
+    model = lm_model(uses, np.r_[lmscore._blank(ranks), True])
 
     tokens = [[*words(x), None] for x in texts]
-    ids = [[list(i) for i in lmscore.subwords([w for w in t if w is not None], ranks)] for t in tokens]
+    ids = [[lmscore.encoder(ranks).encode_ordinary(" " + w) for w in t[:-1]] for t in tokens]
     cuts, anchors = [], []
     for t in tokens:
         w = t[:-1]
@@ -468,7 +467,7 @@ def test_lm_scores_are_those_of_plain_loops():
             total += plain
         want.append(total)
     asked = list(lmscore._asked([pa.RecordBatch.from_pylist([{"chunk": 0, **{k: row[k] for k in ("keys", "kinds", "counts")}}])]))[0]
-    asked = pa.table({"kind": asked.column("kind"), "key": asked.column("key"), "total": asked.column("n")})
+    asked = pa.table({"place": asked.column("place"), "total": asked.column("n")})
     given.value = (model, *(np.array([c.get(i, 0) for i in range(end + 1)]) for c in (mass, types)))
     kept = pa.Table.from_pylist([{"chunk": 0} | {k: v for k, v in row.items() if k not in ("keys", "kinds", "counts", "used", "uses")}])
     got = lmscore._scored(given, len(count) + 1, 100, held.count(False), end)(asked, kept)
@@ -476,6 +475,18 @@ def test_lm_scores_are_those_of_plain_loops():
     assert want[3] / len(tokens[3]) > want[-1] / len(tokens[-1])  # a text that occurs twice is remembered
 
 
+def test_lm_subwords_are_those_of_each_word():
+    with open(lmscore.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    rng = random.Random(2)
+    bits = ["a", "the", "ing", "1", "42", "'s", "!", "é", "ção", "\u00a0", "\u2003", "日本", "\u0085", "-", "x" * 3000]
+    for odd in (bits, [b for b in bits if not b.isspace()]):
+        for _ in range(300):
+            some = ["".join(rng.choice(odd) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 6))]
+            flat, lens = lmscore.subwords(some, ranks)
+            assert [x.tolist() for x in np.split(flat, np.cumsum(lens)[:-1])] == [lmscore.encoder(ranks).encode_ordinary(" " + w) for w in some] or not some
+
+
 def test_lm_beats_its_base_on_held_out_texts(spark):
     found = lmscore.text_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
     score, base = found.agg(F.sum("score"), F.sum("base_score")).first()
