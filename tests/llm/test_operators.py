@@ -93,13 +93,31 @@ def test_keep_first(docs, rows):
     assert kept.count() == len(norm) and kept.select(dedup_exact.norm_text(F.col("text"))).distinct().count() == len(norm)
 
 
-def test_filters_merge_without_loss():
-    rng = np.random.default_rng(0)
-    parts = [rng.integers(0, 1 << 63, 500).astype(np.uint64) >> np.uint64(rng.integers(0, 30)) for _ in range(6)]
-    parts.append(parts[0][:100])
-    prints, counts = dedup_exact.merge([dedup_exact.encode(*dedup_exact.fill_filter(p)) for p in parts])
+def test_keep_first_with_clashing_names_and_shared_ids(spark):
+    rows = [(1, "a b", "x"), (1, "c d", "y"), (2, "a  b", "z"), (3, "c d", "w"), (1, "a b", "x"), (4, "alone", "v"), (1, "own", "u")]
+    kept = dedup_exact.keep_first(spark.createDataFrame(rows, "doc_id long, text string, _sha string").withColumn("_id", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "_sha", "_id"]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b"), (1, "c d"), (1, "own"), (4, "alone")]
+
+
+@pytest.mark.parametrize("bits", [20, 54])
+def test_counting_quotient_filter(bits):
+    rng = np.random.default_rng(bits)
+    parts = [rng.integers(0, 1 << bits, 500).astype(np.uint64) >> np.uint64(rng.integers(0, 12)) for _ in range(6)]
+    parts += [parts[0][:100], np.full(200_000, 77, np.uint64), np.arange(50, dtype=np.uint64), np.zeros(0, np.uint64)]
+    one, many = dedup_exact.CountingQuotientFilter(bits), []
+    for p in parts:
+        one.insert(p)
+        many.append(dedup_exact.CountingQuotientFilter(bits))
+        many[-1].insert(p)
     want = collections.Counter(np.concatenate(parts).tolist())
-    assert dict(zip(prints.tolist(), counts.tolist())) == want and (np.diff(prints.astype(object)) > 0).all()
+    for cqf in (one, dedup_exact.merge(many), dedup_exact.CountingQuotientFilter.from_bytes(one.to_bytes())):
+        prints, counts = cqf.items()
+        assert dict(zip(prints.tolist(), counts.tolist())) == want and prints.tolist() == sorted(want)
+        assert all(cqf.count(x) == want[x] for x in [*list(want)[:200], 77, 0, 49]) and cqf.count(next(x for x in range(1 << 20) if x not in want)) == 0
+        assert cqf.occupied.sum() == cqf.run_end.sum() == len({x >> (bits - cqf.q_bits) for x in want})
+        assert (~cqf.counter[cqf.occupied.nonzero()[0][:1]]).all() and cqf.counter.sum() >= sum(n > 1 for n in want.values())
+    assert dedup_exact.CountingQuotientFilter(bits).items()[0].size == 0
 
 
 # 4
