@@ -590,6 +590,38 @@ def test_personal_data(spark, docs, none):
     assert pii.personal_data(docs).where("doc_id = 0").first().spans == "" and pii.personal_data(none).count() == 0
 
 
+def test_field_finds_masked_repeats_and_leaves_others(spark):
+    """On texts that the field didn't learn from: repeats as no pattern knows them are added, numbers of the same shape are not."""
+    rng = random.Random(16)
+    rows, want = [], {}
+    for i in range(600):
+        p = f"+1 {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+        e = f"{''.join(prose(rng, 1))}.{rng.randint(1, 99)}@{''.join(prose(rng, 1))}.example.com"
+        text = f"{' '.join(prose(rng, 20))} {p if i % 2 else e} {' '.join(prose(rng, 20))}"
+        if i % 3 == 0:
+            y = "-".join(re.sub("[^0-9]", "", p)[-10:][a:b] for a, b in ((0, 3), (3, 6), (6, 10))) if i % 2 else e.replace("@", " [at] ")
+            want[i] = (len(text) + 1, len(text) + 1 + len(y))
+            text += f" {y} {' '.join(prose(rng, 5))}"
+        elif i % 3 == 1:
+            text += f" {rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)} {' '.join(prose(rng, 5))}"
+        rows.append((i, text))
+    got = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = sum(f":{a}:{b}" in got[i].spans for i, (a, b) in want.items())
+    assert hit >= 0.9 * len(want)
+    assert sum(got[i].n_added > 0 for i, _ in rows if i % 3 == 1) <= 0.05 * len(rows) / 3
+    assert sum(got[i].n_added > 0 for i, _ in rows if i % 3 == 2) <= 0.02 * len(rows) / 3
+
+
+def test_field_weights_favour_equal_labels():
+    rng = random.Random(5)
+    texts = [f"{' '.join(prose(rng, 9))} +1 {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)} and {' '.join(prose(rng, 9))}" for _ in range(200)]
+    w, near, far, skip = pii.fit([tuple(pii.example(t, i).values()) for i, t in enumerate(texts)])
+    phone = pii.LABELS.index("phone")
+    assert skip[phone, phone] > skip[phone, 0] and (skip != 0).any() and np.allclose(skip, skip.T)
+    one = pii.example("1234567 x " * 5000, 1)
+    assert len(one["label"]) == pii.SAMPLE_NODES
+
+
 # 2
 def test_licences(spark, docs, none):
     rng = random.Random(8)

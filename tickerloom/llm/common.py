@@ -61,6 +61,17 @@ def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], total: int,
     return done.unionByName(rest.join(cold, keys, how).select(*done.columns))
 
 
+def drawn(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """About `most` of the n rows by a hash of their texts, each text once; draw: a number to order and cut them by.
+
+    Rows that repeat a text are drawn together and count once, so a text of very many rows doesn't fill the sample. Rows
+    without a text are left out.
+    """
+    rate = min(1_000_000_000, 1_000_000_000 * most // max(1, n))
+    some = rows.withColumn("draw", F.xxhash64("text", F.lit(most))).where(F.col("text").isNotNull() & (F.pmod("draw", F.lit(1_000_000_000)) < F.lit(rate)))
+    return some.dropDuplicates(["draw"])
+
+
 def crc_mod(doc_id, k: int):
     """crc32 of doc_id as text, mod k; a null doc_id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % k

@@ -1,16 +1,21 @@
 """Personal data: base patterns, and a skip-chain conditional random field that adds what they miss.
 
 Base spans come from fixed patterns and checks. Around them, the field's nodes are a document's candidates: stretches
-that look like a number of some length, or like an address. Chain edges join neighbours; skip edges join candidates with
-the same or a similar normal form, however far apart, each with the one before. Base spans are evidence. Loopy
-sum-product passes messages over both kinds of edges, and a free candidate becomes a span where a label's belief is high.
-Weights are learned by pseudo-likelihood from a bounded sample of documents labelled by the base patterns; the marks by
-which a pattern decides are hidden from half of the nodes, so that form, context and repeats have to tell.
+that look like a number of some length, or like an address. Chain edges join neighbours, near and far ones with weights of
+their own; skip edges join candidates with the same or a similar normal form, however far apart, each with the one before.
+Base spans are evidence. Loopy sum-product passes messages over all edges, and a free candidate becomes a span where a
+label's belief is high.
+
+Weights are learned by pseudo-likelihood from a bounded sample of documents labelled by the base patterns. To each are
+added repeats of its entities in forms that no pattern knows, numbers of the same shapes that are none, and longer numbers
+that end like an entity and are none: so a skip edge's weights come from pairs that agree and pairs that don't. The marks by
+which a pattern decides are hidden from half of the nodes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -19,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import sliced, utf8
+from tickerloom.llm.common import drawn, sliced, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-SAMPLE_DOCS = 60_000  # documents whose candidates teach the field, about
-BELIEF = 0.9  # of a label, from which a free candidate becomes a span
-SAME = 5.0  # weight of two candidates of one form having one label, before learning
+SAMPLE, SAMPLE_NODES = 2000, 50  # documents with candidates that teach the field, and candidates of each, at most
+LOOKED = 60_000  # documents that are looked through for them, about
+BELIEF = 0.75  # of a label, from which a free candidate becomes a span
 ROUNDS = 12  # of message passing
-NEAR = 200  # characters between neighbours on a chain edge at most
+NEAR = 200  # characters between neighbours, beyond which the chain edge is a far one
 DIM = 256
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -97,11 +102,12 @@ class Nodes:
         self.label = np.array([spans.get(s, 0) for s in self.spans], np.int64)
         self.fixed = self.label > 0
         self.features, self.marks = zip(*[_describe(text, a, b) for a, b in self.spans]) if self.spans else ((), ())
-        self.chain = [(i, i + 1) for i in range(len(self.spans) - 1) if self.spans[i + 1][0] - self.spans[i][1] <= NEAR]
+        self.chain = [(i, i + 1) for i in range(len(self.spans) - 1)]
+        self.far = [self.spans[j][0] - self.spans[i][1] > NEAR for i, j in self.chain]
         self.skip, last = [], {}
         for i, (a, b) in enumerate(self.spans):
             for form in _forms(text[a:b]):
-                if form in last and (not self.chain or last[form] != i):
+                if form in last and last[form] != i:
                     self.skip.append((last[form], i))
                 last[form] = i
         self.skip = sorted(set(self.skip))
@@ -128,60 +134,82 @@ def _describe(text: str, a: int, b: int) -> tuple[list[int], list[int]]:
     return place(plain), place(marks)
 
 
-def fit(rows: list[tuple], rounds: int = 300) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights of features, chain and skip edges. rows: a document's (features, marks, labels, chain, skip) each.
-
-    Pseudo-likelihood: each node given its features and its neighbours' labels, with an L2 penalty. A candidate that no
-    pattern labels but that repeats a labelled one may be either: it teaches nothing, nor do its edges.
+def repeats(text: str, base: list[tuple[int, int, int]], rng: random.Random) -> tuple[str, dict]:
+    """The text with up to four of its entities again, as no pattern knows them, and with others that are none; labels of those by span."""
+    words, made, truth, out = re.findall(r"[A-Za-z]{2,20}", text[:20_000]) or ["and"], [], {}, text
+    for kind, a, b in rng.sample(base, min(4, len(base))):
+        x, digits = text[a:b], re.sub("[^0-9]", "", text[a:b])
+        other = "".join(rng.choice("0123456789") for _ in digits)
+        for label, d in ((kind + 1, digits), (kind + 1, digits), (0, other), (0, f"{rng.randint(10, 99)}{digits}")):
+            if label == 0 and d is not other and rng.random() < 0.85:
+                continue
+            if kind == 0:
+                local, _, domain = x.partition("@")
+                local, domain = (local, domain) if label else ("".join(rng.choice("abcdefghij") for _ in local[:12]), domain)
+                y = local + rng.choice([" [at] ", " (at) ", "[at]", " at "]) + domain.replace(".", rng.choice([".", " [dot] ", " dot "]))
+            elif kind == 1:
+                parts = x.split(".") if label else [d[i : i + 2] for i in range(0, len(d), 2)]
+                y = rng.choice(["/", "-"]).join(parts)
+            else:
+                d = d[-10:] if kind == 3 and d is digits and len(d) >= 10 and rng.random() < 0.7 else d
+                sep = rng.choice(["", "-", "."]) if kind == 3 else rng.choice([".", "/"])
+                cut = [len(d) - 7, len(d) - 4] if kind == 3 else range(4, len(d), 4)
+                y = sep.join(d[i:j] for i, j in zip([0, *cut], [*cut, len(d)]) if i < j)
+                y = f"({d[:3]}) {d[3:6]}-{d[6:]}" if kind == 3 and len(d) == 10 and rng.random() < 0.3 else y
+            made.append((y, label))
+    rng.shuffle(made)  # so that neighbours say nothing of how these came about
+    for y, label in made:
+        out += " " + " ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) + " "
+        truth[(len(out), len(out) + len(y))] = label
+        out += y
+    return out + " " + rng.choice(words), truth
+
+
+def fit(rows: list[tuple], rounds: int = 600) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of features, near and far chain edges, and skip edges. rows: a document's (features, marks, labels, chain, far, skip) each.
+
+    Pseudo-likelihood: each node given its features and its neighbours' labels, with an L2 penalty. A label of -1 is open (a
+    candidate that repeats an entity and may be one): such a node teaches nothing, nor do its edges.
     """
     k = len(LABELS)
-    x, y, sure, near, far = [], [], [], [], []
-    for features, marks, label, chain, skip in rows:
-        base = len(y)
-        open_ends = {j for edge in skip for i, j in (edge, edge[::-1]) if label[i] and not label[j]}
-        sure.extend(i not in open_ends for i in range(len(label)))
+    x, y, sums = [], [], []
+    for features, marks, label, chain, far, skip in rows:
         for i, (f, m) in enumerate(zip(features, marks)):
-            row = np.zeros(DIM)
+            row = np.zeros(DIM, np.float32)
             row[f] = 1
-            if (base + i) % 2:
+            if (len(y) + i) % 2:
                 row[m] = 1
             x.append(row)
         y.extend(label)
-        for edges, out in ((chain, near), (skip, far)):
-            sums = np.zeros((len(label), k))
-            for i, j in edges:
-                if i in open_ends or j in open_ends:
-                    continue
-                sums[i, label[j]] += 1
-                sums[j, label[i]] += 1
-            out.append(sums)
-    w, a, b = np.zeros((DIM, k)), np.zeros((k, k)), np.zeros((k, k))
-    bias = zlib.crc32(b"bias") % DIM
-    w[bias, 0] = 4.0  # and not learned: documents labelled by patterns may hold no candidate that is none
-    same = np.diag([0.0] + [SAME] * (k - 1))  # repeats of an entity are mostly entities; few documents say how mostly
-    b = same.copy()
-    if not y:
-        return w, a, b
-    x, y, near, far = np.array(x), np.array(y), np.concatenate(near), np.concatenate(far)
-    sure = np.array(sure)
-    x, y, near, far = x[sure], y[sure], near[sure], far[sure]
-    want, n = np.eye(k)[y], max(1, len(y))
-    momentum = [np.zeros_like(w), np.zeros_like(a), np.zeros_like(b)]
+        mine = np.zeros((3, len(label), k), np.float32)
+        for kind, (i, j) in [*((int(f), e) for e, f in zip(chain, far)), *((2, e) for e in skip)]:
+            if label[i] >= 0 and label[j] >= 0:
+                mine[kind, i, label[j]] += 1
+                mine[kind, j, label[i]] += 1
+        sums.append(mine)
+    w, edges = np.zeros((DIM, k)), [np.zeros((k, k)) for _ in range(3)]
+    sure = np.array(y, np.int64) >= 0
+    if not sure.any():
+        w[zlib.crc32(b"bias") % DIM, 0] = 9.0  # nothing is known, so no candidate is taken
+        return w, *edges
+    x, y, sums = np.array(x)[sure], np.array(y)[sure], np.concatenate(sums, 1)[:, sure]
+    want, n = np.eye(k)[y], len(y)
+    momentum = [np.zeros_like(w), *(np.zeros_like(e) for e in edges)]
     for _ in range(rounds):
-        z = x @ w + near @ a + far @ b
-        p = np.exp(z - z.max(1, keepdims=True, initial=-1e9))
+        z = x @ w + sum(s @ e for s, e in zip(sums, edges))
+        p = np.exp(z - z.max(1, keepdims=True))
         error = (p / p.sum(1, keepdims=True) - want) / n
-        grads = [x.T @ error + 1e-4 * w, near.T @ error + 1e-3 * a, far.T @ error + 1e-2 * (b - same)]
-        grads[0][bias] = 0
-        momentum = [0.9 * m - 0.3 * g for m, g in zip(momentum, grads)]
-        w, a, b = w + momentum[0], a + momentum[1], b + momentum[2]
-        a, b = (a + a.T) / 2, (b + b.T) / 2  # an edge has no direction
-    return w, a, b
+        grads = [x.T @ error + 1e-4 * w, *(s.T @ error + 3e-4 * e for s, e in zip(sums, edges))]
+        momentum = [0.9 * m - 0.5 * g for m, g in zip(momentum, grads)]
+        w = w + momentum[0]
+        edges = [e + m for e, m in zip(edges, momentum[1:])]
+        edges = [(e + e.T) / 2 for e in edges]  # an edge has no direction
+    return w, *edges
 
 
 def beliefs(nodes: Nodes, model) -> np.ndarray:
     """nodes x labels after loopy message passing; fixed nodes stand for their label alone."""
-    w, a, b = model
+    w, *tables = model
     k = len(LABELS)
     node = np.array([w[f].sum(0) + w[m].sum(0) for f, m in zip(nodes.features, nodes.marks)])
     node[nodes.fixed] = -1e9
@@ -190,7 +218,7 @@ def beliefs(nodes: Nodes, model) -> np.ndarray:
     if not len(edges):
         e = np.exp(node - node.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
-    pot = np.concatenate([np.repeat(a[None], len(nodes.chain), 0), np.repeat(b[None], len(nodes.skip), 0)])
+    pot = np.array(tables)[[*map(int, nodes.far), *[2] * len(nodes.skip)]]
     src, dst = np.r_[edges[:, 0], edges[:, 1]], np.r_[edges[:, 1], edges[:, 0]]
     pot, half = np.concatenate([pot, pot]), len(edges)
     back = np.r_[np.arange(half, 2 * half), np.arange(half)]
@@ -225,17 +253,28 @@ def _telling(column) -> list[bool]:
     return (total[off[1:]] > total[off[:-1]]).tolist()
 
 
+def example(text: str, seed: int) -> dict:
+    """What a document teaches: a stretch of its nodes, by the base patterns and with repeats that it was given."""
+    text, truth = repeats(text, base_spans(text), random.Random(seed))
+    nodes = Nodes(text, base_spans(text))
+    entity = [bool(f) or truth.get(s, 0) > 0 for f, s in zip(nodes.fixed, nodes.spans)]
+    open_ends = {j for edge in nodes.skip for i, j in (edge, edge[::-1]) if entity[i] and not entity[j]}
+    label = [truth[s] if s in truth else -1 if i in open_ends else int(k) for i, (s, k) in enumerate(zip(nodes.spans, nodes.label))]
+    a = max(0, len(nodes.spans) - SAMPLE_NODES)  # what was added stands last
+    cut = lambda edges: [(i - a, j - a) for i, j in edges if i >= a]
+    return {"features": [list(f) for f in nodes.features[a:]], "marks": [list(m) for m in nodes.marks[a:]], "label": label[a:], "chain": cut(nodes.chain), "far": nodes.far[a:], "skip": cut(nodes.skip)}
+
+
 def _examples(batches):
     for batch in sliced(batches):
-        rows = []
-        for text, telling in zip(batch.column("text").to_pylist(), _telling(batch.column("text"))):
-            if telling:
-                nodes = Nodes(text, base_spans(text))
-                if nodes.spans:
-                    rows.append({"features": [list(f) for f in nodes.features], "marks": [list(m) for m in nodes.marks], "label": nodes.label.tolist(), "chain": [list(e) for e in nodes.chain], "skip": [list(e) for e in nodes.skip]})
+        rows, draws = [], []
+        for text, draw, telling in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist(), _telling(batch.column("text"))):
+            if telling and (got := example(text, draw))["label"]:
+                rows.append(got)
+                draws.append(draw)
         lists = pa.list_(pa.list_(pa.int64()))
-        kinds = {"features": lists, "marks": lists, "label": pa.list_(pa.int64()), "chain": lists, "skip": lists}
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in kinds.items()], list(kinds))
+        kinds = {"features": lists, "marks": lists, "label": pa.list_(pa.int64()), "chain": lists, "far": pa.list_(pa.bool_()), "skip": lists}
+        yield pa.RecordBatch.from_arrays([pa.array(draws, pa.int64()), *(pa.array([r[c] for r in rows], k) for c, k in kinds.items())], ["draw", *kinds])
 
 
 def _joined(spans) -> str:
@@ -267,9 +306,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = rows.count()
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(max(1, min(1_000_000, 1_000_000 * SAMPLE_DOCS // max(1, n)))))
     kind = "array<array<long>>"
-    found = sample.select("text").mapInArrow(_examples, f"features {kind}, marks {kind}, label array<long>, chain {kind}, skip {kind}").collect()
-    model = spark.sparkContext.broadcast(fit(sorted(tuple(r) for r in found)))
+    found = drawn(rows, rows.count(), LOOKED).select("draw", "text").mapInArrow(_examples, f"draw long, features {kind}, marks {kind}, label array<long>, chain {kind}, far array<boolean>, skip {kind}")
+    found = found.orderBy("draw").limit(SAMPLE).collect()
+    model = spark.sparkContext.broadcast(fit([tuple(r)[1:] for r in found]))
     return rows.mapInArrow(_found(model), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
