@@ -628,13 +628,58 @@ def test_licences(spark, docs, none):
     filler = lambda: " ".join(prose(rng, 25))
     cases = [("Released under the MIT License.", "mit"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("All rights reserved.", "reserved"), ("This work is licensed under the GNU General Public License, version 3.", "gpl"), ("Licensed under the Apache License, Version 2.0.", "apache")]
     rows = [(i, "\n".join([filler(), cases[i % 7][0] if i % 7 < 5 else filler(), filler()])) for i in range(140)]
-    rows += [(900, "the license of the version is reserved for the public"), (901, None), (902, "GPL " * 3000)]
+    rows += [(900, "the license of the version is reserved for the public"), (901, None), (902, "GPL " * 3000), (903, "Licensed under the MIT License\n\n" + filler() + "\n\nAll rights reserved.")]
     got = {r.doc_id: r for r in license.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[i].families == (cases[i % 7][1] if i % 7 < 5 else "") for i, _ in rows[:140])
-    assert got[0].notices == "mit:1" and [got[i].n_notices for i in (900, 901, 902)] == [0, 0, 0]
+    assert got[0].notices == "mit:1" and [got[i].n_notices for i in (900, 901, 902)] == [0, 0, 0] and got[903].notices == "mit:0,reserved:4"
     assert license.licences(none).count() == 0 and license.licences(docs).agg(F.sum("n_notices")).first()[0] == 0
 
 
+def wrapped(text, width, prefix):
+    lines, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            lines.append(line)
+            line = ""
+        line += (" " if line else "") + w
+    return "\n".join(prefix + x for x in [*lines, line])
+
+
+def test_wrapped_varied_and_named_notices_are_found(spark):
+    """Recall on notices wrapped as in source files, with words left out, and on names and identifiers; prose of their words isn't taken."""
+    rng = random.Random(12)
+    cases = [(f, x) for f, x in license.templates() if f != license.FAMILIES.index("reserved")]
+    rows, want = [], {}
+    for i in range(500):
+        f, x = cases[i % len(cases)] if i >= 60 else (long := [c for c in cases if len(c[1]) > 100])[i % len(long)]
+        if len(x.split()) > 12 and i % 2:
+            x = " ".join(w for w in x.split() if rng.random() > 0.05)
+        prefix = ["", "# ", " * ", "// "][i % 4]
+        rows.append((i, f"{' '.join(prose(rng, 12))}\n\n{prefix}Copyright 2021 Someone\n{wrapped(x, 72, prefix)}\n\n{' '.join(prose(rng, 12))}"))
+        want[i] = license.FAMILIES[f]
+    bag = [w for _, x in cases for w in x.split()]
+    rows += [(1000 + i, " ".join(rng.choice(bag) for _ in range(60))) for i in range(200)]
+    rows += [(2000, "/* SPDX-License-Identifier: GPL-2.0-only */"), (2001, "BSD-2-Clause is its SPDX-License-Identifier: BSD-2-Clause"), (2002, "SPDX-License-Identifier: LGPL-2.1-or-later"), (2003, " ".join(prose(rng, 300)) + " " + license.NOTICES["mit"][0] + " " + " ".join(prose(rng, 300)))]
+    got = {r.doc_id: r for r in license.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [i for i in want if want[i] in got[i].families.split(",")]
+    assert len(hit) >= 0.9 * len(want), [(want[i], got[i].families, rows[i][1]) for i in want if i not in hit][:5]
+    assert sum(got[1000 + i].n_notices > 0 for i in range(200)) <= 10
+    assert [got[i].families for i in range(2000, 2004)] == ["gpl", "bsd", "lgpl", "mit"]
+
+
+def test_template_shares_are_those_of_sets():
+    rng, v = random.Random(3), license.Vocabulary()
+    tokens = lambda x: re.findall("[a-z0-9]+", x.lower())
+    bigrams = lambda w: set(zip(w, w[1:]))
+    for _ in range(40):
+        f, x = rng.choice(license.templates())
+        w = [y for y in tokens(x) if rng.random() > 0.1]
+        _, _, of, at = v.stretches(pa.array([" ".join(w)]))
+        if len(of) and of.max() == 0:
+            want = max(len(bigrams(tokens(y)) & bigrams(w)) / len(bigrams(tokens(y))) for k, y in license.templates() if k == f and len(tokens(y)) > 1)
+            assert v.share(f, np.unique(at)) == pytest.approx(want)
+
+
 # shared
 def test_slices_and_shingles():
     batch = pa.RecordBatch.from_pydict({"text": ["ab " * 400, None, "x", "y" * 5000, ""]})
