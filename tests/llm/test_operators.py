@@ -343,6 +343,23 @@ def test_leaks(spark, docs, none):
     assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == ({i for i, _ in text} | {100, 101}) - {d for d, _ in want}
 
 
+def test_clean_goes_by_row(spark, monkeypatch):
+    rng = random.Random(2)
+    item, other = " ".join(prose(rng, 30)), [" ".join(prose(rng, 40)) for _ in range(3)]
+    leaky = f"{other[0]} {item} {other[1]}"
+    rows = [(None, leaky), (None, other[0]), (1, leaky), (1, other[1]), (1, other[1]), (2, None), (3, ""), (None, None), (4, f"{item} end")]
+    docs = spark.createDataFrame([(*r, "i", "h") for r in rows], "doc_id long, text string, _id string, _hash string")
+    bench = spark.createDataFrame([(None, item), (None, item), (7, None), (8, "short item")], "item_id long, text string")
+    text = lambda r: tuple(map(str, r))
+    want = sorted((r for r in rows if not (r[1] and item in r[1])), key=text)
+    for most in (decontaminate.BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", most)
+        kept = decontaminate.clean(docs, bench)
+        assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=text) == want
+        assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == {(None, None), (1, None), (4, None)}
+    assert decontaminate.clean(docs.limit(0), bench).count() == 0 and decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
+
+
 # 8
 def test_quality(spark, docs, none):
     rng = random.Random(4)

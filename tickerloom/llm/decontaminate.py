@@ -19,14 +19,13 @@ MASKS = ("1110010111", "110101110001")
 WINDOW = 15
 SLACK = 2
 MIN_WORDS = 8
-BROADCAST_SEEDS = 2_000_000  # seeds of the test items that are broadcast at most (24 bytes each); beyond, both sides shuffle
+BROADCAST_SEEDS = 2_000_000  # seeds of the test items that are broadcast at most (24 bytes each); beyond, seeds meet in a shuffle
 
 
 def tokens(text) -> Column:
-    """Lower-cased words. Blanks at either end leave an empty token, which is cut off."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    low = F.translate(trimmed, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.when(F.length(low) > 0, F.split(low, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
+    """Lower-cased words; blanks at either end would leave an empty one."""
+    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_remove(F.split(low, r"[\x20\x09-\x0D]+"), "")
 
 
 def _seed(mask: str, number: int) -> Column:
@@ -37,47 +36,60 @@ def _seed(mask: str, number: int) -> Column:
 
 def _seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
     """rows(key, words) with a row for each place and mask: at, seed."""
-    placed = rows.where(F.size("words") > 0).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
+    placed = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words"))))  # the last place has no seed
     return placed.withColumn("seed", F.explode(F.array(*[_seed(m, i) for i, m in enumerate(masks)]))).where("seed is not null")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_aligned, n_same, first_word: of each document and item the best leak at one shift.
-
-    docs(doc_id, text), benchmark(item_id, text); other columns are ignored. Null and empty texts have no leak. Rows with
-    equal doc_id count as one document. Documents without a leak have no row.
-    """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("words")).where(F.size("words") >= MIN_WORDS)
-    items = staged(items, "leak-items")
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, hash (64 bits of the text), item_id, n_aligned, n_same, first_word: of each document and item the leaks at all shifts."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text").cast("string")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    items = staged(items.distinct().withColumn("item", F.monotonically_increasing_id()), "leak-items")  # an item_id may be null or come with several texts
     short = [r.n for r in items.where(F.size("words") < WINDOW).select(F.size("words").alias("n")).distinct().collect()]  # WINDOW values at most
     masks = list(MASKS) + ["1" * n for n in sorted(short)]
     long_item = F.size("words") >= WINDOW
     short_number = F.array_position(F.array(*[F.lit(len(m) if i >= len(MASKS) else -1) for i, m in enumerate(masks)]), F.size("words")) - 1
     seeds = items.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
-    seeds = seeds.select("item_id", "at", "words", F.posexplode(F.array(*[_seed(m, i) for i, m in enumerate(masks)])).alias("number", "seed"))
+    seeds = seeds.select("item", "at", "words", F.posexplode(F.array(*[_seed(m, i) for i, m in enumerate(masks)])).alias("number", "seed"))
     seeds = seeds.where(F.col("seed").isNotNull() & ((long_item & (F.col("number") < len(MASKS))) | (~long_item & (F.col("number") == short_number))))
-    seeds = staged(seeds.select("seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("item_size")), "leak-seeds")
+    seeds = staged(seeds.select("seed", "item", F.col("at").alias("item_at"), F.size("words").alias("item_size")), "leak-seeds")
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text")).alias("words"))
-    placed = _seeds(rows, masks)
-    hits = placed.join(F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds, "seed")
-    shift = F.col("at") - F.col("item_at")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("hash"), tokens(F.col("text").cast("string")).alias("words"))
+    shift = (F.col("at") - F.col("item_at")).alias("shift")
     # Of each hit, only the item's stretch of the document goes on.
-    first = F.greatest(shift, F.lit(0))
-    aligned = hits.select("doc_id", "item_id", shift.alias("shift"), F.slice("words", first + 1, F.least(F.col("item_size"), shift + F.col("item_size"))).alias("part"))
-    aligned = aligned.dropDuplicates(["doc_id", "item_id", "shift", "part"])
-    compared = aligned.join(F.broadcast(items) if seeds.count() <= BROADCAST_SEEDS else items, "item_id")
+    part = F.slice("words", F.greatest(F.col("shift"), F.lit(0)) + 1, F.least(F.col("item_size"), F.col("shift") + F.col("item_size"))).alias("part")
+    if seeds.count() <= BROADCAST_SEEDS:
+        hits = _seeds(rows, masks).join(F.broadcast(seeds), "seed").select("doc_id", "hash", "item", "item_size", "words", shift)
+        items = F.broadcast(items)
+    else:  # documents' seeds go without their words, which are fetched for what was hit
+        met = _seeds(rows, masks).select("doc_id", "hash", "at", "seed").join(seeds, "seed").select("doc_id", "hash", "item", "item_size", shift).distinct()
+        met = staged(met, "leak-hits").withColumn("doc_id", F.struct("doc_id"))  # structs with null meet
+        hits = rows.withColumn("doc_id", F.struct("doc_id")).join(met, ["doc_id", "hash"]).withColumn("doc_id", F.col("doc_id.doc_id"))
+    aligned = hits.select("doc_id", "hash", "item", "shift", part).dropDuplicates(["doc_id", "hash", "item", "shift"])
+    compared = aligned.join(items, "item")
     same = F.zip_with("part", F.expr("slice(words, greatest(-shift, 0) + 1, size(part))"), lambda a, b: (a == b).cast("int"))
-    compared = compared.select("doc_id", "item_id", F.size("words").alias("item_size"), F.greatest("shift", F.lit(0)).alias("first_word"), same.alias("same"))
+    compared = compared.select("doc_id", "hash", "item_id", F.size("words").alias("item_size"), F.greatest("shift", F.lit(0)).alias("first_word"), same.alias("same"))
     window = F.least(F.lit(WINDOW), F.col("item_size"))
     need = F.when(F.col("item_size") >= WINDOW, window - SLACK).otherwise(window)
     best = F.when(F.size("same") >= window, F.array_max(F.transform(F.sequence(F.lit(1), F.size("same") - window + 1), lambda i: F.aggregate(F.slice("same", i, window), F.lit(0), lambda x, y: x + y))))
     found = compared.withColumn("need", need).withColumn("best", best).where("best >= need")
-    found = found.select("doc_id", "item_id", F.size("same").alias("n_aligned"), F.aggregate("same", F.lit(0), lambda x, y: x + y).alias("n_same"), "first_word")
+    return found.select("doc_id", "hash", "item_id", F.size("same").alias("n_aligned"), F.aggregate("same", F.lit(0), lambda x, y: x + y).alias("n_same"), "first_word")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_aligned, n_same, first_word: of each document and item the best leak at one shift.
+
+    docs(doc_id, text), benchmark(item_id, text); other columns are ignored. Null and empty texts have no leak, and items
+    without a text or with few words none. Rows with equal doc_id count as one document, and those without one as another;
+    so do items. Documents without a leak have no row; empty tables have none.
+    """
+    found = _found(docs, benchmark)
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_same", "n_aligned", -F.col("first_word"))).alias("top")).select("doc_id", "item_id", "top.n_aligned", "top.n_same", (-F.col("top.col3")).alias("first_word"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without a leak."""
-    dropped = staged(leaks(docs, benchmark).select("doc_id").distinct(), "leak-docs")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """The rows of docs whose text has no leak, with all their columns.
+
+    Each row goes or stays by its own text, also where doc_ids are null or repeat. Null and empty texts stay.
+    """
+    dropped = staged(_found(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct(), "leak-docs")
+    return docs.join(dropped, docs.doc_id.cast("long").eqNullSafe(dropped._id) & (F.xxhash64(docs.text.cast("string")) == dropped._hash), "left_anti")
