@@ -214,7 +214,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Of pairs(a, b) that meet under the first order, those that meet under the others, too, and whose sets are similar enough."""
     others = range(1, ORDERS)
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"), *[F.col(f"prefix{k}").alias(f"p{k}_{x}") for k in others])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")  # sets are never broadcast
     for k in others:
         both = both.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
     inter = F.size(F.array_intersect("t_a", "t_b"))
@@ -292,7 +292,7 @@ def _roots(nodes: DataFrame) -> DataFrame:
     posts = staged(posts, "near-posts")
     mixed = posts.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("many")).where("x <> y").select("token", "many")
     posts = posts.join(mixed, "token")
-    crowded = posts.where(F.col("many") > CROWD).join(nodes.select("node", "prefix1"), "node").withColumn("other", F.explode("prefix1")).drop("prefix1", "many")
+    crowded = posts.where(F.col("many") > CROWD).join(nodes.select("node", "prefix1").hint("merge"), "node").withColumn("other", F.explode("prefix1")).drop("prefix1", "many")
     posts = staged(posts.where(F.col("many") <= CROWD).drop("many").withColumn("other", F.lit(0).cast("long")).unionByName(crowded), "near-posts")
     side = lambda x: posts.select("token", "other", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "left", "root")])
     may = _may(F.least("left_a", "left_b"), F.col("n_a") + F.col("n_b"))
