@@ -383,6 +383,37 @@ def test_quality(spark, docs, none):
     assert quality.scores(none).count() == 0 and quality.keep_good(docs).columns == docs.columns
 
 
+def test_labellers_accuracies_are_found():
+    """Votes drawn with known accuracies, in kinds of known shares."""
+    rng, n = np.random.default_rng(4), len(quality.LABELLERS)
+    kind = rng.choice(n + 1, 40_000, p=[*[0.04] * n, 1 - 0.04 * n])
+    wrong = np.full((n + 1, n), 0.1)
+    wrong[np.arange(n), np.arange(n)] = np.linspace(0.7, 0.95, n)
+    wrong[n] = 0.02
+    votes = np.where(rng.random((len(kind), n)) < wrong[kind], 1, 2)
+    patterns, counts = np.unique(votes @ 3 ** np.arange(n), return_counts=True)
+    posterior, found = quality.fit_labellers(patterns, counts.astype(float))
+    for j, (_, share, right_good, right_junk) in enumerate(found):
+        assert abs(share - 0.04) < 0.02 and abs(right_good - 0.98) < 0.02 and abs(right_junk - wrong[j, j]) < 0.2
+    good = np.array([posterior[p] > 0.5 for p in (votes @ 3 ** np.arange(n)).tolist()])
+    assert (good == (kind == n)).mean() > 0.85
+
+
+def test_quality_scores_are_those_of_plain_sums(spark):
+    """The scorer's sums over whole batches against a text's features one by one; with and without bins."""
+    texts = ["the red, sea AND the $$ old man\nred", "", None, "one", "x" * 999, "THE END!! " * 30]
+    w = np.random.default_rng(1).standard_normal(quality.DIM + 1)
+    for bins in (True, False):
+        batch = pa.RecordBatch.from_pydict({"draw": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})
+        (features,) = quality._features(bins)([batch])
+        _, got = quality._score(batch.column("text"), w, bins)
+        for x, text, p in zip(features.to_pylist(), texts, got):
+            z = sum(w[i] * v for i, v in zip(x["places"], x["value"])) + w[-1]
+            assert p == pytest.approx(1 / (1 + math.exp(-z)) if words(text) else 0, abs=1e-6)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert {r.labeller for r in quality.accuracies(docs).collect()} == set(quality.MEASURES)
+
+
 # 9
 def test_lm_base_and_totals(docs, rows, none):
     end, counts = object(), collections.Counter()
@@ -557,6 +588,19 @@ def test_languages(spark, none):
     assert {r.lang_pred for r in langid.languages(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()} == {"und"}
 
 
+def test_languages_with_repeats_clashing_names_and_long_texts(spark):
+    rng = random.Random(6)
+    sounds = {"aa": ("ka", "tu", "mi"), "bb": ("sch", "ung", "keit")}
+    text = lambda k, n: " ".join("".join(rng.choice(sounds[k]) for _ in range(3)) for _ in range(n))
+    hot = text("aa", 30)
+    rows = [(i, text(k, 20), k) for i in range(200) for k in [sorted(sounds)[i % 2]]] + [(7, hot, "aa")] * 150 + [(None, text("bb", 10), "bb"), (500, text("bb", 60_000), None), (501, " ".join([text("aa", 5), text("bb", 5)]), None)]
+    docs = spark.createDataFrame([(*r, "d", "r", "h", "s") for r in rows], "doc_id long, text string, lang string, draw string, rank string, held_out string, score string")
+    got = langid.languages(docs).collect()
+    assert len(got) == len(rows) and {(r.lang_pred, r.score) for r in got if r.doc_id == 7 and r.lang_pred == "aa"} and len({r.score for r in got if r.doc_id == 7}) <= 2
+    assert [r.lang_pred for r in got if r.doc_id in (None, 500)] == ["bb", "bb"] and all(0 <= r.score <= 1 for r in got)
+    assert sorted((r.doc_id or -1, r.lang_pred, r.score) for r in langid.languages(docs.repartition(5)).collect()) == sorted((r.doc_id or -1, r.lang_pred, r.score) for r in got)
+
+
 # 1
 def test_rare_languages_are_learned_at_every_size(spark, monkeypatch):
     monkeypatch.setattr(langid, "SAMPLE", 40)  # a small table as large against the sample as millions of documents

@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.llm.common import crc_mod, sliced, utf8
@@ -93,7 +94,7 @@ def _sampled(batches):
             n = n[which >= 0]
             index.append(which[which >= 0].astype(np.int32))
             value.append((n / max(1, n.sum())).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["doc_id", "lang", "places", "value"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), batch.column("draw"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["doc_id", "lang", "draw", "places", "value"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -114,7 +115,7 @@ def train(rows: list, labels: list[str], idf: np.ndarray) -> tuple[np.ndarray, n
         i = np.array(r.places, np.int64)
         return np.r_[i, DIM], np.r_[SCALE * np.array(r.value) * idf[i], 1.0]
 
-    rows = sorted(rows, key=lambda r: (hash_id(r.doc_id), r.lang))
+    rows = sorted(rows, key=lambda r: (r.draw, r.lang))
     for _ in range(EPOCHS):
         for j, r in enumerate(rows):
             if j % 5 == 4:
@@ -134,10 +135,6 @@ def train(rows: list, labels: list[str], idf: np.ndarray) -> tuple[np.ndarray, n
     return w[:-1], w[-1], float(temperature)
 
 
-def hash_id(doc_id) -> int:
-    return (doc_id or 0) * 0x9E3779B97F4A7C15 % 2**64
-
-
 def _predicted(model):
     def predict(batches):
         labels, table, intercept, temperature = model.value
@@ -182,13 +179,15 @@ def languages(docs: DataFrame) -> DataFrame:
     for i, k in df.items():
         idf[i] = np.log((1 + n) / (1 + k)) + 1
     sizes = {r.lang: r["count"] for r in learn.groupBy("lang").count().collect()}  # one row for each language
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000_000))
     rates = {x: 1_000_000_000 if k <= LEAST else min(1_000_000_000, 1_000_000_000 * max(SAMPLE * k, LEAST * n) // (n * k)) for x, k in sizes.items()}
     raised = {x: r for x, r in rates.items() if r > 1_000_000_000 * SAMPLE // n}  # the others have one rate
     rate = F.lit(min(1_000_000_000, 1_000_000_000 * SAMPLE // max(1, n)))
     if raised:
         rate = F.coalesce(F.create_map(*[F.lit(y) for x, r in sorted(raised.items()) for y in (x, r)])[F.col("lang")].cast("long"), rate)
-    found = learn.where(draw < rate).select("doc_id", "lang", "text").mapInArrow(_sampled, "doc_id long, lang string, places array<int>, value array<float>").collect()
+    # A text of very many rows is drawn once, and no language sends more than twice the bound.
+    some = learn.withColumn("draw", F.xxhash64("text", F.lit(3))).where(F.pmod("draw", F.lit(1_000_000_000)) < rate).dropDuplicates(["draw", "lang"])
+    found = some.select("doc_id", "lang", "draw", "text").mapInArrow(_sampled, "doc_id long, lang string, draw long, places array<int>, value array<float>")
+    found = found.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).where(F.col("rank") <= F.lit(2 * max(SAMPLE, LEAST))).collect()
     labels = sorted(sizes)
     if labels:
         w, intercept, temperature = train(found, labels, idf)

@@ -3,7 +3,7 @@
 Heuristic labellers vote good, bad or nothing on each text. Expectation-maximisation over the counts of vote patterns of
 all documents estimates each labeller's accuracy for either class and the share of good texts; each pattern then has a
 posterior. A hashed linear scorer learns the posteriors from a bounded sample and scores every text: its features are
-hashed trigrams of byte classes, as shares of the text, and hashed bins of a few whole-text measures.
+hashed words and hashed trigrams of byte classes, as shares of the text, and hashed bins of a few whole-text measures.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import sliced, utf8, Words
+from tickerloom.llm.common import drawn, sliced, utf8, Words
 
-DIM = 2048
-SAMPLE = 4000  # documents that the scorer learns from, about
+GRAMS, BINS, WORDS = 1792, 256, 2048  # places of trigrams, of bins, of words
+DIM = GRAMS + BINS + WORDS
+SAMPLE = 4000  # documents that the scorer learns from, at most
 BIN = 0.4  # value of a bin's feature
 PRIOR = 0.05  # of the texts, as which the first belief in a labeller counts
 PSEUDO = 60  # bytes added to a text's length in the shares, so that a few words say little
@@ -55,7 +56,7 @@ def _sums(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def measures(column) -> dict[str, np.ndarray]:
-    """Whole-text measures of each text, and `words`, its number of words."""
+    """Whole-text measures of each text; `words`, its number of words; `at` and `of`: each word's place among the features, and each text's first."""
     raw, off = utf8(column)
     words = Words(column)
     h, of = words.hashes(), words.of
@@ -82,6 +83,7 @@ def measures(column) -> dict[str, np.ndarray]:
         "symbols": _sums(_SYMBOL[raw], off) / solid, "capitals": upper / np.maximum(1, upper + lower + high), "exclamations": _sums(raw == 33, off) / solid,
         "repeats": _by_text(again, of) / some, "distinct": distinct, "same_lines": same_lines, "letters": (upper + lower + high) / solid,
         "bare_words": _by_text(bare, of) / some, "mean_length": word_bytes / some, "words": n_words,
+        "at": (GRAMS + BINS + (h >> np.uint64(20)) % np.uint64(WORDS)).astype(np.int64), "of": of,
     }
 
 
@@ -115,11 +117,13 @@ def _patterns(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes(measures(batch.column("text"))) @ power)], ["doc_id", "pattern"])
 
 
-def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[int, float]:
-    """Posterior of being good of each pattern: EM over good texts and one kind of junk for each labeller.
+def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[dict[int, float], list[tuple]]:
+    """Posterior of being good of each pattern; and (labeller, share, right_good, right_junk): EM over good texts and one kind of junk for each labeller.
 
     Labellers err independently within a kind, and no vote says nothing. Each is believed at first to call few good texts
     bad, most junk of its own kind, and some of the other kinds; that belief weighs PRIOR of the texts, beside the votes.
+    share: of the texts that are junk of the labeller's kind; right_good, right_junk: how often its vote is right on good
+    texts and on that junk.
     """
     n = len(LABELLERS)
     v = patterns[:, None] // 3 ** np.arange(n) % 3
@@ -133,76 +137,85 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -
     for _ in range(rounds):
         weight = counts[:, None] * kinds
         wrong = (weight.T @ bad + extra * belief) / (weight.T @ (bad + good) + extra)
-        logs = np.log((weight.sum(0) + extra) / (weight.sum() + extra * (n + 1))) + bad @ np.log(wrong).T + good @ np.log(1 - wrong).T
+        share = (weight.sum(0) + extra) / (weight.sum() + extra * (n + 1))
+        logs = np.log(share) + bad @ np.log(wrong).T + good @ np.log(1 - wrong).T
         now = np.exp(logs - logs.max(1, keepdims=True))
         now /= now.sum(1, keepdims=True)
         done, kinds = np.abs(now - kinds).max(initial=0) < 1e-6, now
         if done:
             break
-    return dict(zip(patterns.tolist(), kinds[:, n].tolist()))
+    found = [(name, float(share[j]), float(1 - wrong[n, j]), float(wrong[j, j])) for j, name in enumerate(MEASURES)]
+    return dict(zip(patterns.tolist(), kinds[:, n].tolist())), found
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
     c = _CLASS[raw].astype(np.uint32)
     out = np.zeros(len(c), np.uint32)
     out[:-2] = (c[:-2] * np.uint32(38) + c[1:-1]) * np.uint32(38) + c[2:]
-    return (out * np.uint32(2654435761) >> np.uint32(7)) % np.uint32(DIM - 256)
+    return (out * np.uint32(2654435761) >> np.uint32(7)) % np.uint32(GRAMS)
 
 
 def _bins(m: dict[str, np.ndarray]) -> np.ndarray:
-    """texts x measures: hashed bins of the measures in the last 256 places."""
+    """texts x measures: hashed bins of the measures in the BINS places after the trigrams'."""
     out = np.empty((len(m["words"]), len(MEASURES)), np.int64)
     for j, (name, _, _, _, least) in enumerate(LABELLERS):
         x = np.minimum(15, m[name] if name == "mean_length" else m[name] * 20).astype(np.int64)
         x = np.where(m["words"] < least, 16, x)  # too few words to say
-        out[:, j] = DIM - 256 + (x * 9 + j) % 256
+        out[:, j] = GRAMS + (x * 9 + j) % BINS
     return out
 
 
-def _features(batches):
-    for batch in sliced(batches):
-        if not batch.num_rows:
-            continue
-        m = measures(batch.column("text"))
-        raw, off = utf8(batch.column("text"))
-        grams, bins, index, value = _grams(raw), _bins(m), [], []
-        for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
-            which, n = np.unique(grams[a : max(a, b - 2)], return_counts=True)
-            index.append(np.r_[which, bins[i]])
-            value.append(np.r_[n / (b - a + PSEUDO), np.full(len(MEASURES), BIN)])
-        pattern = votes(m) @ 3 ** np.arange(len(LABELLERS))
-        yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))], ["pattern", "places", "value"])
+def _features(bins: bool):
+    def features(batches):
+        for batch in sliced(batches):
+            if not batch.num_rows:
+                continue
+            m = measures(batch.column("text"))
+            raw, off = utf8(batch.column("text"))
+            grams, places, of, index, value = _grams(raw), _bins(m), m["of"], [], []
+            for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+                which, n = np.unique(grams[a : max(a, b - 2)], return_counts=True)
+                word, k = np.unique(m["at"][of[i] : of[i + 1]], return_counts=True)
+                index.append(np.r_[which, word, places[i] if bins else places[i, :0]])
+                value.append(np.r_[n / (b - a + PSEUDO), k / (of[i + 1] - of[i] + PSEUDO / 6), np.full(len(index[-1]) - len(which) - len(word), BIN)])
+            pattern = votes(m) @ 3 ** np.arange(len(LABELLERS))
+            yield pa.RecordBatch.from_arrays([batch.column("draw"), pa.array(pattern), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))], ["draw", "pattern", "places", "value"])
+
+    return features
 
 
 def fit_scorer(rows: list[tuple], posterior: dict[int, float], rounds: int = 300) -> np.ndarray:
-    """Weights and, last, the intercept: logistic regression on soft labels, by accelerated gradient steps."""
-    x, y = np.zeros((len(rows), DIM)), np.array([posterior.get(pattern, 0.5) for pattern, _, _ in rows])
+    """Weights and, last, the intercept: logistic regression on soft labels, by accelerated gradient steps. rows: (pattern, places, value)."""
+    x, y = np.zeros((len(rows), DIM), np.float32), np.array([posterior.get(pattern, 0.5) for pattern, _, _ in rows], np.float32)
     for i, (_, places, value) in enumerate(rows):
         np.add.at(x[i], np.array(places, np.int64), value)
     if not len(rows):
         return np.zeros(DIM + 1)
     w, b, momentum, step = np.zeros(DIM), 0.0, np.zeros(DIM + 1), 0.5
     for _ in range(rounds):
-        error = (1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40))) - y) / len(y)
-        momentum = 0.9 * momentum - step * np.r_[x.T @ error + 1e-4 * w, error.sum()]
+        error = (1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32) + b, -40, 40))) - y) / len(y)
+        momentum = 0.9 * momentum - step * np.r_[x.T @ error.astype(np.float32) + 1e-4 * w, error.sum()]
         w, b = w + momentum[:-1], b + momentum[-1]
     return np.r_[w, b]
 
 
-def _score(column, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _score(column, w: np.ndarray, bins: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Votes, and the scorer's probability of being good, of each text."""
     m = measures(column)
     raw, off = utf8(column)
     total = np.r_[0.0, np.cumsum(w[:-1][_grams(raw)])]
     last = np.maximum(off[:-1], off[1:] - 2)
-    z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + BIN * w[_bins(m)].sum(1) + w[-1]
+    words, of = np.r_[0.0, np.cumsum(w[m["at"]])], m["of"]
+    z = (total[last] - total[off[:-1]]) / (np.diff(off) + PSEUDO) + (words[of[1:]] - words[of[:-1]]) / (np.diff(of) + PSEUDO / 6) + w[-1]
+    if bins:
+        z = z + BIN * w[_bins(m)].sum(1)
     return votes(m), np.where(m["words"] > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
 
 
-def _scored(weights):
+def _scored(weights, bins: bool = True):
     def score(batches):
         for batch in sliced(batches):
-            v, p = _score(batch.column("text"), weights.value)
+            v, p = _score(batch.column("text"), weights.value, bins)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(v @ 3 ** np.arange(len(LABELLERS))), pa.array((v == 1).sum(1)), pa.array((v == 2).sum(1)), pa.array(p)], ["doc_id", "pattern", "votes_bad", "votes_good", "score"])
 
     return score
@@ -216,31 +229,40 @@ def _kept(weights):
     return keep
 
 
-def learned(docs: DataFrame):
-    """The scorer's weights, broadcast, and the posterior of each pattern of votes."""
-    spark = docs.sparkSession
+def _labelled(docs: DataFrame) -> tuple[DataFrame, dict[int, float], list[tuple], int]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = rows.mapInArrow(_patterns, "doc_id long, pattern long").groupBy("pattern").count().collect()  # 3 ** labellers rows at most
-    posterior = fit_labellers(np.array([r["pattern"] for r in counted], np.int64), np.array([r["count"] for r in counted], float))
-    n = sum(r["count"] for r in counted)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(max(1, min(1_000_000, 1_000_000 * SAMPLE // max(1, n)))))
-    found = sample.mapInArrow(_features, "pattern long, places array<long>, value array<double>").collect()
-    return spark.sparkContext.broadcast(fit_scorer(sorted(map(tuple, found)), posterior)), posterior
+    return rows, *fit_labellers(np.array([r["pattern"] for r in counted], np.int64), np.array([r["count"] for r in counted], float)), sum(r["count"] for r in counted)
+
+
+def accuracies(docs: DataFrame) -> DataFrame:
+    """labeller, share, right_good, right_junk: what EM finds about each labeller from the votes on all rows of docs; see fit_labellers."""
+    return docs.sparkSession.createDataFrame(_labelled(docs)[2], "labeller string, share double, right_good double, right_junk double")
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def learned(docs: DataFrame, bins: bool = True):
+    """The scorer's weights, broadcast, and the posterior of each pattern of votes. bins: whether it sees the bins of the measures."""
+    rows, posterior, _, n = _labelled(docs)
+    found = drawn(rows, n, SAMPLE).select("draw", "text").mapInArrow(_features(bins), "draw long, pattern long, places array<long>, value array<double>").orderBy("draw").limit(SAMPLE).collect()
+    return docs.sparkSession.sparkContext.broadcast(fit_scorer([tuple(r)[1:] for r in found], posterior)), posterior
+
+
+def scores(docs: DataFrame, bins: bool = True) -> DataFrame:
     """doc_id, votes_bad, votes_good, weak_good, score, kept of every row of docs(doc_id, text); other columns are ignored.
 
     weak_good: the posterior of the votes; score: the scorer's probability of being good; kept: whether that is at least
     THRESHOLD. Null, empty and blank texts score 0 and are not kept. Repeated rows score alike. An empty table gives no rows.
     """
-    weights, posterior = learned(docs)
+    weights, posterior = learned(docs, bins)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     weak = F.broadcast(docs.sparkSession.createDataFrame(list(posterior.items()), "pattern long, weak_good double"))
-    out = rows.mapInArrow(_scored(weights), "doc_id long, pattern long, votes_bad long, votes_good long, score double")
+    out = rows.mapInArrow(_scored(weights, bins), "doc_id long, pattern long, votes_bad long, votes_good long, score double")
     return out.join(weak, "pattern", "left").select("doc_id", "votes_bad", "votes_good", "weak_good", "score", (F.col("score") >= THRESHOLD).alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier keeps, with all their columns; each row by its own text."""
+    """The rows of docs that the classifier keeps, with all their columns; each row by its own text.
+
+    Null, empty and blank texts go. Repeated rows stay or go together. An empty table stays empty.
+    """
     return docs.mapInArrow(_kept(learned(docs)[0]), docs.schema)
