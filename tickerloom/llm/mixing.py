@@ -9,6 +9,8 @@ Slots and blocks join by (source, block).
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -119,6 +121,7 @@ class Mix:
         spark, self.block = docs.sparkSession, block
         sized = _keyed(docs).mapInArrow(_sizes, "doc_id long, source string, digest long, size long")
         units = staged(sized.groupBy("doc_id", "source", "digest", "size").agg(F.count("*").alias("copies")), "mix-sizes")
+        self.units = units
         found = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("words"), F.count("*").alias("n")).collect()  # one row per source
         want = targets([(r.source, r.words) for r in found])
         order = sorted(found, key=lambda r: (r.source is None, (r.source or "").encode("utf-32-be")))
@@ -173,17 +176,46 @@ class Mix:
     def blocks(self, docs: DataFrame) -> DataFrame:
         """shard, slot, source, doc_ids, text: each slot's words with one space between, and the documents that they come from.
 
-        docs: the table that the mix was made of. The mix's order is that of shard, then slot.
+        docs: the table that the mix was made of. The mix's order is that of shard, then slot. Texts and blocks stream past
+        hashed places and slots, so neither is sorted; a piece that fills its block isn't gathered with others.
         """
-        key = ["doc_id", "digest"]
-        words = _keyed(docs).select(*key, F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "").alias("all")).where(F.size("all") > 0)
-        words = words.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))).dropDuplicates(key)  # rows with one doc_id and digest have one text
-        cut = self.pieces().select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "digest", "source_no", "block", "start", "from_word", "words")
-        cut = cut.join(words.hint("merge"), key).select("source_no", "block", F.struct("start", F.nullif(F.col("doc_id"), F.lit(-(2**63))).alias("doc_id"), F.array_join(F.expr("slice(all, int(from_word) + 1, int(words))"), " ").alias("part")).alias("piece"))
-        blocks = cut.groupBy("source_no", "block").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most one piece a word
-        blocks = blocks.select("source_no", "block", F.array_distinct("pieces.doc_id").alias("doc_ids"), F.array_join("pieces.part", " ").alias("text"))
-        sources = self.sources if len(self.known) > 100_000 else F.broadcast(self.sources)
-        return self.slots.join(blocks.hint("merge"), ["source_no", "block"]).join(sources, "source_no").select("shard", "slot", "source", "doc_ids", "text")
+        texts = _keyed(docs).where(F.length("text") > 0)
+        if not self.units.where("copies > 1 and size > 0").isEmpty():
+            texts = texts.dropDuplicates(["doc_id", "source", "digest"])  # these have one text
+        none = lambda c, x: F.coalesce(c, F.lit(x)).alias(f"_{c}")
+        keys = [none("doc_id", -(2**63)), F.col("doc_id").isNull().alias("_none"), F.col("digest")]
+        places = self.rows.where("size > 0").select(*keys, "source_no", "start")
+        names = self.sources.select("source_no", F.coalesce("source", F.lit("")).alias("_source"), F.col("source").isNull().alias("_other"))
+        places = places.join(F.broadcast(names) if len(self.known) <= 100_000 else names, "source_no")
+        met = texts.select(*keys, none("source", ""), F.col("source").isNull().alias("_other"), "doc_id", "source", "text")
+        met = met.join(places.hint("shuffle_hash"), ["_doc_id", "_none", "digest", "_source", "_other"]).select("doc_id", "source", "source_no", "start", "text")
+        cut = met.mapInArrow(_cut(self.block), "source_no int, source string, block long, start long, doc_id long, words long, part string")
+        full = cut.where(F.col("words") == self.block).select("source_no", "source", "block", F.array("doc_id").alias("doc_ids"), F.col("part").alias("text"))
+        rest = cut.where(F.col("words") < self.block).groupBy("source_no", "block").agg(F.first("source").alias("source"), F.sort_array(F.collect_list(F.struct("start", "doc_id", "part"))).alias("pieces"))  # at most one piece a word
+        rest = rest.select("source_no", "source", "block", F.array_distinct("pieces.doc_id").alias("doc_ids"), F.array_join("pieces.part", " ").alias("text"))
+        return full.unionByName(rest).join(self.slots.hint("shuffle_hash"), ["source_no", "block"]).select("shard", "slot", "source", "doc_ids", "text")
+
+
+def _cut(size: int):
+    def cut(batches):
+        """Of each text that begins at a word's place of its source, the part in each block of `size` words."""
+        for batch in sliced(batches):
+            out: list[list] = [[] for _ in range(7)]
+            for doc_id, source, number, start, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "source_no", "start", "text"))):
+                words = _WORD.findall(text)
+                at = 0
+                while at < len(words):
+                    end = min(len(words), at + size - (start + at) % size)
+                    for column, x in zip(out, (number, source, (start + at) // size, start, doc_id, end - at, " ".join(words[at:end]))):
+                        column.append(x)
+                    at = end
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["source_no", "source", "block", "start", "doc_id", "words", "part"])
+
+    return cut
+
+
+_WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
 def _slot_count(words: int, target: float, block: int) -> int:
