@@ -17,11 +17,19 @@ def guarded_corr(a: str, b: str) -> Column:
 def auc(preds: DataFrame, by: list[str], score: str = "score", label: str = "label") -> DataFrame:
     """Area under the ROC curve, ties counting half; null without both classes.
 
-    Rows meet by score first, so the running sum is over distinct scores; it runs within each key.
+    Rows meet by score first. Distinct scores are summed up within ranges of scores, cut at sampled quantiles, from where
+    the ranges before end: so no task gets all scores of a key.
     """
-    ties = preds.groupBy(*by, score).agg(F.sum(F.col(label).cast("double")).alias("p"), F.sum(1.0 - F.col(label)).alias("n"))
-    below = F.coalesce(F.sum("n").over(W.partitionBy(*by).orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    return ties.withColumn("below", below).groupBy(*by).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.nullif(F.sum("p") * F.sum("n"), F.lit(0.0))).alias("auc"))
+    n = max(1, int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = sorted(set(preds.stat.approxQuantile(score, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
+    cut = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: F.col(score) > b)) if bounds else F.lit(0)
+    ties = preds.groupBy(*by, score).agg(F.sum(F.col(label).cast("double")).alias("p"), F.sum(1.0 - F.col(label)).alias("n")).withColumn("_range", cut)
+    before = lambda keys, at: W.partitionBy(*keys).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
+    sums = ties.groupBy(*by, "_range").agg(F.sum("n").alias("_n"))
+    sums = sums.select(*by, "_range", F.coalesce(F.sum("_n").over(before(by, "_range")), F.lit(0.0)).alias("_base"))
+    inside = F.coalesce(F.sum("n").over(before([*by, "_range"], score)), F.lit(0.0))
+    ties = ties.withColumn("_inside", inside).join(sums, [*by, "_range"]).withColumn("below", F.col("_base") + F.col("_inside"))
+    return ties.groupBy(*by).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.nullif(F.sum("p") * F.sum("n"), F.lit(0.0))).alias("auc"))
 
 
 def accuracy(preds: DataFrame, by: list[str], score: str = "score", label: str = "label") -> DataFrame:

@@ -67,22 +67,35 @@ def momentum(posts: DataFrame, hours: int = 4) -> DataFrame:
     return steps.where("back = 1").select(*KEYS, F.coalesce(clip(F.col("mean") - F.col("before"), -1.0, 1.0), F.lit(0.0)).alias("momentum"))
 
 
+def rolled(posts: DataFrame) -> DataFrame:
+    """sent_5m, sent_10m, sent_60m (as by bucket_means) and sent_daily (as by daily) of each symbol and day, in one pass.
+
+    Posts are summed and counted by five minutes once; the longer buckets and the day add those sums.
+    """
+    epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'" if dict(posts.dtypes)["created_at"] == "timestamp_ntz" else "TIMESTAMP_LTZ '1970-01-01 00:00:00 UTC'"
+    w = post_weight(posts)
+    sums = {f"s{i}": F.sum(c) for i, c in enumerate(SHARES)} | {f"n{i}": F.count(c) for i, c in enumerate(SHARES)} | {"wx": F.sum((F.col("sentiment_positive") - F.col("sentiment_negative")) * w), "w": F.sum(w)}
+    five = with_date(posts).groupBy(*KEYS, F.floor(F.expr(f"timestampdiff(MINUTE, {epoch}, created_at)") / 5).alias("at")).agg(*[x.alias(c) for c, x in sums.items()])
+    levels = five.withColumn("m", F.explode(F.array(F.lit(1), F.lit(2), F.lit(12)))).groupBy(*KEYS, "m", F.floor(F.col("at") / F.col("m")).alias("at")).agg(*[F.sum(c).alias(c) for c in sums])
+    p, n, u, c = (F.try_divide(f"s{i}", F.nullif(F.col(f"n{i}"), F.lit(0))) for i in range(4))
+    value = F.when(p.isNotNull() & n.isNotNull() & u.isNotNull() & (c > 0), (p - n) * c)
+    means = [clip(F.avg(F.when(F.col("m") == k, value)), -1.0, 1.0).alias(f"sent_{5 * k}m") for k in (1, 2, 12)]
+    once = lambda x: F.sum(F.when(F.col("m") == 1, F.col(x)))
+    day = F.coalesce(clip(F.try_divide(once("wx"), F.nullif(once("w"), F.lit(0.0))), -1.0, 1.0), F.lit(0.0))
+    return levels.groupBy(*KEYS).agg(*means, day.alias("sent_daily"))
+
+
 def summary(posts: DataFrame) -> DataFrame:
     """All of the above for each symbol and day, with the number of posts and their mean confidence; nothing found is 0."""
-    out = with_date(posts).groupBy(*KEYS).agg(F.count("*").alias("tweet_count"), F.coalesce(F.avg("sentiment_confidence"), F.lit(0.0)).alias("avg_confidence"))
-    parts = [bucket_means(posts, m) for m in (5, 10, 60)] + [daily(posts), momentum(posts), volatility(posts)]
-    for part in parts:
-        out = out.join(part, list(KEYS), "left")
-    return out.fillna(0.0)
+    value = (F.col("sentiment_positive") - F.col("sentiment_negative")) * F.col("sentiment_confidence")
+    spread = F.when(F.count(value) < 2, 0.0).otherwise(F.least(F.stddev_pop(value) / 2, F.lit(1.0)))
+    out = with_date(posts).groupBy(*KEYS).agg(F.count("*").alias("tweet_count"), F.coalesce(F.avg("sentiment_confidence"), F.lit(0.0)).alias("avg_confidence"), spread.alias("volatility"))
+    return out.join(rolled(posts), list(KEYS), "left").join(momentum(posts), list(KEYS), "left").fillna(0.0)
 
 
 def features_with_sentiment(features: DataFrame, posts: DataFrame) -> DataFrame:
     """Features by symbol and date with four sent_ columns, 0 where there are no posts."""
-    found = bucket_means(posts, 5)
-    for part in (bucket_means(posts, 10), bucket_means(posts, 60), daily(posts)):
-        found = found.join(part, list(KEYS), "full")
-    columns = ["sent_5m", "sent_10m", "sent_60m", "sent_daily"]
-    return features.join(found, list(KEYS), "left").fillna(0.0, columns)
+    return features.join(rolled(posts), list(KEYS), "left").fillna(0.0, ["sent_5m", "sent_10m", "sent_60m", "sent_daily"])
 
 
 def with_engagement(posts: DataFrame) -> DataFrame:

@@ -88,6 +88,21 @@ def glob_match(path: Column, patterns: tuple[str, ...]) -> Column:
     return found
 
 
+#: The least or, for the spread, the bound below which each measure of a traded symbol must be.
+UNIVERSE = {
+    "avg_stock_vol": 1e6, "avg_option_vol": 1e3, "iv_rank_pct": 0.5, "open_interest": 1e3, "bid_ask_spread": 0.005, "atr_close_ratio": 0.01,
+    "adx": 25.0, "market_cap": 2e9, "free_float": 1e7, "close": 5.0, "num_expirations": 2, "strikes_per_expiry": 5,
+}
+
+
+def universe(df: DataFrame, bounds: dict[str, float] | None = None, below: tuple[str, ...] = ("bid_ask_spread",)) -> DataFrame:
+    """Rows that meet all bounds (UNIVERSE, with those given in place of its own); columns in `below` must be less than theirs."""
+    ok = F.lit(True)
+    for name, bound in (UNIVERSE | (bounds or {})).items():
+        ok = ok & (F.col(name) < bound if name in below else F.col(name) >= bound)
+    return df.where(ok)
+
+
 def hash_mod(key: Column, k: int) -> Column:
     """A number from 0 to k - 1 by MD5 of the key as text: the same in any engine."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % k
@@ -104,10 +119,8 @@ def global_index(df: DataFrame, order: list[str]) -> DataFrame:
     as_number = F.unix_date(first).cast("double") if kind == "date" else first.cast("double")
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = [b for b in df.select(as_number.alias("x")).stat.approxQuantile("x", [i / n for i in range(1, n)], 0.001)] if n > 1 else []
-    cut = F.lit(0)
-    for b in sorted(set(bounds)):
-        cut = cut + (as_number > b).cast("int")
-    ranged = df.withColumn("_range", cut)
+    cut = F.size(F.filter(F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]), lambda b: as_number > b)) if bounds else F.lit(0)
+    ranged = df.withColumn("_range", F.coalesce(cut, F.lit(0)))
     sizes = ranged.groupBy("_range").count()
     before = sizes.select("_range", F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each range
     inside = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
@@ -127,18 +140,15 @@ def cv_folds(df: DataFrame, order: list[str], k: int = 5, leak_free: bool = Fals
     The last trains on all rows and validates on the last half of a fold, which it has seen; leak_free trains it on the rest.
     """
     n = df.count()
-    size = n // k
-    indexed = global_index(df, order)
-    out = None
+    size, idx, parts = n // k, F.col("idx"), []
     for i in range(k):
         last = i == k - 1
         end = n if last else (i + 1) * size
         lo, hi = (n - (size - size // 2), n) if last else (end, min(n, end + size // 2))
-        fit = indexed.where(F.col("idx") < (lo if last and leak_free else end)).withColumn("part", F.lit("train"))
-        check = indexed.where((F.col("idx") >= lo) & (F.col("idx") < hi)).withColumn("part", F.lit("val"))
-        one = fit.unionByName(check).withColumn("fold", F.lit(i))
-        out = one if out is None else out.unionByName(one)
-    return out
+        for part, inside in (("train", idx < (lo if last and leak_free else end)), ("val", (idx >= lo) & (idx < hi))):
+            parts.append(F.when(inside, F.struct(F.lit(i).alias("fold"), F.lit(part).alias("part"))))
+    found = global_index(df, order).withColumn("_fold", F.explode(F.array_compact(F.array(*parts))))  # each row once, then its folds
+    return found.withColumns({"fold": F.col("_fold.fold"), "part": F.col("_fold.part")}).drop("_fold")
 
 
 def scale_standard(df: DataFrame, columns: list[str], fit_on: DataFrame) -> DataFrame:

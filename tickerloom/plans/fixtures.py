@@ -18,7 +18,7 @@ FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {eve
     "tweet_text": ("documents", """
 SELECT doc_id AS tweet_id,
        concat('$', CASE doc_id % 4 WHEN 0 THEN 'AAPL' WHEN 1 THEN 'V' WHEN 2 THEN 'tsla' ELSE 'VZ' END,
-              ' ', substr(text, 1, 40 + CAST(doc_id % 300 AS INT)), ' http://x.co/', CAST(doc_id AS STRING),
+              ' ', coalesce(text, ''), ' http://x.co/', CAST(doc_id AS STRING),
               ' @user', CAST(doc_id % 7 AS STRING), ' #tag', CAST(doc_id % 5 AS STRING),
               CASE WHEN doc_id % 3 = 0 THEN ' buy strong rally' WHEN doc_id % 3 = 1 THEN ' sell weak' ELSE '' END) AS text,
        lang, doc_id % 9 AS retweet_count, doc_id % 4 AS like_count

@@ -124,9 +124,14 @@ query("agg_trials_by_source", "SELECT data_source, array_to_string(list_sort(lis
 query("agg_trial_summary", "SELECT count(*) AS total, count(objective_value) AS completed, round(100e0 * count(objective_value) / count(*), 4) AS success_pct, max(objective_value) AS best, min(objective_value) AS worst, round(avg(objective_value), 6) AS mean, round(median(objective_value), 6) AS mid, round(stddev_samp(objective_value), 6) AS std FROM trials", "trials")(
     lambda t: t.trials.agg(F.count("*").alias("total"), F.count(_o()).alias("completed"), F.round(100.0 * F.count(_o()) / F.count("*"), 4).alias("success_pct"), F.max(_o()).alias("best"), F.min(_o()).alias("worst"), F.round(F.avg(_o()), 6).alias("mean"), F.round(F.median(_o()), 6).alias("mid"), F.round(F.stddev_samp(_o()), 6).alias("std"))
 )
-query("agg_trial_upper_median", "SELECT job_name, list_sort(list(objective_value) FILTER (WHERE objective_value IS NOT NULL))[count(objective_value) // 2 + 1] AS mid FROM trials GROUP BY job_name", "trials")(
-    lambda t: t.trials.groupBy("job_name").agg(F.sort_array(F.collect_list(_o())).alias("all")).select("job_name", F.try_element_at("all", F.expr("int(size(all) div 2 + 1)")).alias("mid"))
-)
+@query("agg_trial_upper_median", "SELECT job_name, list_sort(list(objective_value) FILTER (WHERE objective_value IS NOT NULL))[count(objective_value) // 2 + 1] AS mid FROM trials GROUP BY job_name", "trials")
+def agg_trial_upper_median(t):
+    """The value at which more than half of a job's are counted, from counts of distinct values; null where there are none."""
+    counts = t.trials.groupBy("job_name", "objective_value").agg(F.count(_o()).alias("n"))
+    up_to = counts.withColumn("up_to", F.sum("n").over(W.partitionBy("job_name").orderBy("objective_value"))).withColumn("all", F.sum("n").over(W.partitionBy("job_name")))
+    return up_to.groupBy("job_name").agg(F.min(F.when(F.col("up_to") * 2 > F.col("all"), _o())).alias("mid"))
+
+
 query("agg_threshold_table", " UNION ALL ".join(f"SELECT {x}e0 AS threshold, count(*) FILTER (WHERE objective_value >= {x}) AS n, count(objective_value) AS total, round(100e0 * count(*) FILTER (WHERE objective_value >= {x}) / count(objective_value), 4) AS pct FROM trials" for x in _AT), "trials")(
     lambda t: t.trials.agg(F.count(_o()).alias("total"), *[F.count_if(_o() >= x).alias(f"n{i}") for i, x in enumerate(_AT)]).select("total", F.explode(F.array(*[F.struct(F.lit(x).alias("threshold"), F.col(f"n{i}").alias("n")) for i, x in enumerate(_AT)])).alias("r")).select("r.threshold", "r.n", "total", F.round(100.0 * F.col("r.n") / F.col("total"), 4).alias("pct"))
 )
@@ -243,7 +248,10 @@ query("win_news_lookback", "SELECT symbol, date, round(CASE WHEN count(volume) O
 query("win_cum_return", f"WITH {_NEXT} SELECT symbol, date, round(ln(100) + sum(ln(1 + coalesce(r, 0))) OVER (PARTITION BY symbol ORDER BY date), 5) AS log_price FROM nx", "bars")(
     lambda t: _next_return(t.bars).select("symbol", "date", F.round(F.log(F.lit(100.0)) + F.sum(F.log1p(F.coalesce("r", F.lit(0.0)))).over(_by_symbol()), 5).alias("log_price"))
 )
-query("win_sequences")(lambda t: O.sequences(t.bars, ["open", "close", "volume"], ["symbol"], ["date"]))
+_CENTS = ("high", "low", "volume")
+query("win_sequences", "SELECT symbol, date, CAST(len(s) AS INT) AS steps, array_to_string(s, ';') AS sequence FROM (SELECT symbol, date, list(concat_ws(',', " + ", ".join(f"CAST(CAST(round({c} * 100) AS BIGINT) AS STRING)" for c in _CENTS) + ")) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS s FROM bars) WHERE len(s) = 10", "bars")(
+    lambda t: O.sequences(t.bars, list(_CENTS), ["symbol"], ["date"]).select("symbol", "date", F.size("sequence").alias("steps"), F.array_join(F.transform("sequence", lambda r: F.array_join(F.transform(r, lambda x: F.round(x * 100).cast("long").cast("string")), ",")), ";").alias("sequence"))
+)
 query("win_ordered", "SELECT symbol, count(*) FILTER (WHERE d < p) = 0 AS ordered FROM (SELECT symbol, date AS d, lag(date) OVER (PARTITION BY symbol ORDER BY volume, date) AS p FROM bars) GROUP BY symbol", "bars")(
     lambda t: t.bars.select("symbol", "date", F.lag("date").over(W.partitionBy("symbol").orderBy("volume", "date")).alias("p")).groupBy("symbol").agg((F.count_if(F.col("date") < F.col("p")) == 0).alias("ordered"))
 )
@@ -255,10 +263,17 @@ query("win_time_split", f"WITH {_IDX} SELECT symbol, date, CASE WHEN idx < floor
 query("win_cv_folds", f"""WITH {_IDX}, f AS (SELECT unnest(range(5)) AS fold), j AS (SELECT *, n // 5 AS fs FROM ix CROSS JOIN f)
 SELECT symbol, date, CAST(fold AS INT) AS fold, 'train' AS part FROM j WHERE fold = 4 OR idx < (fold + 1) * fs UNION ALL
 SELECT symbol, date, CAST(fold AS INT), 'val' FROM j WHERE (fold < 4 AND idx >= (fold + 1) * fs AND idx < (fold + 1) * fs + fs // 2) OR (fold = 4 AND idx >= n - (fs - fs // 2))""", "bars")(lambda t: O.cv_folds(t.bars.select("symbol", "date"), ["date", "symbol"]).select("symbol", "date", "fold", "part"))
-_FOLD = "(SELECT CAST(unnest(range(6)) AS INT) AS fold), (SELECT min(date) AS a FROM bars)"
-query("win_walk_forward", "WITH f AS (SELECT CAST(fold AS INT) AS fold, a + to_months(CAST(6 * fold AS INT)) AS t0, a + to_months(CAST(6 * fold + 6 AS INT)) AS t1, a + to_months(CAST(6 * fold + 12 AS INT)) AS t2 FROM (SELECT unnest(range(6)) AS fold), (SELECT min(date) AS a FROM bars)) SELECT fold, symbol, date, CASE WHEN date < t1 THEN 'train' ELSE 'val' END AS part FROM f JOIN bars ON date >= t0 AND date < t2", "bars")(
-    lambda t: t.bars.join(F.broadcast(t.bars.agg(F.min("date").alias("a")).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(5)))).select("fold", F.add_months("a", F.col("fold") * 6).alias("t0"), F.add_months("a", F.col("fold") * 6 + 6).alias("t1"), F.add_months("a", F.col("fold") * 6 + 12).alias("t2"))), (F.col("date") >= F.col("t0")) & (F.col("date") < F.col("t2"))).select("fold", "symbol", "date", F.when(F.col("date") < F.col("t1"), "train").otherwise("val").alias("part"))
-)
+
+
+@query("win_walk_forward", """WITH s AS (SELECT min(date) AS a, max(date) AS z FROM bars), f AS (SELECT CAST(fold AS INT) AS fold, z, a + to_months(CAST(6 * fold AS INT)) AS t0, a + to_months(CAST(6 * fold + 6 AS INT)) AS t1, a + to_months(CAST(6 * fold + 12 AS INT)) AS t2
+FROM (SELECT a, z, unnest(range(date_diff('month', a, z) // 6 + 2)) AS fold FROM s))
+SELECT fold, symbol, date, CASE WHEN date < t1 THEN 'train' ELSE 'val' END AS part FROM f JOIN bars ON date >= t0 AND date < t2 WHERE fold = 0 OR t1 <= z""", "bars")
+def win_walk_forward(t):
+    """Folds of six months' training and six months' validation, each six months on, for as long as there are days to validate."""
+    span = t.bars.agg(F.min("date").alias("a"), F.max("date").alias("z"))
+    folds = span.withColumn("fold", F.explode(F.sequence(F.lit(0), F.floor(F.months_between("z", "a") / 6).cast("int") + 1)))
+    folds = folds.select("fold", "z", *[F.add_months("a", F.col("fold") * 6 + 6 * k).alias(f"t{k}") for k in range(3)]).where("fold = 0 or t1 <= z")
+    return t.bars.join(F.broadcast(folds), (F.col("date") >= F.col("t0")) & (F.col("date") < F.col("t2"))).select("fold", "symbol", "date", F.when(F.col("date") < F.col("t1"), "train").otherwise("val").alias("part"))
 
 
 @query("win_lagged_returns", "WITH r AS (SELECT symbol, date, " + ", ".join(f"lag(close, 1) OVER w / lag(close, {k + 1}) OVER w - 1 AS r{k}" for k in (1, 3, 5)) + " FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)) SELECT a.symbol, a.date, round(a.r1, 5) AS ret_1d_lag1, round(a.r3, 5) AS ret_3d_lag1, round(a.r5, 5) AS ret_5d_lag1, round(a.r1 - b.r1, 5) AS relative FROM r a LEFT JOIN r b ON b.symbol = 'S0' AND a.date = b.date", "bars")
@@ -290,7 +305,7 @@ query("distinct_dates", "SELECT DISTINCT symbol, date FROM bars", "bars")(lambda
 query("subset_check", "SELECT model, count(*) FILTER (WHERE label NOT IN (0, 1)) = 0 AS valid FROM preds GROUP BY model", "preds")(lambda t: t.preds.groupBy("model").agg((F.size(F.array_except(F.collect_set("label"), F.array(F.lit(0), F.lit(1)))) == 0).alias("valid")))
 
 
-@query("schema_diff")
+@query("schema_diff", "SELECT row_id, symbol, CAST(NULL AS DOUBLE) AS sent_5m, CAST(NULL AS DOUBLE) AS sent_daily FROM features", "features")
 def schema_diff(t):
     """Required columns that the table lacks, added as nulls without doubling any."""
     need = ["row_id", "symbol", "sent_5m", "sent_daily"]

@@ -61,11 +61,14 @@ def ml_batch_predict(t):
     return L.predict(L.estimators()["logistic"].fit(data), data, "row_id")
 
 
-@query("gen_synthetic_features")
+_NOISE = ", ".join(f"CAST(concat('0x', substr(md5(concat(symbol, '-', CAST(date AS STRING), '-{i}')), 1, 8)) AS BIGINT) % 2000 / 1000e0 - 1 AS feature_{i}" for i in range(69))
+
+
+@query("gen_synthetic_features", f"WITH days AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM bars), (SELECT max(date) FROM bars), INTERVAL 1 DAY)) AS DATE) AS date) SELECT symbol, date, {_NOISE} FROM (SELECT DISTINCT symbol FROM bars) CROSS JOIN (SELECT date FROM days WHERE isodow(date) < 6)", "bars")
 def gen_synthetic_features(t):
     """A seeded feature row for each symbol and weekday that the bars span."""
     days = t.bars.agg(F.min("date").alias("a"), F.max("date").alias("z")).select(F.explode(F.sequence("a", "z")).alias("date")).where(F.weekday("date") < 5)
-    noise = lambda i: F.pmod(F.xxhash64("symbol", "date", F.lit(i)), F.lit(2000)) / 1000.0 - 1
+    noise = lambda i: O.hash_mod(F.concat("symbol", F.lit("-"), F.col("date").cast("string"), F.lit(f"-{i}")), 2000) / 1000.0 - 1
     return t.bars.select("symbol").distinct().crossJoin(days).select("symbol", "date", *[noise(i).alias(f"feature_{i}") for i in range(69)])
 
 
@@ -116,10 +119,12 @@ for _n in ("src_csv_label_first", "snk_csv_label_first"):
     query(_n, "SELECT CAST(row_id % 2 AS DOUBLE) AS label, f_median AS f0, f_const AS f1 FROM features", "features")(_label_first)
 
 
-@query("src_csv_dir_prefer", "SELECT row_id, symbol FROM features", "features")
+@query("src_csv_dir_prefer", "SELECT row_id, symbol FROM features WHERE symbol >= 'S5'", "features")
 def src_csv_dir_prefer(t):
     path = folder(t.spark)
-    _feature_rows(t).select("row_id", "symbol").coalesce(1).write.option("header", True).csv(path)
+    rows = _feature_rows(t).select("row_id", "symbol")
+    rows.where("symbol < 'S5'").write.option("header", True).csv(f"{path}/all.csv")
+    rows.where("symbol >= 'S5'").write.option("header", True).csv(f"{path}/train.csv")
     return S.read_preferred(t.spark, path, "row_id bigint, symbol string")
 
 
@@ -184,7 +189,13 @@ def src_file_listing(t):
     return S.listing(t.spark, path).select(F.regexp_extract("path", "symbol=(S[0-9])", 1).alias("symbol"), "length")
 
 
-query("snk_feature_metadata", "SELECT 'row_id,symbol,f_median' AS features, 'f_const' AS target, 3 AS n")(lambda t: S.feature_metadata(_feature_rows(t), "f_const").select(F.array_join("features", ",").alias("features"), "target", "n"))
+@query("snk_feature_metadata", "SELECT 'row_id,symbol,f_median,sent_5m,sent_daily' AS features, 'f_const' AS target, 5 AS n, count(f_median) AS filled FROM features", "features")
+def snk_feature_metadata(t):
+    """Written, read, written again with the sentiment names that it lacked, and read."""
+    first, second = folder(t.spark), folder(t.spark)
+    S.write_metadata(S.feature_metadata(_feature_rows(t), "f_const"), first)
+    S.write_metadata(S.with_names(S.read_metadata(t.spark, first), ["f_median", "sent_5m", "sent_daily"]), second)
+    return S.read_metadata(t.spark, second).select(F.array_join("features", ",").alias("features"), "target", "n", F.col("filled")["f_median"].alias("filled"))
 
 
 @query("snk_result_tables", "SELECT job_name, status, count(*) AS n FROM trials GROUP BY ALL", "trials")
@@ -218,9 +229,35 @@ def _drained(t, stream, parts=()):
 
 _ST = "SELECT tweet_id, symbol, sentiment_positive FROM tweets"
 _keep = ("tweet_id", "symbol", "sentiment_positive")
-for _n in ("st_ingest", "st_microbatch_flush", "st_drain"):
-    query(_n, _ST, "tweets")(lambda t: _drained(t, _stream(t)).select(*_keep))
-query("st_partitioned_sink", _ST, "tweets")(lambda t: _drained(t, _stream(t).withColumn("date", F.to_date("created_at")), ("symbol", "date")).select(*_keep))
+query("st_ingest", _ST, "tweets")(lambda t: _drained(t, _stream(t)).select(*_keep))
+
+
+@query("st_drain", _ST, "tweets")
+def st_drain(t):
+    """Drained twice from one checkpoint: the second time there is nothing left."""
+    path, stream = folder(t.spark), _stream(t)
+    for _ in range(2):
+        J.drain(stream, path + "/out", path + "/state")
+    return t.spark.read.schema(stream.schema).parquet(path + "/out").select(*_keep)
+
+
+@query("st_microbatch_flush", _ST, "tweets")
+def st_microbatch_flush(t):
+    """The running job, whose micro-batches end by files of so many records or by the clock, until it has caught up."""
+    path, stream = folder(t.spark), _stream(t)
+    job = J.start(stream, path + "/out", path + "/state", every="1 second")
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    return t.spark.read.schema(stream.schema).parquet(path + "/out").select(*_keep)
+
+
+@query("st_partitioned_sink", "SELECT tweet_id, symbol, CAST(hour(created_at) AS INT) AS hour FROM tweets", "tweets")
+def st_partitioned_sink(t):
+    path, stream = folder(t.spark), J.with_parts(_stream(t))
+    J.drain(stream, path + "/out", path + "/state", ("symbol", "date", "hour"))
+    return t.spark.read.parquet(path + "/out").select("tweet_id", "symbol", "hour")
 
 
 def _text_stream(t):
@@ -240,5 +277,5 @@ query("st_sent_windows")(lambda t: _drained(t, J.sentiment_windows(J.posts(J.rea
 def _ordered(t):
     """The events' folder, in files by day so that none is late; and their schema."""
     path = folder(t.spark)
-    t.events.coalesce(1).sortWithinPartitions("ts").write.option("maxRecordsPerFile", 5000).parquet(path)
+    t.events.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.option("maxRecordsPerFile", 5000).parquet(path)
     return path, t.events.schema

@@ -158,7 +158,10 @@ query("label_fallback", "SELECT row_id, CAST(TRY_CAST(target_next_day AS DOUBLE)
 query("filter_news_threshold", "SELECT row_id FROM (SELECT row_id, abs(f_median) > 250000 AS far, count(*) FILTER (WHERE abs(f_median) > 250000) OVER () AS n FROM features) WHERE far OR n <= 100", "features")(
     lambda t: t.features.withColumn("far", F.abs("f_median") > 250000).crossJoin(F.broadcast(t.features.agg(F.count_if(F.abs("f_median") > 250000).alias("n")))).where("far or n <= 100").select("row_id")
 )
-query("filter_universe", "SELECT p_partkey FROM part WHERE p_retailprice >= 905 AND p_size >= 5 AND p_size / p_retailprice >= 0.005")(lambda t: t.part.where((F.col("p_retailprice") >= 905) & (F.col("p_size") >= 5) & (F.col("p_size") / F.col("p_retailprice") >= 0.005)).select("p_partkey"))
+_MEASURES = "p_partkey, p_size * 1e5 AS avg_stock_vol, p_size * 1e2 AS avg_option_vol, (p_partkey % 100) / 100e0 AS iv_rank_pct, p_retailprice * 2e0 AS open_interest, (p_partkey % 7) / 1000e0 AS bid_ask_spread, (p_partkey % 9) / 100e0 AS atr_close_ratio, p_partkey % 41 + 10e0 AS adx, p_retailprice * 4e6 AS market_cap, p_size * 1e6 AS free_float, p_retailprice / 100e0 AS close, p_partkey % 5 AS num_expirations, p_partkey % 12 AS strikes_per_expiry"
+query("filter_universe", f"SELECT p_partkey FROM (SELECT {_MEASURES} FROM part) WHERE " + " AND ".join(f"{c} {'<' if c == 'bid_ask_spread' else '>='} {b}" for c, b in O.UNIVERSE.items()))(
+    lambda t: O.universe(t.part.selectExpr(*[x.strip() for x in _MEASURES.split(", ")])).select("p_partkey")
+)
 
 
 @query("project_tweet", "SELECT tweet_id, symbol AS primary_symbol, coalesce(retweet_count, 0) AS retweet_count, coalesce(like_count, 0) AS like_count, 0 AS quote_count FROM tweets", "tweets")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,11 +22,12 @@ def read_label_first(spark: SparkSession, path: str, features: int) -> DataFrame
 
 
 def read_preferred(spark: SparkSession, folder: str, schema: str, name: str = "train.csv") -> DataFrame:
-    """Of a folder's CSV files, the one of that name, else the first by name."""
-    rows = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
-    tagged = rows.withColumn("_file", F.col("_metadata.file_name"))
-    pick = tagged.select("_file").distinct().orderBy(F.col("_file") != name, "_file").limit(1)
-    return tagged.join(F.broadcast(pick), "_file", "left_semi").drop("_file")
+    """Of a folder's entries, each a CSV file or a folder of them, the one of that name, else the first by name."""
+    rows = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).csv(folder)
+    base = re.escape(folder.rstrip("/").rpartition("/")[2])
+    tagged = rows.withColumn("_entry", F.regexp_extract("_metadata.file_path", f"/{base}/([^/]+)", 1))
+    pick = tagged.select("_entry").distinct().orderBy(F.col("_entry") != name, "_entry").limit(1)
+    return tagged.join(F.broadcast(pick), "_entry", "left_semi").drop("_entry")
 
 
 def first_location(frames: list[DataFrame], by: str) -> DataFrame:
@@ -87,10 +90,28 @@ def read_scored(spark: SparkSession, path: str, symbol: str, first: str, last: s
     return spark.read.parquet(path).where((F.col("symbol") == symbol) & F.col("date").between(first, last))
 
 
+_METADATA = "features array<string>, target string, n int, filled map<string,bigint>"
+
+
 def feature_metadata(df: DataFrame, target: str) -> DataFrame:
-    """One row: the feature names in order, the target, their number."""
+    """One row: the feature names in order, the target, their number, and how many values of each aren't null."""
     names = [c for c in df.columns if c != target]
-    return df.sparkSession.createDataFrame([(names, target, len(names))], "features array<string>, target string, n int")
+    filled = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.count(c) for c in names]))
+    return df.agg(filled.alias("filled")).select(F.array(*map(F.lit, names)).alias("features"), F.lit(target).alias("target"), F.lit(len(names)).alias("n"), "filled")
+
+
+def with_names(metadata: DataFrame, names: list[str]) -> DataFrame:
+    """Metadata with the names that it lacks at the end."""
+    features = F.array_union("features", F.array(*map(F.lit, names)))
+    return metadata.withColumn("features", features).withColumn("n", F.size("features"))
+
+
+def write_metadata(metadata: DataFrame, path: str) -> None:
+    metadata.coalesce(1).write.mode("overwrite").json(path)  # one row
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_METADATA).json(path)
 
 
 def write_runs(oof: DataFrame, path: str, run_id: str) -> None:

@@ -30,10 +30,15 @@ def drain(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str
     (out.partitionBy(*partition_by) if partition_by else out).start().awaitTermination()
 
 
+def with_parts(stream: DataFrame) -> DataFrame:
+    """Posts with the date and hour that a sink is partitioned by."""
+    return stream.withColumns({"date": F.to_date("created_at"), "hour": F.hour("created_at")})
+
+
 def start(stream: DataFrame, path: str, checkpoint: str, every: str = "300 seconds"):
-    """A running job that writes by symbol, day and hour in micro-batches."""
-    parts = {"date": F.to_date("created_at"), "hour": F.hour("created_at")}
-    return stream.withColumns(parts).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("symbol", *parts).trigger(processingTime=every).start()
+    """A running job that writes by symbol, day and hour in micro-batches; a failed batch is done again from the checkpoint."""
+    out = with_parts(stream).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return out.partitionBy("symbol", "date", "hour").trigger(processingTime=every).start()
 
 
 def fan_out(stream: DataFrame, symbols: DataFrame) -> DataFrame:
