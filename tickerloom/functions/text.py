@@ -13,7 +13,6 @@ FINANCE = (
     "earnings", "revenue", "profit", "loss", "guidance", "forecast", "bullish", "bearish", "buy", "sell", "hold", "upgrade", "downgrade", "analyst", "target", "price", "stock", "shares", "market",
     "trading", "volume", "breakout", "support", "resistance", "dividend", "split", "merger", "acquisition", "ipo",
 )
-COMPANIES = {"AAPL": ("apple",), "GOOGL": ("google", "alphabet"), "TSLA": ("tesla",), "META": ("meta", "facebook"), "MSFT": ("microsoft",), "AMZN": ("amazon",), "NVDA": ("nvidia",)}
 KEYWORDS = {
     "AAPL": ("apple", "iphone", "ipad", "mac", "ios"), "GOOGL": ("google", "alphabet", "youtube", "android", "gmail"), "TSLA": ("tesla", "elon musk", "model 3", "model y", "cybertruck"),
     "META": ("meta", "facebook", "instagram", "whatsapp", "metaverse"), "MSFT": ("microsoft", "windows", "office", "azure", "xbox"), "AMZN": ("amazon", "aws", "prime", "alexa", "bezos"),
