@@ -24,7 +24,13 @@ def stage_rows(spark) -> list[tuple]:
     """Clean texts, exact and near copies of the first, one with a benchmark passage, with null and repeated doc_ids; and junk."""
     docs = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").select("doc_id", "text").collect()}
     labels = {r.doc_id: r.quality for r in table(spark, SF_DIR, "labels").collect()}
-    good = [docs[d] for d in sorted(docs) if labels.get(d) == 1 and docs[d] and len(docs[d].split()) > 60][:12]
+    good, sets = [], []
+    for d in sorted(docs):
+        w = (docs[d] or "").lower().split()
+        mine = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        if labels.get(d) == 1 and len(w) > 60 and len(good) < 12 and not any(len(mine & x) > 0.3 * len(mine) for x in sets):
+            good.append(docs[d])
+            sets.append(mine)
     bad = [docs[d] for d in sorted(docs) if labels.get(d) == 0 and docs[d]][:6]
     passage = max((r.text for r in table(spark, SF_DIR, "benchmark").collect() if r.text), key=len)
     first = good[0].split()

@@ -12,6 +12,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +45,24 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", compression).parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STAGED: list[str] = []  # folders of this driver's staged tables
+
+
+def finished(make, name: str) -> DataFrame:
+    """The DataFrame that make() gives, staged; then the tables that were staged on its way are removed."""
+    mark = len(_STAGED)
+    out = staged(make(), name)
+    for path in _STAGED[mark:-1]:
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.delete_dir(base)
+    del _STAGED[mark:-1]
+    return out
+
+
 def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: str, share: int = 1000) -> DataFrame:
     """rows joined with groups by keys that are unique in groups; `n` says how many rows a group meets, about, and is dropped.
 
