@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickerloom.llm import decontaminate, dedup_exact, jaccard, mixing, quality
-from tickerloom.llm.common import staged, table
+from tickerloom.llm.common import finished, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +66,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each written and read again; what a stage staged for itself is removed once it is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        docs = finished(lambda: stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)
