@@ -36,7 +36,7 @@ def stage_rows(spark) -> list[tuple]:
     first = good[0].split()
     rows = [(10 + i, x, "en", "ab"[i % 2]) for i, x in enumerate(good)]
     rows += [(40, "  ".join(first), "en", "a"), (10, good[0], "en", "a"), (None, good[0], "en", "a"), (41, " ".join([*first[:-1], "changed"]), "en", "b"), (None, " ".join(["changed", *first[1:]]), "en", None)]
-    rows += [(42, f"{good[1]} {passage} {good[2]}", "en", "a"), (None, f"{good[3]} {passage}", "en", "a"), (11, f"{passage} {good[4]}", "en", "a"), (43, " ".join(good * 20), "en", None)]
+    rows += [(42, f"{good[1]} {passage} {good[2]}", "en", "a"), (None, f"{good[3]} {passage}", "en", "a"), (11, f"{passage} {' '.join(good[4].split()[:10])}", "en", "a"), (43, " ".join(good * 20), "en", None)]
     return rows + [(60 + i, x, "en", "a") for i, x in enumerate(bad)] + ODD
 
 
