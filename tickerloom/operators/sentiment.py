@@ -98,5 +98,10 @@ def features_with_sentiment(features: DataFrame, posts: DataFrame) -> DataFrame:
     return features.join(rolled(posts), list(KEYS), "left").fillna(0.0, ["sent_5m", "sent_10m", "sent_60m", "sent_daily"])
 
 
+def sentiment_features(posts: DataFrame, dates: DataFrame) -> DataFrame:
+    """The four sent_ columns of every symbol on every one of some days (few rows), 0 where there are no posts."""
+    return features_with_sentiment(posts.select("symbol").distinct().crossJoin(F.broadcast(dates)), posts)
+
+
 def with_engagement(posts: DataFrame) -> DataFrame:
     return posts.withColumn("engagement_score", engagement(F.col("retweet_count"), F.col("quote_count"), F.col("reply_count"), F.col("like_count")))

@@ -59,8 +59,11 @@ def calendar(posts):
     return posts.select("symbol").distinct().crossJoin(F.broadcast(span))
 
 
-for _n in ("join_features_sentiment", "agg_sentiment_features"):
-    query(_n, _JOIN, "tweets")(lambda t: _rounded(S.features_with_sentiment(calendar(t.tweets), t.tweets), "sent_5m", "sent_10m", "sent_60m", "sent_daily"))
+_FOUR = ("sent_5m", "sent_10m", "sent_60m", "sent_daily")
+query("join_features_sentiment", _JOIN, "tweets")(lambda t: _rounded(S.features_with_sentiment(calendar(t.tweets), t.tweets), *_FOUR))
+query("agg_sentiment_features", f"WITH {_bucket_sql(5)}, {_bucket_sql(10)}, {_bucket_sql(60)}, {_DAILY}, {_CAL} SELECT symbol, date, " + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in _FOUR) + " FROM (SELECT * FROM cal WHERE isodow(date) < 6) LEFT JOIN s5 USING (symbol, date) LEFT JOIN s10 USING (symbol, date) LEFT JOIN s60 USING (symbol, date) LEFT JOIN sd USING (symbol, date)", "tweets")(
+    lambda t: _rounded(S.sentiment_features(t.tweets, calendar(t.tweets).select("date").distinct().where(F.weekday("date") < 5)), *_FOUR)
+)
 query("agg_sent_window_stats", "SELECT symbol, time_bucket(INTERVAL '5 minutes', created_at) AS start, count(*) AS n, round(avg(sentiment_positive), 6) AS sent_mean_5m, round(sum(sentiment_positive), 6) AS sent_sum, round(avg(CAST(sentiment_positive > sentiment_negative AS INT)), 6) AS sent_pos_ratio FROM tweets GROUP BY ALL", "tweets")(
     lambda t: t.tweets.groupBy("symbol", F.window("created_at", "5 minutes").start.alias("start")).agg(F.count("*").alias("n"), F.round(F.avg("sentiment_positive"), 6).alias("sent_mean_5m"), F.round(F.sum("sentiment_positive"), 6).alias("sent_sum"), F.round(F.avg((F.col("sentiment_positive") > F.col("sentiment_negative")).cast("int")), 6).alias("sent_pos_ratio"))
 )
