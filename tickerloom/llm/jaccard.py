@@ -249,7 +249,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = staged(classes.join(least, "root").select("node", "component_id", F.col("copies").alias("n")), "near-classes")
-    done = spread_join(info.select("doc_id", "hash", F.col("n").alias("size"), F.when(F.col("n") > 0, F.col("node")).alias("node")), classes, ["node"], n, "left")
+    own = F.when(F.col("n") > 0, F.col("node")).otherwise(F.monotonically_increasing_id())  # rows of the empty set spread; what they meet is not used
+    done = spread_join(info.select("doc_id", "hash", F.col("n").alias("size"), own.alias("node")), classes, ["node"], n, "left")
     return done.select("doc_id", "hash", F.col("size").alias("n"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
