@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, mixing, pii, quality, warc
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, merkle, mixing, pii, quality, warc
 from tickerloom.llm.common import table
 
 
@@ -49,7 +49,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id)}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id, op11_merkle)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
@@ -103,4 +107,38 @@ SELECT doc_id, item_id, CAST(n_aligned AS INT) AS n_aligned, CAST(n_same AS INT)
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_same DESC, n_aligned DESC, first_word) = 1
 """
 
-ORACLE_SQL = {"op7_decontaminate": OP7_SQL, "op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR END"
+_LEAF = lambda n_chars: "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+# CRC-32 of the digits of doc_id: each byte is added and eight bits are shifted out.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _tree_sql(name: str, nodes: str) -> str:
+    """Levels of the trees over nodes(key, idx, n, digest), from l = 0."""
+    return f"""{name} AS (SELECT key, 0 AS l, idx, n, digest FROM {nodes} UNION ALL
+  SELECT key, l + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY key, l, idx // 2, n)"""
+
+
+def _walk_sql(name: str, start: str, tree: str) -> str:
+    """Rows of start(id, key, idx, now, proof), up the tree."""
+    return f"""{name} AS (SELECT id, key, 0 AS l, idx, now, proof FROM {start} UNION ALL
+  SELECT w.id, w.key, w.l + 1, w.idx // 2, sha256(CASE WHEN s.digest IS NULL THEN now WHEN w.idx % 2 = 0 THEN now || s.digest ELSE s.digest || now END), proof || coalesce(s.digest, '')
+  FROM {name} w JOIN {tree} m ON m.key = w.key AND m.l = w.l AND m.idx = w.idx AND m.n > 1 LEFT JOIN {tree} s ON s.key = w.key AND s.l = w.l AND s.idx = xor(w.idx, 1))"""
+
+
+OP11_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS key, {_LEAF("n_chars")} AS digest,
+  CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN {_LEAF("(n_chars + 1)")} ELSE {_LEAF("n_chars")} END AS now FROM documents),
+rows AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, digest, id) - 1 AS idx, count(*) OVER (PARTITION BY key) AS n FROM leaves),
+{_tree_sql("tree", "rows")},
+tops AS MATERIALIZED (SELECT '' AS key, key AS lang, row_number() OVER (ORDER BY key) - 1 AS idx, count(*) OVER () AS n, digest FROM tree WHERE n = 1),
+{_tree_sql("top", "tops")},
+start AS (SELECT id, key, idx, now, '' AS proof FROM rows), {_walk_sql("walk", "start", "tree")},
+arrived AS (SELECT w.id, t.key, t.idx, w.now, w.proof FROM walk w JOIN tree m ON m.key = w.key AND m.l = w.l AND m.n = 1 JOIN tops t ON t.lang = w.key), {_walk_sql("climb", "arrived", "top")},
+root AS (SELECT l, digest FROM top WHERE n = 1)
+SELECT doc_id, r.digest AS leaf, t.digest AS subroot, root.digest AS root, sha256(c.proof) AS proof_sha256, c.now AS folded_root, c.now = root.digest AS verified
+FROM climb c JOIN root ON root.l = c.l JOIN rows r ON r.id = c.id JOIN tops t ON t.lang = r.key
+"""
+
+ORACLE_SQL = {"op11_merkle": OP11_SQL, "op7_decontaminate": OP7_SQL, "op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
