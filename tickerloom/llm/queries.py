@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, merkle, mixing, pii, quality, warc
+from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, merkle, mixing, pii, quality, tokenfile, warc
 from tickerloom.llm.common import table
 
 
@@ -53,7 +53,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id, op11_merkle)}
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id, op11_merkle, op12_token_files)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
