@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -224,9 +225,9 @@ def _coded(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) -
         weights += stretch
         np.minimum(np.maximum(weights, -200_000, out=weights), 200_000, out=weights)
         odds[places] = odd + ((goal - odd) >> 4)
-        same = (known == x) & (well > 0)
-        held = np.where(same, np.minimum(held + 65536, known | 0xF0000), np.where(well <= 1, x | 0x10000, (well >> 1 << 16) | known))
-        memory[slots] = held
+        better = (held < 0xF0000) * np.int32(65536)
+        better += held
+        memory[slots] = np.where(known == x, better, np.where(held < 0x20000, x | 65536, held - 65536))
         before, last = last, x.astype(np.uint32)
     return out
 
@@ -301,50 +302,68 @@ def _gathered(begin: np.ndarray, size: np.ndarray, flat: np.ndarray, units: np.n
     return flat[np.repeat(begin[units] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
+#: Bytes of letters beyond ASCII as the letters that the vocabulary has for them: a byte that doesn't print has one from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_LETTERS = {c: "".join(chr(256 + _HIDDEN.index(b) if b in _HIDDEN else b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class Tokens:
     """Ids of texts by their distinct words: the tokenizer drops white space and never looks across it.
 
     A word that ends in a letter or digit and closing marks is cut before the marks, where the tokenizer cuts it, too; ASCII
-    words are lower-cased, as it does. Words go to the tokenizer many at a time, told apart by MARK, which stands alone
-    between spaces; those with MARK or a special token's beginning in them go by themselves.
+    words are lower-cased, as it does. Words of Latin letters, which its normalizer only lower-cases and its pattern doesn't
+    cut, go straight to its model; others to the whole tokenizer many at a time with MARK, which stands alone between spaces,
+    between them; those with MARK or a special token's beginning in them by themselves.
     """
 
-    MARK, CLOSING = "\ue000", ".,;:!?*$#=)"
+    MARK, CLOSING, LATIN, LOT = "\ue000", ".,;:!?*$#=)", "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", 1024
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.mark = np.array(self._encoded(self.MARK), np.uint16)
+        self.mark = np.array(self._encoded([self.MARK])[0])
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
-    def _encoded(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        alone = [w for w in new if self.MARK in w or "<|" in w]
-        many = [w for w in new if not (self.MARK in w or "<|" in w)] if alone else new
-        lots = [many[i : i + 512] for i in range(0, len(many), 512)]
-        between = f" {self.MARK} "
+    def _latin(self, words: list[str]) -> tuple[list, list]:
+        model = self.tokenizer.model.tokenize
+        each = [[t.id for t in model(w if w.isascii() else w.lower().translate(_LETTERS))] for w in words]
+        return [np.fromiter(chain.from_iterable(each), np.uint16)], [np.fromiter(map(len, each), np.int64, len(each))]
+
+    def _marked(self, words: list[str]) -> tuple[list, list]:
         flats, sizes = [], []
-        for e in self.tokenizer.encode_batch_fast([between.join(x) for x in lots], add_special_tokens=False):
-            ids = np.array(e.ids, np.uint16)
-            n = len(ids) - len(self.mark) + 1
-            at = np.flatnonzero(np.logical_and.reduce([ids[k : k + n] == m for k, m in enumerate(self.mark)])) if n > 0 else np.zeros(0, np.int64)
+        between = f" {self.MARK} "
+        for ids in self._encoded([between.join(words[i : i + self.LOT]) for i in range(0, len(words), self.LOT)]):
+            n = max(0, len(ids) - len(self.mark) + 1)
+            at = np.flatnonzero(np.logical_and.reduce([ids[k : k + n] == m for k, m in enumerate(self.mark)]))
             keep = np.ones(len(ids), bool)
-            for k in range(len(self.mark)):
-                keep[at + k] = False
+            keep[(at[:, None] + np.arange(len(self.mark))).ravel()] = False
             flats.append(ids[keep])
             sizes.append(np.diff(np.r_[0, at - np.arange(len(at)) * len(self.mark), keep.sum()]))
-        for w in alone:
-            flats.append(np.array(self._encoded(w), np.uint16))
-            sizes.append(np.array([len(flats[-1])]))
-        size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        for w in (*many, *alone):
-            self.place[w] = len(self.place)
-        self.begin, self.size, self.flat = np.r_[self.begin, len(self.flat) + np.cumsum(size) - size], np.r_[self.size, size], np.concatenate([self.flat, *flats])
+        return flats, sizes
+
+    def _alone(self, words: list[str]) -> tuple[list, list]:
+        flats = self._encoded(words)
+        return flats, [np.array([len(f)]) for f in flats]
+
+    def _learn(self, new: list[str]) -> None:
+        words = pa.array(new, pa.large_string())
+        latin = pc.match_substring_regex(words, self.LATIN)
+        rest = words.filter(pc.invert(latin)).to_pylist()
+        ways = {self._latin: words.filter(latin).to_pylist(), self._marked: [w for w in rest if not (self.MARK in w or "<|" in w)], self._alone: [w for w in rest if self.MARK in w or "<|" in w]}
+        for way, words in ways.items():
+            if words:
+                flats, sizes = way(words)
+                size = np.concatenate(sizes)
+                if len(size) != len(words):
+                    raise ValueError("the tokenizer doesn't cut these words where this class expects it")
+                self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+                self.begin, self.size, self.flat = np.r_[self.begin, len(self.flat) + np.cumsum(size) - size], np.r_[self.size, size], np.concatenate([self.flat, *flats])
 
     def ids(self, texts, end: int = END) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of an Arrow column, each text's followed by `end`; and how many each has."""
@@ -358,12 +377,12 @@ class Tokens:
         core = pc.if_else(pc.string_is_ascii(word), pc.ascii_lower(core), core)
         parts = pa.chunked_array([pc.if_else(cut, core, word), _tails(word, core, cut)]).combine_chunks().dictionary_encode()
         units = parts.dictionary.to_pylist()
-        new = [w for w in units if w not in self.place]
+        new = list(filterfalse(self.place.__contains__, units))
         if len(self.place) + len(new) > MEMO:
             self._forget()
             new = units
         self._learn(new)
-        at = np.array([self.place[w] for w in units], np.int64)[parts.indices.to_numpy()]
+        at = np.array(list(map(self.place.__getitem__, units)), np.int64)[parts.indices.to_numpy()]
         n = len(word)
         flat, sizes = _gathered(self.begin, self.size, self.flat, at.reshape(2, n).T.ravel())
         flat, size = np.r_[flat, np.uint16(end)], np.r_[sizes.reshape(n, 2).sum(1), 1]
