@@ -37,10 +37,10 @@ BLOCK = 2048  # ids of a block
 SEGMENT = 4096  # blocks of a segment at most
 END = 2
 MAGIC = b"TKRC0001"
-SLICE = 8 << 20  # bytes of text tokenized at once, about
+SLICE = 12 << 20  # bytes of text tokenized at once, about
 MEMO = 1 << 20  # words whose ids a task keeps at most; beyond that it forgets them all
 
-_TOP = np.uint64(48)
+_ZERO, _HALF, _WHOLE = np.uint64(0), np.uint64(32), np.uint64((1 << 48) - 1)
 _LOW = np.uint64((1 << 32) - 1)
 _SIX = np.uint64(16)
 _TABLE = 2048  # slots of each order's memory in a block
@@ -53,100 +53,98 @@ def _crc_of_tables() -> int:
 
 
 class Encoder:
-    """Range coders of several blocks in step. Digits go to out, a row for each block."""
+    """Range coders of several blocks in step. Digits go to flat, a stretch of `most` for each block; at: the next digit's place."""
 
     def __init__(self, blocks: int, most: int):
         self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, (1 << 48) - 1, np.uint64)
         self.most = 2 * most + 4
-        self.out, self.at = np.zeros((blocks, self.most), np.uint16), np.zeros(blocks, np.int64)
-
-    def _carry(self, over: np.ndarray) -> None:
-        """Adds one to the digits before, and to those before them while they overflow."""
-        self.low[over] &= np.uint64((1 << 48) - 1)
-        place = self.at[over] - 1
-        while len(over):
-            self.out[over, place] += 1
-            again = self.out[over, place] == 0
-            over, place = over[again], place[again] - 1
-
-    def _shift(self, small: np.ndarray) -> None:
-        low = self.low[small]
-        self.out[small, self.at[small]] = (low >> np.uint64(32)).astype(np.uint16)
-        self.at[small] += 1
-        self.low[small] = (low & _LOW) << _SIX
-        self.range[small] <<= _SIX
+        self.flat, self.at = np.zeros(blocks * self.most, np.uint16), np.arange(blocks) * self.most
+
+    def _carry(self, low: np.ndarray, over: np.ndarray, blocks: np.ndarray) -> None:
+        """Takes the bit too many from low[over] and adds it to the blocks' digits before, and on while those overflow."""
+        low[over] &= _WHOLE
+        place = self.at.take(blocks) - 1
+        while len(place):
+            self.flat[place] += 1
+            place = place[self.flat.take(place) == 0] - 1
+
+    def _shift(self, low: np.ndarray, size: np.ndarray, small: np.ndarray, blocks: np.ndarray) -> None:
+        """Moves a digit of low[small] out."""
+        x, at = low.take(small), self.at.take(blocks)
+        self.flat[at] = x >> _HALF
+        self.at[blocks] = at + 1
+        low[small] = (x & _LOW) << _SIX
+        size[small] = size.take(small) << _SIX
 
     def bit(self, k: int, p: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
         """Codes hit for the first k blocks; p: its probability of 65536."""
         low, size = self.low[:k], self.range[:k]
         bound = (size >> _SIX) * p
-        low += np.where(hit, np.uint64(0), bound)
+        low += np.where(hit, _ZERO, bound)
         size[:] = np.where(hit, bound, size - bound)
-        if len(over := np.flatnonzero(low >> _TOP)):
-            self._carry(over)
+        if len(over := np.flatnonzero(low > _WHOLE)):
+            self._carry(low, over, over)
         if len(small := np.flatnonzero(size <= _LOW)):
-            self._shift(small)
+            self._shift(low, size, small, small)
         return hit
 
     def draw(self, which: np.ndarray, order0: Order0, ids: np.ndarray | None) -> np.ndarray:
         """Codes ids of the blocks `which` by order 0."""
-        step = self.range[which] >> _SIX
-        low = self.low[which] + step * order0.base.take(ids)
-        self.low[which] = low
+        step = self.range.take(which) >> _SIX
+        low = self.low.take(which) + step * order0.base.take(ids)
         size = step * order0.share.take(ids)
-        self.range[which] = size
-        if len(over := which[(low >> _TOP) > 0]):
-            self._carry(over)
-        if len(small := which[size <= _LOW]):
-            self._shift(small)
+        if len(over := np.flatnonzero(low > _WHOLE)):
+            self._carry(low, over, which.take(over))
+        if len(small := np.flatnonzero(size <= _LOW)):
+            self._shift(low, size, small, which.take(small))
+        self.low[which], self.range[which] = low, size
         return ids
 
     def ended(self) -> list[np.ndarray]:
         """The digits of each block; those left out at the end are zeros."""
         self.low += _LOW
-        if len(over := np.flatnonzero(self.low >> _TOP)):
-            self._carry(over)
-        n = len(self.low)
-        self.out[np.arange(n), self.at] = (self.low >> np.uint64(32)).astype(np.uint16)
-        return [np.trim_zeros(self.out[i, : self.at[i] + 1], "b") for i in range(n)]
+        if len(over := np.flatnonzero(self.low > _WHOLE)):
+            self._carry(self.low, over, over)
+        self.flat[self.at] = self.low >> _HALF
+        return [np.trim_zeros(self.flat[i * self.most : end + 1], "b") for i, end in enumerate(self.at.tolist())]
 
 
 class Decoder:
     """The same from the digits; hit and ids are what it gives."""
 
     def __init__(self, digits: list[np.ndarray], most: int):
-        n, width = len(digits), max([3, *(len(d) + 1 for d in digits)])
-        self.digits = np.zeros((n, width), np.uint16)
+        n, width = len(digits), 4 + max(map(len, digits))
+        full = np.zeros((n, width), np.uint16)
         for i, d in enumerate(digits):
-            self.digits[i, : len(d)] = d
-        first = self.digits[:, :3].astype(np.uint64)
-        self.code, self.range = (first[:, 0] << np.uint64(32)) | (first[:, 1] << _SIX) | first[:, 2], np.full(n, (1 << 48) - 1, np.uint64)
-        self.at = np.full(n, 3)
-        self.last = width - 1
+            full[i, : len(d)] = d
+        first = full[:, :3].astype(np.uint64)
+        self.code, self.range = (first[:, 0] << _HALF) | (first[:, 1] << _SIX) | first[:, 2], np.full(n, (1 << 48) - 1, np.uint64)
+        self.flat, self.at, self.last = full.ravel(), np.arange(n) * width + 3, np.arange(n) * width + width - 1
 
-    def _shift(self, small: np.ndarray) -> None:
-        self.code[small] = (self.code[small] << _SIX) | self.digits[small, np.minimum(self.at[small], self.last)]
-        self.at[small] += 1
-        self.range[small] <<= _SIX
+    def _shift(self, code: np.ndarray, size: np.ndarray, small: np.ndarray, blocks: np.ndarray) -> None:
+        at = self.at.take(blocks)
+        code[small] = (code.take(small) << _SIX) | self.flat.take(np.minimum(at, self.last.take(blocks)))
+        self.at[blocks] = at + 1
+        size[small] = size.take(small) << _SIX
 
     def bit(self, k: int, p: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
         code, size = self.code[:k], self.range[:k]
         bound = (size >> _SIX) * p
         hit = code < bound
-        code -= np.where(hit, np.uint64(0), bound)
+        code -= np.where(hit, _ZERO, bound)
         size[:] = np.where(hit, bound, size - bound)
         if len(small := np.flatnonzero(size <= _LOW)):
-            self._shift(small)
+            self._shift(code, size, small, small)
         return hit
 
     def draw(self, which: np.ndarray, order0: Order0, ids: np.ndarray | None) -> np.ndarray:
-        step = self.range[which] >> _SIX
-        ids = order0.at.take(np.minimum(self.code[which] // step, np.uint64(65535)).astype(np.int64))
-        self.code[which] -= step * order0.base.take(ids)
+        step, code = self.range.take(which) >> _SIX, self.code.take(which)
+        ids = order0.at.take((code // step).astype(np.int64), mode="clip")
+        code -= step * order0.base.take(ids)
         size = step * order0.share.take(ids)
-        self.range[which] = size
-        if len(small := which[size <= _LOW]):
-            self._shift(small)
+        if len(small := np.flatnonzero(size <= _LOW)):
+            self._shift(code, size, small, which.take(small))
+        self.code[which], self.range[which] = code, size
         return ids
 
 
@@ -444,11 +442,11 @@ def _written(folder: str, path: str, block: int, segment: int):
 def write_files(docs: DataFrame, folder: str, path: str | None = None, block: int = BLOCK, segment: int = SEGMENT) -> DataFrame:
     """Writes the ids of docs(doc_id, text) to files in folder, documents in ascending doc_id order over all files; part, name, n_ids, n_docs of each.
 
-    Null doc_ids come first and null text is empty; rows that repeat a doc_id stand in the order of their texts' hashes.
-    Staged, as a second run would write second files.
+    Null doc_ids come first and null text is empty; rows that repeat a doc_id stand in the order in which they are read, which
+    cuts a doc_id of very many rows over several files. Staged, as a second run would write second files.
     """
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").select("doc_id", "text")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).withColumn("place", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").select("doc_id", "text")
     return staged(ordered.mapInArrow(_written(folder, path or _vocabulary(), block, segment), "part long, name string, n_ids long, n_docs long"), "token-files")
 
 
