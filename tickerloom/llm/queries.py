@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, dedup_exact, jaccard, langid, license, lmscore, merkle, mixing, pii, quality, tokenfile, warc
+from tickerloom.llm import codes, decontaminate, dedup_exact, jaccard, langid, license, lmscore, merkle, mixing, pii, quality, tokenfile, warc
 from tickerloom.llm.common import table
 
 
@@ -57,7 +57,11 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id, op11_merkle, op12_token_files)}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.product_codes(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_licences, op3_exact_dedup, op4_source_mix, op5_warc, op6_jaccard_join, op7_decontaminate, op8_quality, op9_lm_score, op10_language_id, op11_merkle, op12_token_files, op13_vector_codes)}
 
 OP3_SQL = r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
@@ -145,4 +149,28 @@ SELECT doc_id, r.digest AS leaf, t.digest AS subroot, root.digest AS root, sha25
 FROM climb c JOIN root ON root.l = c.l JOIN rows r ON r.id = c.id JOIN tops t ON t.lang = r.key
 """
 
-ORACLE_SQL = {"op11_merkle": OP11_SQL, "op7_decontaminate": OP7_SQL, "op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
+_SQUARE = "list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - e.v[i]) * (x.v[i] - e.v[i])))"
+
+
+def _round_sql(i: int) -> str:
+    """near{i}: each part's nearest entry of book{i}; book{i + 1}: the entries moved."""
+    return f"""near{i} AS MATERIALIZED (SELECT x.id, x.p, min({{'d': {_SQUARE}, 'e': e.e}}) AS m FROM parts x JOIN book{i} e ON e.p = x.p GROUP BY x.id, x.p),
+means{i} AS (SELECT p, e, list(mean ORDER BY k) AS v FROM (SELECT p, e, k, CAST(floor(sum(c) / count(*)) AS BIGINT) AS mean
+  FROM (SELECT n.p, n.m.e AS e, unnest(range(1, len(v) + 1)) AS k, unnest(v) AS c FROM near{i} n JOIN parts x ON x.id = n.id AND x.p = n.p) GROUP BY p, e, k) GROUP BY p, e),
+book{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN means{i} m ON m.p = b.p AND m.e = b.e)"""
+
+
+OP13_SQL = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label, list_transform(embedding, lambda c: CAST(floor(1024 * c::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (SELECT id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS v FROM (SELECT id, unnest(range(4)) AS p, v FROM kept)),
+book0 AS MATERIALIZED (SELECT p, id - 1 AS e, v FROM parts WHERE id <= 256),
+{", ".join(_round_sql(i) for i in range(4))},
+last AS (SELECT x.id, x.p, min({{'d': {_SQUARE}, 'e': e.e}}) AS m FROM parts x JOIN book4 e ON e.p = x.p GROUP BY x.id, x.p),
+coded AS (SELECT id, string_agg(printf('%02x', m.e::INT), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM last GROUP BY id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(c, ',' ORDER BY p, e)) FROM (SELECT p, e, array_to_string(v, ',') AS c FROM book4)) AS codebooks_sha256
+FROM coded JOIN kept USING (id)
+"""
+
+ORACLE_SQL = {"op13_vector_codes": OP13_SQL, "op11_merkle": OP11_SQL, "op7_decontaminate": OP7_SQL, "op5_warc": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op3_exact_dedup": OP3_SQL}
