@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickerloom.operators.staging import staged
+
 
 def guarded_corr(a: str, b: str) -> Column:
     """Pearson's correlation; null where a column is constant."""
@@ -17,13 +19,14 @@ def guarded_corr(a: str, b: str) -> Column:
 def auc(preds: DataFrame, by: list[str], score: str = "score", label: str = "label") -> DataFrame:
     """Area under the ROC curve, ties counting half; null without both classes.
 
-    Rows meet by score first. Distinct scores are summed up within ranges of scores, cut at sampled quantiles, from where
-    the ranges before end: so no task gets all scores of a key.
+    Rows meet by score first, and those sums are staged: preds is evaluated once. Distinct scores are summed up within ranges
+    of scores, cut at sampled quantiles, from where the ranges before end: so no task gets all scores of a key.
     """
     n = max(1, int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = sorted(set(preds.stat.approxQuantile(score, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
+    ties = staged(preds.groupBy(*by, score).agg(F.sum(F.col(label).cast("double")).alias("p"), F.sum(1.0 - F.col(label)).alias("n")), "auc-ties")
+    bounds = sorted(set(ties.stat.approxQuantile(score, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
     cut = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: F.col(score) > b)) if bounds else F.lit(0)
-    ties = preds.groupBy(*by, score).agg(F.sum(F.col(label).cast("double")).alias("p"), F.sum(1.0 - F.col(label)).alias("n")).withColumn("_range", cut)
+    ties = ties.withColumn("_range", cut)
     before = lambda keys, at: W.partitionBy(*keys).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
     sums = ties.groupBy(*by, "_range").agg(F.sum("n").alias("_n"))
     sums = sums.select(*by, "_range", F.coalesce(F.sum("_n").over(before(by, "_range")), F.lit(0.0)).alias("_base"))

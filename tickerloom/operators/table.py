@@ -122,9 +122,9 @@ def global_index(df: DataFrame, order: list[str]) -> DataFrame:
     cut = F.size(F.filter(F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]), lambda b: as_number > b)) if bounds else F.lit(0)
     ranged = df.withColumn("_range", F.coalesce(cut, F.lit(0)))
     sizes = ranged.groupBy("_range").count()
-    before = sizes.select("_range", F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each range
+    before = sizes.select(F.abs("_range").alias("_r"), F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each range
     inside = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
-    return ranged.withColumn("_inside", inside).join(F.broadcast(before), "_range").withColumn("idx", F.col("_before") + F.col("_inside")).drop("_range", "_before", "_inside")
+    return ranged.withColumn("_inside", inside).join(F.broadcast(before), F.abs("_range") == F.col("_r")).withColumn("idx", F.col("_before") + F.col("_inside")).drop("_range", "_r", "_before", "_inside")
 
 
 def time_split(df: DataFrame, order: list[str], train: float = 0.7, val: float = 0.15) -> DataFrame:
@@ -163,18 +163,27 @@ def select_variance(df: DataFrame, columns: list[str], least: float = 0.001) ->
     return [c for c in columns if (row[c] or 0) > least] or list(columns)
 
 
-def stratified_folds(df: DataFrame, key: str, label: str, k: int) -> DataFrame:
-    """fold by MD5 order of the key within each class, so that classes are spread evenly.
+def numbered_by_hash(df: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """df with _at, from 0, by MD5 order of the key within each value of `by`, and _n, that value's rows.
 
-    A class's rows are numbered within 256 hash ranges that follow one another, not in one task.
+    Rows are numbered within 256 hash ranges that follow one another, not in one task. Nulls in `by` are values, too.
     """
-    digest = F.md5(F.col(key).cast("string"))
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     ranged = df.withColumn("_h", digest).withColumn("_range", F.substring(digest, 1, 2))
-    sizes = ranged.groupBy(label, "_range").count()
-    before = sizes.select(label, "_range", F.coalesce(F.sum("count").over(W.partitionBy(label).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(W.partitionBy(label, "_range").orderBy("_h", key)) - 1
-    out = ranged.withColumn("_inside", inside).join(before, [label, "_range"])
-    return out.withColumn("fold", ((F.col("_before") + F.col("_inside")) % k).cast("int")).drop("_h", "_range", "_before", "_inside")
+    each = W.partitionBy(*by)  # a row for each range
+    sizes = ranged.groupBy(*by, "_range").agg(F.count("*").alias("_c"))
+    sizes = sizes.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_range").alias("_r"), (F.sum("_c").over(each.orderBy("_range")) - F.col("_c")).alias("_before"), F.sum("_c").over(each).alias("_n"))
+    same = F.col("_range") == F.col("_r")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    inside = F.row_number().over(W.partitionBy(*by, "_range").orderBy("_h", key)) - 1
+    out = ranged.withColumn("_inside", inside).join(sizes, same)
+    return out.withColumn("_at", F.col("_before") + F.col("_inside")).drop("_h", "_range", "_r", "_before", "_inside", *[f"_by{i}" for i in range(len(by))])
+
+
+def stratified_folds(df: DataFrame, key: str, label: str, k: int) -> DataFrame:
+    """fold by MD5 order of the key within each class, so that classes are spread evenly."""
+    return numbered_by_hash(df, key, [label]).withColumn("fold", (F.col("_at") % k).cast("int")).drop("_at", "_n")
 
 
 def sequences(df: DataFrame, features: list[str], by: list[str], order: list[str], length: int = 10) -> DataFrame:

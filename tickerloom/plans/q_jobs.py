@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from tickerloom.functions.text import BEARISH, BULLISH
 from tickerloom.operators import models as L
 from tickerloom.operators import scoring as C
 from tickerloom.operators import table as O
+from tickerloom.operators.staging import folder
 from tickerloom.plans.q_text import _has
 from tickerloom.plans.registry import query
 from tickerloom.sources import files as S
@@ -20,16 +19,10 @@ _MD5 = "CAST(concat('0x', substr(md5(CAST(row_id AS STRING)), 1, 8)) AS BIGINT)"
 FEATURES = ["open", "high", "low", "close", "volume"]
 
 
-def folder(spark) -> str:
-    """A new folder that the driver and the executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/jobs-{uuid.uuid4().hex}"
-
-
 def training(t):
     """Bars with the next close's direction as label."""
     bars = t.bars.withColumn("next", F.lead("close").over(W.partitionBy("symbol").orderBy("date"))).dropna(subset=["next"])
-    return bars.select(F.concat("symbol", F.lit("-"), F.col("date").cast("string")).alias("row_id"), "symbol", (F.col("next") > F.col("close")).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    return bars.select(F.concat("symbol", F.lit("-"), F.col("date").cast("string")).alias("row_id"), "symbol", "date", (F.col("next") > F.col("close")).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
 
 
 # Models
@@ -37,19 +30,22 @@ query("ml_scale_standard", "WITH s AS (SELECT avg(close) AS m, stddev_pop(close)
     lambda t: O.scale_standard(t.bars.select("symbol", "date", "close"), ["close"], t.bars.where("date < '1997-01-01'")).withColumn("close", F.round("close", 5))
 )
 query("ml_select_variance", "SELECT row_id, f_median FROM features", "features")(lambda t: t.features.select("row_id", *O.select_variance(t.features, ["f_median", "f_const"])))
-query("ml_sample_split", f"SELECT row_id, {_MD5} % 5 < 4 AS train FROM features", "features")(lambda t: t.features.select("row_id", (O.hash_mod(F.col("row_id"), 5) < 4).alias("train")))
+query("ml_sample_split", f"SELECT row_id, {_MD5} % 5 < 4 AS train, row_number() OVER (PARTITION BY symbol ORDER BY md5(CAST(row_id AS STRING)), row_id) <= floor(count(*) OVER (PARTITION BY symbol) * 0.8e0 + 0.5e0) AS stratified FROM features", "features")(
+    lambda t: L.stratified_split(t.features.select("row_id", "symbol"), "row_id", "symbol").select("row_id", (O.hash_mod(F.col("row_id"), 5) < 4).alias("train"), F.col("train").alias("stratified"))
+)
 query("ml_stratified_folds", "SELECT row_id, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS STRING)), row_id) - 1) % 5 AS INT) AS fold FROM preds", "preds")(lambda t: O.stratified_folds(t.preds.select("row_id", "label"), "row_id", "label", 5).select("row_id", "fold"))
 query("ml_blend_mean", """WITH s AS (SELECT row_id, label, score AS a, (row_id % 101) / 101e0 AS b FROM preds), l AS (SELECT 'a' AS model, label, a AS score FROM s UNION ALL SELECT 'b', label, b FROM s UNION ALL SELECT 'blend', label, (0e0 + a + b) / 2 FROM s),
 r AS (SELECT *, rank() OVER (PARTITION BY model ORDER BY score) + (count(*) OVER (PARTITION BY model, score) - 1) / 2e0 AS k FROM l), u AS (SELECT model, (sum(k) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2e0) / (sum(label) * (count(*) - sum(label))) AS auc FROM r GROUP BY model)
 SELECT round(max(auc) FILTER (WHERE model = 'blend'), 6) AS blend_auc, round(max(auc) FILTER (WHERE model <> 'blend'), 6) AS best_auc FROM u""", "preds")(
     lambda t: L.blend_measures(t.preds.select("label", F.col("score").alias("a"), ((F.col("row_id") % 101) / 101.0).alias("b")), ["a", "b"]).select(F.round("blend_auc", 6).alias("blend_auc"), F.round("best_auc", 6).alias("best_auc"))
 )
-query("ml_select_l1")(lambda t: L.select_l1(training(t), FEATURES))
-query("ml_train_pooled")(lambda t: L.train_pooled(training(t), FEATURES, "row_id"))
+query("ml_select_l1")(lambda t: L.select_l1(training(t), FEATURES, "row_id"))
+query("ml_train_pooled")(lambda t: L.train_pooled(training(t), FEATURES, "row_id", ["date", "symbol"]))
 query("ml_train_per_symbol")(lambda t: L.train_per_group(training(t), FEATURES, "row_id"))
 query("ml_train_per_sector")(lambda t: L.train_per_group(training(t).withColumn("sector", (F.substring("symbol", 2, 1).cast("int") % 3).cast("string")), FEATURES, "row_id", "sector").withColumnRenamed("symbol", "sector"))
 query("ml_oof")(lambda t: L.fold_measures(L.out_of_fold(training(t), FEATURES, "row_id")))
-query("ml_calibrate")(lambda t: L.calibrate(t.preds.select("row_id", "label", "score")))
+query("ml_calibrate")(lambda t: L.calibrate(t.preds.select("row_id", "label", "score"), "row_id"))
+query("ml_calibration_bins")(lambda t: L.reliability(L.calibrate(t.preds.select("row_id", "label", "score"), "row_id")))
 query("ml_stack")(lambda t: L.stack(L.out_of_fold(training(t), FEATURES, "row_id"), "row_id"))
 query("ml_param_sweep")(lambda t: L.sweep(training(t), FEATURES, "row_id"))
 query("ml_importance")(lambda t: L.importance(training(t), FEATURES, "row_id"))
