@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions import text as T
 from tickerloom.operators import metrics as M
+from tickerloom.operators import posts as P
 from tickerloom.operators import sentiment as S
 from tickerloom.operators import table as O
 from tickerloom.plans.q_text import artifact_kind
@@ -184,27 +185,29 @@ def _symbols(t):
     return F.broadcast(t.spark.createDataFrame([(s, i) for i, s in enumerate(_KNOWN)], "symbol string, pos int"))
 
 
+_ABOUT = (*_KNOWN, *[s for s in T.KEYWORDS if s not in _KNOWN])
+_ABOUT_VALUES = "(VALUES " + ", ".join(f"('{s}', {i})" for i, s in enumerate(_ABOUT)) + ") k(symbol, pos)"
 _VALUES = "(VALUES " + ", ".join(f"('{s}', {i})" for i, s in enumerate(_KNOWN)) + ") k(symbol, pos)"
 query("join_cashtag_multi", f"SELECT tweet_id, symbol FROM tweet_text JOIN {_VALUES} ON contains(upper(text), concat('$', symbol))", "tweet_text")(lambda t: t.tweet_text.join(_symbols(t), F.contains(F.upper("text"), F.concat(F.lit("$"), "symbol"))).select("tweet_id", "symbol"))
-_KW = [(s, k) for s in _KNOWN for k in T.KEYWORDS.get(s, ())]
+_KW = [(s, k) for s in _ABOUT for k in T.KEYWORDS.get(s, ())]
+#: Tags of the rules that a post matched, as the stream gives them.
+_TAGS = "CASE tweet_id % 6 WHEN 0 THEN 'cashtag_TSLA' WHEN 1 THEN 'financial_keywords,company_MSFT' WHEN 2 THEN 'company_V,cashtag_AAPL,cashtag_NOPE' ELSE '' END"
 
 
-@query("join_symbol_scored", f"""WITH tags AS (SELECT tweet_id, unnest(regexp_extract_all(upper(text), '\\$([A-Z]{{1,5}})', 1)) AS symbol FROM tweet_text),
-e AS (SELECT tweet_id, symbol, 1e0 AS w FROM tags JOIN {_VALUES} USING (symbol) UNION ALL
-SELECT tweet_id, symbol, 0.5e0 FROM tweet_text JOIN (VALUES {", ".join(f"('{s}', '{k}')" for s, k in _KW)}) q(symbol, word) ON contains(lower(text), word)),
+@query("join_symbol_scored", f"""WITH said AS (SELECT tweet_id, unnest(regexp_extract_all(upper(text), '\\$([A-Z]{{1,5}})', 1)) AS symbol FROM tweet_text),
+tags AS (SELECT tweet_id, unnest(string_split({_TAGS}, ',')) AS tag FROM tweet_text),
+e AS (SELECT tweet_id, symbol, 10 AS w FROM said UNION ALL SELECT tweet_id, tag[9:], 9 FROM tags WHERE starts_with(tag, 'cashtag_') UNION ALL SELECT tweet_id, tag[9:], 7 FROM tags WHERE starts_with(tag, 'company_') UNION ALL
+SELECT tweet_id, symbol, 5 FROM tweet_text JOIN (VALUES {", ".join(f"('{s}', '{k}')" for s, k in _KW)}) q(symbol, word) ON contains(lower(text), word)),
 s AS (SELECT tweet_id, symbol, sum(w) AS score FROM e GROUP BY ALL),
-r AS (SELECT tweet_id, symbol, score, row_number() OVER (PARTITION BY tweet_id ORDER BY score DESC, pos) AS k FROM s JOIN {_VALUES} USING (symbol))
-SELECT tweet_id, symbol, least(1e0, score) AS confidence FROM r WHERE k = 1""", "tweet_text")
+r AS (SELECT tweet_id, symbol, score, row_number() OVER (PARTITION BY tweet_id ORDER BY score DESC, pos) AS k FROM s JOIN {_ABOUT_VALUES} USING (symbol))
+SELECT tweet_id, symbol, least(10, score) / 10e0 AS confidence FROM r WHERE k = 1""", "tweet_text")
 def join_symbol_scored(t):
-    tags = t.tweet_text.select("tweet_id", F.explode(T.cashtags(F.col("text"))).alias("symbol")).join(_symbols(t), "symbol").select("tweet_id", "symbol", F.lit(1.0).alias("w"))
-    words = F.broadcast(t.spark.createDataFrame(_KW, "symbol string, word string"))
-    said = t.tweet_text.join(words, F.contains(F.lower("text"), F.col("word"))).select("tweet_id", "symbol", F.lit(0.5).alias("w"))
-    scored = tags.unionByName(said).groupBy("tweet_id", "symbol").agg(F.sum("w").alias("score")).join(_symbols(t), "symbol")
-    return scored.groupBy("tweet_id").agg(F.max(F.struct("score", (-F.col("pos")).alias("pos"), "symbol")).alias("b")).select("tweet_id", "b.symbol", F.least(F.lit(1.0), F.col("b.score")).alias("confidence"))
+    found = t.tweet_text.select("tweet_id", P.best_symbol(F.col("text"), F.split(F.expr(_TAGS), ","), _ABOUT).alias("b"))
+    return found.where("b is not null").select("tweet_id", "b.symbol", "b.confidence")
 
 
-query("join_symbol_first", "SELECT tweet_id, CASE " + " ".join(f"WHEN contains(upper(text), '${s}') THEN '{s}'" for s in _KNOWN) + " END AS symbol FROM tweet_text", "tweet_text")(
-    lambda t: t.tweet_text.select("tweet_id", F.get(F.filter(F.array(*[F.lit(s) for s in _KNOWN]), lambda s: F.contains(F.upper("text"), F.concat(F.lit("$"), s))), F.lit(0)).alias("symbol"))
+query("join_symbol_first", f"SELECT tweet_id, coalesce(replace(replace(list_filter(string_split({_TAGS}, ','), lambda x: starts_with(x, 'cashtag_') OR starts_with(x, 'company_'))[1], 'cashtag_', ''), 'company_', ''), CASE " + " ".join(f"WHEN contains(upper(text), '${s}') THEN '{s}'" for s in _KNOWN) + " END) AS symbol FROM tweet_text", "tweet_text")(
+    lambda t: t.tweet_text.select("tweet_id", P.first_symbol(F.col("text"), F.split(F.expr(_TAGS), ","), _KNOWN).alias("symbol"))
 )
 query("join_oof_target", "SELECT p.row_id, p.score, e.value AS target FROM preds p JOIN events e ON p.row_id = e.event_id", "preds")(lambda t: t.preds.join(t.events.select(F.col("event_id").alias("row_id"), F.col("value").alias("target")), "row_id").select("row_id", "score", "target"))
 _MD5 = "CAST(concat('0x', substr(md5(CAST(row_id AS STRING)), 1, 8)) AS BIGINT)"

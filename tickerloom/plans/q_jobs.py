@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions.text import BEARISH, BULLISH
 from tickerloom.operators import models as L
+from tickerloom.operators import posts as P
 from tickerloom.operators import scoring as C
 from tickerloom.operators import table as O
 from tickerloom.operators.staging import folder
@@ -14,6 +15,7 @@ from tickerloom.plans.q_text import _has
 from tickerloom.plans.registry import query
 from tickerloom.sources import files as S
 from tickerloom.streaming import jobs as J
+from tickerloom.streaming import log as G
 
 _MD5 = "CAST(concat('0x', substr(md5(CAST(row_id AS STRING)), 1, 8)) AS BIGINT)"
 FEATURES = ["open", "high", "low", "close", "volume"]
@@ -171,11 +173,12 @@ def src_symbol_list(t):
     return S.read_symbols(t.spark, path)
 
 
-@query("src_metrics_json", "SELECT job_name, count(*) AS n FROM trials GROUP BY job_name", "trials")
+@query("src_metrics_json", "SELECT split_part(file, '_', 1) AS model, replace(split_part(file, '_', 2), '.json', '') AS symbol, count(*) AS runs, max(best_value) AS best_value FROM results GROUP BY ALL", "results")
 def src_metrics_json(t):
+    """Result files named model_symbol.json, each an object over several lines; model and symbol come from the name alone."""
     path = folder(t.spark)
-    t.trials.groupBy("job_name").agg(F.count("*").alias("n")).repartition(64, "job_name").write.json(path)
-    return S.read_results(t.spark, path, "job_name string, n bigint").select("job_name", "n")
+    S.write_named_json(t.results.groupBy("file").agg(F.count("*").alias("runs"), F.max("best_value").alias("best_value")), path, "file")
+    return S.read_results(t.spark, path, "runs bigint, best_value double")
 
 
 @query("src_file_listing")
@@ -225,7 +228,27 @@ def _drained(t, stream, parts=()):
 
 _ST = "SELECT tweet_id, symbol, sentiment_positive FROM tweets"
 _keep = ("tweet_id", "symbol", "sentiment_positive")
-query("st_ingest", _ST, "tweets")(lambda t: _drained(t, _stream(t)).select(*_keep))
+_RULES = "CASE tweet_id % 6 WHEN 0 THEN 'cashtag_TSLA' WHEN 1 THEN 'financial_keywords,company_MSFT,cashtag_V' ELSE '' END"
+
+
+@query("st_ingest", f"SELECT tweet_id, coalesce(CASE tweet_id % 6 WHEN 0 THEN 'TSLA' WHEN 1 THEN 'MSFT' END, CASE WHEN contains(upper(text), '$AAPL') THEN 'AAPL' WHEN contains(upper(text), '$TSLA') THEN 'TSLA' END) AS symbol, {_RULES} AS rules, coalesce(retweet_count, 0) AS retweet_count, coalesce(like_count, 0) AS like_count, 0 AS quote_count FROM tweet_text", "tweet_text")
+def st_ingest(t):
+    """The posts as records of a log, read by two runs of one job with a restart between them."""
+    path = folder(t.spark)
+    stream = P.projected(G.records(t.spark, path=path + "/log", suffix=".txt", bytes_per_read=str(1 << 18)), ("AAPL", "TSLA"))
+    for half in range(2):
+        _log(t.tweet_text.where(F.col("tweet_id") % 2 == half), path + "/log")
+        J.drain(stream, path + "/out", path + "/state")
+    got = t.spark.read.schema(stream.schema).parquet(path + "/out")
+    return got.select("tweet_id", "symbol", F.array_join("rules", ",").alias("rules"), "retweet_count", "like_count", "quote_count")
+
+
+def _log(posts, path):
+    """Appends posts to the log as JSON records with metrics and rules."""
+    rules = F.transform(F.filter(F.split(F.expr(_RULES), ","), lambda x: x != ""), lambda x: F.struct(F.lit("1").alias("id"), x.alias("tag")))
+    metrics = F.struct("retweet_count", "like_count")
+    record = F.struct(F.col("tweet_id").alias("id"), "text", F.lit("2024-01-05T10:00:00.000Z").alias("created_at"), "lang", metrics.alias("public_metrics"), rules.alias("matching_rules"))
+    posts.select(F.to_json(record)).write.mode("append").text(path)
 
 
 @query("st_drain", _ST, "tweets")
@@ -239,11 +262,11 @@ def st_drain(t):
 
 @query("st_microbatch_flush", _ST, "tweets")
 def st_microbatch_flush(t):
-    """The running job, whose micro-batches end by files of so many records or by the clock, until it has caught up."""
-    path, stream = folder(t.spark), _stream(t)
-    job = J.start(stream, path + "/out", path + "/state", every="1 second")
+    """The running job, whose buffers (one for each symbol) let 100 rows go at a time and by the clock what is left."""
+    path, stream = folder(t.spark), J.flushed(_stream(t), "symbol", rows=100, seconds=2.0)
+    job = stream.writeStream.format("parquet").option("path", path + "/out").option("checkpointLocation", path + "/state").trigger(processingTime="0 seconds").start()
     try:
-        job.processAllAvailable()
+        J.settle(job)
     finally:
         job.stop()
     return t.spark.read.schema(stream.schema).parquet(path + "/out").select(*_keep)
@@ -267,11 +290,18 @@ query("st_symbol_fanout", f"SELECT tweet_id, symbol FROM tweet_text JOIN {_FAN}
     lambda t: _drained(t, J.fan_out(_text_stream(t), t.spark.createDataFrame([("AAPL",), ("TSLA",), ("V",), ("VZ",)], "symbol string")).select("tweet_id", "symbol"))
 )
 query("st_incremental_score", f"SELECT tweet_id, round(u * 1e0 / (u + d + 2), 6) AS positive FROM (SELECT tweet_id, {_U} AS u, {_B} AS d FROM tweet_text)", "tweet_text")(lambda t: _drained(t, J.scores(_text_stream(t)).select("tweet_id", F.round("positive", 6).alias("positive"))))
-query("st_sent_windows")(lambda t: _drained(t, J.sentiment_windows(J.posts(J.read_events(t.spark, *_all_events(t), files_per_trigger=1 << 30)), 60)))
-
-
-def _all_events(t):
-    """The events' folder, of several files that are taken in one batch, so that no row is late; and their schema."""
-    path = folder(t.spark)
-    t.events.repartition(4).write.parquet(path)
-    return path, t.events.schema
+_WIDE = """SELECT {m} AS width, symbol, w AS start, round(greatest(-1e0, least(1e0, (p - n) * c)), 9) AS value FROM (SELECT symbol, time_bucket(INTERVAL '{m} minutes', created_at) AS w, avg(sentiment_positive) AS p, avg(sentiment_negative) AS n, avg(sentiment_confidence) AS c FROM tweets GROUP BY ALL)
+WHERE c > 0 AND w + INTERVAL '{m} minutes' <= (SELECT max(created_at) FROM tweets) - INTERVAL '10 minutes'"""
+
+
+@query("st_sent_windows", " UNION ALL ".join(_WIDE.format(m=m) for m in J.WIDTHS), "tweets")
+def st_sent_windows(t):
+    """Windows of all widths that the watermark has passed, of posts that come in the order of time in five files, a batch each."""
+    path, n = folder(t.spark), 5
+    bounds = t.events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("x")).stat.approxQuantile("x", [i / n for i in range(1, n)], 0.01)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = t.events.where((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    out = _drained(t, J.sentiment_windows(J.posts(J.read_events(t.spark, path, t.events.schema))))
+    return out.select("width", "symbol", F.col("start").cast("timestamp_ntz").alias("start"), F.round("value", 9).alias("value"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,11 +52,31 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("symbol")).where("symbol <> ''")
 
 
+def write_named_json(rows: DataFrame, path: str, name: str) -> None:
+    """A JSON file for each row, over several lines, named by the column `name`; tasks write files of their own, and a task that runs again writes the same."""
+    rest = [c for c in rows.columns if c != name]
+
+    def write(batches):
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.create_dir(base, recursive=True)
+        for batch in batches:
+            for file, value in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
+                with fs.open_output_stream(f"{base}/{file}") as out:
+                    out.write(json.dumps(json.loads(value), indent=2).encode())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    rows.select(F.col(name).alias("file"), F.to_json(F.struct(*rest)).alias("value")).mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
 def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Many small JSON files of one value each, or of one a line, with model and symbol of names such as model_symbol.json."""
-    rows = spark.read.schema(schema).json(path)
+    """Many small JSON files, each an object or an array of them over any number of lines, with model and symbol of names such as model_symbol.json.
+
+    A model's name may have underscores; a file whose name has none gives a null symbol. What isn't JSON gives nulls.
+    """
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    return rows.withColumn("model", F.split_part(stem, F.lit("_"), F.lit(1))).withColumn("symbol", F.split_part(stem, F.lit("_"), F.lit(-1)))
+    symbol = F.when(F.contains(stem, F.lit("_")), F.substring_index(stem, "_", -1))
+    return rows.select(F.regexp_replace(stem, "_[^_]*$", "").alias("model"), symbol.alias("symbol"), "*")
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:

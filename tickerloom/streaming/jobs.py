@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tickerloom.functions.text import clip
 from tickerloom.operators.scoring import scored
@@ -51,9 +55,79 @@ def scores(stream: DataFrame, scorer=None) -> DataFrame:
     return scored(stream, scorer)
 
 
-def sentiment_windows(stream: DataFrame, minutes: int, late: str = "10 minutes") -> DataFrame:
-    """symbol, start, value: tumbling windows, closed once the watermark has passed them."""
+WIDTHS = (5, 10, 60)  # minutes; each a multiple of the one before
+
+
+def sentiment_windows(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """width, symbol, start, value: tumbling windows of 5, 10 and 60 minutes, each given once the watermark has passed it.
+
+    Posts are summed and counted by five minutes; the longer windows sum those up, in a chain, and all widths leave in one
+    stream. Posts that come after the watermark has passed their five minutes don't count.
+    """
     shares = ("sentiment_positive", "sentiment_negative", "sentiment_confidence")
-    means = stream.withWatermark("created_at", late).groupBy("symbol", F.window("created_at", f"{minutes} minutes").alias("w")).agg(*[F.avg(c).alias(c) for c in shares])
-    value = clip((F.col("sentiment_positive") - F.col("sentiment_negative")) * F.col("sentiment_confidence"), -1.0, 1.0)
-    return means.where("sentiment_confidence > 0").select("symbol", F.col("w.start").alias("start"), value.alias("value"))
+    sums = {f"s{i}": F.sum(c) for i, c in enumerate(shares)} | {f"n{i}": F.count(c) for i, c in enumerate(shares)}
+    level = stream.withWatermark("created_at", late).groupBy("symbol", F.window("created_at", f"{WIDTHS[0]} minutes").alias("w")).agg(*[x.alias(c) for c, x in sums.items()])
+    levels = [level]
+    for width in WIDTHS[1:]:
+        level = level.withColumn("at", F.window_time("w")).groupBy("symbol", F.window("at", f"{width} minutes").alias("w")).agg(*[F.sum(c).alias(c) for c in sums])
+        levels.append(level)
+    p, n, c = (F.try_divide(f"s{i}", F.nullif(F.col(f"n{i}"), F.lit(0))) for i in range(3))
+    parts = [x.where(c > 0).select(F.lit(m).alias("width"), "symbol", F.col("w.start").alias("start"), clip((p - n) * c, -1.0, 1.0).alias("value")) for m, x in zip(WIDTHS, levels)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_AT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def flushed(stream: DataFrame, key: str | None = None, rows: int = 100, seconds: float = 300.0) -> DataFrame:
+    """The rows of the stream with flush and reason: a buffer of each key lets `rows` rows go at a time, or what it has once its first is `seconds` old.
+
+    reason is rows or time; flush names the rows that left together. A buffer holds fewer than `rows` rows and is kept in
+    the state store; keys spread over tasks. Without a key there is one buffer.
+    """
+    names = stream.columns
+    packed = stream.select((F.col(key).cast("string") if key else F.lit("")).alias("_key"), F.to_json(F.struct(*names), _AT).alias("_row"))
+
+    def flush(group, frames, state):
+        now = state.getCurrentProcessingTimeMs()
+        since, count, held = state.get if state.exists else (now, 0, [])
+        held, out = list(held), []
+
+        def leave(n: int, reason: str) -> None:
+            nonlocal since, count, held
+            out.append(pd.DataFrame({"_key": group[0], "flush": f"{since}-{count}", "reason": reason, "_row": held[:n]}))
+            held, since, count = held[n:], now, count + 1
+
+        if held and now >= since + seconds * 1000:
+            leave(len(held), "time")
+        for frame in frames:
+            for row in frame["_row"]:
+                since = since if held else now
+                held.append(row)
+                if len(held) == rows:
+                    leave(rows, "rows")
+        if held:
+            state.update((since, count, held))
+            state.setTimeoutDuration(max(1, int(since + seconds * 1000 - now)))
+        elif state.exists:
+            state.remove()
+        yield from out
+
+    out = packed.groupBy("_key").applyInPandasWithState(flush, "_key string, flush string, reason string, _row string", "since long, count long, held array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return out.select("flush", "reason", F.from_json("_row", stream.schema, _AT).alias("_r")).select("flush", "reason", "_r.*")
+
+
+def settle(job, most: float = 60.0) -> None:
+    """Waits until the running job has read all that there is and its buffers are empty; an error if that takes too long.
+
+    A job with timers runs batches without rows, too, so it never counts as done by itself.
+    """
+    began = time.monotonic()
+    while time.monotonic() - began < most:
+        if job.exception():
+            raise job.exception()
+        last = job.lastProgress
+        if last and last["numInputRows"] == 0 and not job.status["isDataAvailable"] and all(s["numRowsTotal"] == 0 for s in last["stateOperators"]):
+            return
+        time.sleep(0.2)
+    raise TimeoutError(f"the job still has rows to read or buffers to empty: {job.lastProgress}")
