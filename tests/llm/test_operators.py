@@ -754,3 +754,9 @@ def test_queries_have_what_the_contract_names(spark):
     from tickerloom.llm import queries
 
     assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+def test_lm_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, other = ({r.doc_id: r.score for r in lmscore.text_scores(docs.repartition(n)).collect()} for n in (1, 5))
+    assert one.keys() == other.keys() and all(abs(one[d] - other[d]) <= 1e-6 * abs(one[d]) for d in one)
