@@ -44,7 +44,7 @@ def test_windows_of_all_widths_over_several_batches(spark):
         spark.createDataFrame(rows[120 * i : 120 * (i + 1)], kind).coalesce(1).write.mode("append").parquet(path + "/in")
     last = start + dt.timedelta(minutes=2 * 599)
     spark.createDataFrame([*late, (last, "z", 0.0, 0.0, 0.0)], kind).coalesce(1).write.mode("append").parquet(path + "/in")
-    stream = J.sentiment_windows(J.read_events(spark, path + "/in", spark.createDataFrame([], kind).schema))
+    stream = J.all_sentiment_windows(J.read_events(spark, path + "/in", spark.createDataFrame([], kind).schema))
     job = stream.writeStream.outputMode("append").option("checkpointLocation", path + "/state").format("parquet").option("path", path + "/out").trigger(availableNow=True).start()
     assert job.awaitTermination(100)
     assert sum(p["numInputRows"] > 0 for p in job.recentProgress) >= 4

@@ -303,5 +303,5 @@ def st_sent_windows(t):
     for low, high in zip([None, *bounds], [*bounds, None]):
         part = t.events.where((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
         part.coalesce(1).write.mode("append").parquet(path)
-    out = _drained(t, J.sentiment_windows(J.posts(J.read_events(t.spark, path, t.events.schema))))
+    out = _drained(t, J.all_sentiment_windows(J.posts(J.read_events(t.spark, path, t.events.schema))))
     return out.select("width", "symbol", F.col("start").cast("timestamp_ntz").alias("start"), F.round("value", 9).alias("value"))

@@ -55,10 +55,18 @@ def scores(stream: DataFrame, scorer=None) -> DataFrame:
     return scored(stream, scorer)
 
 
+def sentiment_windows(stream: DataFrame, minutes: int, late: str = "10 minutes") -> DataFrame:
+    """symbol, start, value: tumbling windows, closed once the watermark has passed them."""
+    shares = ("sentiment_positive", "sentiment_negative", "sentiment_confidence")
+    means = stream.withWatermark("created_at", late).groupBy("symbol", F.window("created_at", f"{minutes} minutes").alias("w")).agg(*[F.avg(c).alias(c) for c in shares])
+    value = clip((F.col("sentiment_positive") - F.col("sentiment_negative")) * F.col("sentiment_confidence"), -1.0, 1.0)
+    return means.where("sentiment_confidence > 0").select("symbol", F.col("w.start").alias("start"), value.alias("value"))
+
+
 WIDTHS = (5, 10, 60)  # minutes; each a multiple of the one before
 
 
-def sentiment_windows(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
+def all_sentiment_windows(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
     """width, symbol, start, value: tumbling windows of 5, 10 and 60 minutes, each given once the watermark has passed it.
 
     Posts are summed and counted by five minutes; the longer windows sum those up, in a chain, and all widths leave in one
