@@ -676,7 +676,7 @@ def test_field_finds_masked_repeats_and_leaves_others(spark):
 def test_field_weights_favour_equal_labels():
     rng = random.Random(5)
     texts = [f"{' '.join(prose(rng, 9))} +1 {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)} and {' '.join(prose(rng, 9))}" for _ in range(200)]
-    w, near, far, skip = pii.fit([tuple(pii.example(t, i).values()) for i, t in enumerate(texts)])
+    w, near, far, skip, *_ = pii.fit([tuple(pii.example(t, i).values()) for i, t in enumerate(texts)])
     phone = pii.LABELS.index("phone")
     assert skip[phone, phone] > skip[phone, 0] and (skip != 0).any() and np.allclose(skip, skip.T)
     one = pii.example("1234567 x " * 5000, 1)
@@ -684,6 +684,67 @@ def test_field_weights_favour_equal_labels():
 
 
 # 2
+def repeated(rng: random.Random, kind: str, k: int, gap: int, first: bool, other: bool) -> tuple[str, set, set]:
+    """A text with an entity, k repeats of it as no pattern knows them, and perhaps k others of that shape; spans of both."""
+    if kind == "phone":
+        x = f"+1 {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+        digits = re.sub("[^0-9]", "", x)[-10:]
+        y, z = f"{digits[:3]}-{digits[3:6]}-{digits[6:]}", f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    else:
+        local, host = f"{''.join(prose(rng, 2))}.{rng.randint(1, 99)}", "".join(prose(rng, 2))
+        x, y, z = f"{local}@{host}.org", f"{local} [at] {host}.org", f"{''.join(prose(rng, 3))}.{rng.randint(1, 99)} [at] {''.join(prose(rng, 3))}.org"
+    parts = [(y, 1)] * k
+    parts = ([(x, 2), *parts] if first else [*parts, (x, 2)]) + [(z, 0)] * (k if other else 0)
+    text, spans = "", {0: set(), 1: set(), 2: set()}
+    for part, label in parts:
+        text += " ".join(prose(rng, gap)) + " "
+        spans[label].add((len(text), len(text) + len(part)))
+        text += part + " "
+    return text, spans[1], spans[0]
+
+
+def test_all_repeats_of_an_entity_are_found(spark):
+    """2 to 50 repeats, near and far, before and after the entity, after words that the field never saw; learned from few texts."""
+    rng = random.Random(21)
+    teach = [(i, " ".join(prose(rng, 20)) + (f" +1 {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)} " if i % 2 else f" {''.join(prose(rng, 2))}.{i}@mail.example.com ") + " ".join(prose(rng, 9))) for i in range(40)]
+    cases = [(1000 + i, *repeated(rng, *case)) for i, case in enumerate(itertools.product(("phone", "email"), (2, 5, 12, 50), (2, 40), (True, False), (True, False)))]
+    table = spark.createDataFrame([*teach, *((i, text) for i, text, _, _ in cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(table).collect()}
+    for kind, mine in (("phone", cases[: len(cases) // 2]), ("email", cases[len(cases) // 2 :])):
+        hit = sum(f"{kind}:{a}:{b}" in got[i].spans.split(",") for i, _, want, _ in mine for a, b in want)
+        wrong = sum(f":{a}:{b}" in got[i].spans for i, _, _, others in mine for a, b in others)
+        assert hit >= 0.9 * sum(len(want) for _, _, want, _ in mine) and wrong <= 0.05 * sum(len(others) for _, _, _, others in mine)
+
+
+def test_repeats_are_linked_to_their_entity():
+    text = "a +1 415 555 0100 b 415-555-0100 c 415-555-0100 d bob.smith@x.org e bob.smith [at] x.org f bob.smlth [at] x.org g 22415-555-0100"
+    nodes = pii.Nodes(text, pii.base_spans(text))
+    skips = {(i, j, pii.EDGES[kind]) for i, j, kind in nodes.edges if kind > 1}
+    assert skips == {(0, 1, "tail"), (0, 2, "tail"), (1, 2, "again"), (3, 4, "same"), (3, 5, "typo"), (4, 5, "alike"), (0, 6, "longer"), (2, 6, "alike")}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_beliefs_are_those_of_all_labellings(seed):
+    """Exact on trees, near on loops: against the sum over all labellings of graphs of up to 8 nodes."""
+    rng = np.random.default_rng(seed)
+    n, k, loops = int(rng.integers(2, 9)), 3, seed % 2
+    node, tables = rng.normal(0, 1, (n, k)), rng.normal(0, 0.4, (2, k, k)) + 0.6 * np.eye(k)
+    tables = (tables + tables.transpose(0, 2, 1)) / 2
+    edges = [(int(rng.integers(0, j)), j, int(rng.integers(0, 2))) for j in range(1, n)]
+    edges += [(i, j, 1) for i, j in itertools.combinations(range(n), 2) if loops and rng.random() < 0.15]
+    labellings = np.array(list(itertools.product(range(k), repeat=n)))
+    score = node[np.arange(n), labellings].sum(1) + sum(tables[e][labellings[:, i], labellings[:, j]] for i, j, e in edges)
+    weight = np.exp(score - score.max())
+    want = np.array([[weight[labellings[:, i] == c].sum() for c in range(k)] for i in range(n)]) / weight.sum()
+    assert np.abs(pii.marginals(node, edges, tables) - want).max() < (0.1 if loops else 2e-3)
+
+
+def test_messages_settle_in_contradictory_loops():
+    edges = [(0, 1, 0), (1, 2, 0), (0, 2, 0)]
+    p = pii.marginals(np.zeros((3, 2)) + [0.1, 0], edges, np.array([[[-9.0, 9], [9, -9]]]))
+    assert np.isfinite(p).all() and np.allclose(p.sum(1), 1)
+
+
 def test_licences(spark, docs, none):
     rng = random.Random(8)
     filler = lambda: " ".join(prose(rng, 25))
