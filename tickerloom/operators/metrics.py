@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickerloom.operators.ranges import exact_medians
 from tickerloom.operators.staging import staged
 
 
@@ -44,10 +45,18 @@ def long_form(df: DataFrame, columns: list[str], keys: tuple[str, ...] = ()) ->
     return df.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("x")).select(*keys, "x.feature", "x.value")
 
 
+def median_of(medians: dict[str, float | None]) -> Column:
+    """The median of the row's feature."""
+    found = F.lit(None).cast("double")
+    for name, m in medians.items():
+        found = F.when(F.col("feature") == name, F.lit(m).cast("double")).otherwise(found)
+    return found
+
+
 def baseline_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """feature, rows, null_share, mean, std, min, max, median."""
-    v = F.col("value")
-    return long_form(df, columns).groupBy("feature").agg(F.count("*").alias("rows"), F.avg(v.isNull().cast("double")).alias("null_share"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.median(v).alias("median"))
+    """feature, rows, null_share, mean, std, min, max, median (exact, selected by ranges)."""
+    v, mid = F.col("value"), median_of(exact_medians(df, columns))
+    return long_form(df, columns).groupBy("feature").agg(F.count("*").alias("rows"), F.avg(v.isNull().cast("double")).alias("null_share"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")).withColumn("median", mid)
 
 
 def drift(baseline: DataFrame, current: DataFrame, limit: float = 0.1) -> DataFrame:

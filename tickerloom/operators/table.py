@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickerloom.operators.ranges import carried_forward, exact_medians, range_of
+
 NUMERIC = ("double", "float", "bigint", "int", "smallint", "tinyint")
 
 
@@ -28,14 +30,13 @@ def drop_sparse(df: DataFrame, columns: list[str], most: float = 0.30) -> DataFr
 
 def impute_median(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Exact medians of fit_on (df by default) in place of nulls."""
-    row = (df if fit_on is None else fit_on).agg(*[F.median(c).alias(c) for c in columns]).first()
-    return df.fillna({c: row[c] for c in columns if row[c] is not None})
+    medians = exact_medians(df if fit_on is None else fit_on, columns)
+    return df.fillna({c: m for c, m in medians.items() if m is not None})
 
 
 def impute_ffill(df: DataFrame, columns: list[str], by: list[str], order: list[str]) -> DataFrame:
-    """The last value before, in order within `by`. Keys with many rows need an order that a range can cut."""
-    w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    """The last value before, in order within `by`; the order begins with a number or a date, by whose ranges rows are spread."""
+    return carried_forward(df, columns, by, order)
 
 
 def impute_group_mean(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
@@ -114,13 +115,7 @@ def global_index(df: DataFrame, order: list[str]) -> DataFrame:
     Rows are counted by ranges of the order's first column, cut at sampled quantiles; each range is numbered by itself
     from where the ranges before it end. So no task gets all rows, and a plan that runs twice numbers alike.
     """
-    first = F.col(order[0])
-    kind = dict(df.dtypes)[order[0]]
-    as_number = F.unix_date(first).cast("double") if kind == "date" else first.cast("double")
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = [b for b in df.select(as_number.alias("x")).stat.approxQuantile("x", [i / n for i in range(1, n)], 0.001)] if n > 1 else []
-    cut = F.size(F.filter(F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]), lambda b: as_number > b)) if bounds else F.lit(0)
-    ranged = df.withColumn("_range", F.coalesce(cut, F.lit(0)))
+    ranged = df.withColumn("_range", range_of(df, order[0]))
     sizes = ranged.groupBy("_range").count()
     before = sizes.select(F.abs("_range").alias("_r"), F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each range
     inside = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1

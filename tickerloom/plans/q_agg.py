@@ -10,6 +10,7 @@ from tickerloom.operators import metrics as M
 from tickerloom.operators import posts as P
 from tickerloom.operators import sentiment as S
 from tickerloom.operators import table as O
+from tickerloom.operators.ranges import ascending, exact_medians
 from tickerloom.plans.q_text import artifact_kind
 from tickerloom.plans.registry import query
 
@@ -99,7 +100,7 @@ query("agg_null_profile", f"SELECT feature, count(value) = 0 AS all_null, round(
 query("agg_distinct_targets", "SELECT 'target_next_day' AS feature, count(DISTINCT target_next_day) AS n FROM features", "features")(lambda t: t.features.agg(*[F.countDistinct(c).alias("n") for c in t.features.columns if "target" in c or "direction" in c]).select(F.lit("target_next_day").alias("feature"), "n"))
 query("agg_value_counts", "SELECT label, count(*) AS n FROM preds GROUP BY label", "preds")(lambda t: t.preds.groupBy("label").agg(F.count("*").alias("n")))
 query("agg_column_stats", "SELECT round(avg(f_median), 2) AS mean, round(stddev_samp(f_median), 2) AS std, min(f_median) AS lo, max(f_median) AS hi FROM features", "features")(lambda t: t.features.agg(F.round(F.avg("f_median"), 2).alias("mean"), F.round(F.stddev_samp("f_median"), 2).alias("std"), F.min("f_median").alias("lo"), F.max("f_median").alias("hi")))
-query("agg_column_summary_all", f"SELECT feature, round(median(value), 4) AS mid, min(value) AS lo, max(value) AS hi FROM {_LONG} GROUP BY feature", "features")(lambda t: M.long_form(t.features, list(_COLS)).groupBy("feature").agg(F.round(F.median("value"), 4).alias("mid"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+query("agg_column_summary_all", f"SELECT feature, round(median(value), 4) AS mid, min(value) AS lo, max(value) AS hi FROM {_LONG} GROUP BY feature", "features")(lambda t: M.long_form(t.features, list(_COLS)).groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).withColumn("mid", F.round(M.median_of(exact_medians(t.features, list(_COLS))), 4)))
 query("agg_date_span", "SELECT symbol, min(date) AS first, max(date) AS last FROM bars GROUP BY symbol", "bars")(lambda t: t.bars.groupBy("symbol").agg(F.min("date").alias("first"), F.max("date").alias("last")))
 _NEXT = "nx AS (SELECT symbol, date, close, volume, lead(close) OVER (PARTITION BY symbol ORDER BY date) / close - 1 AS r FROM bars)"
 
@@ -126,7 +127,7 @@ query("agg_trial_stats", "SELECT job_name, count(objective_value) AS n, round(av
 )
 query("agg_trials_by_source", "SELECT data_source, array_to_string(list_sort(list(DISTINCT job_name)), ',') AS jobs FROM trials GROUP BY data_source", "trials")(lambda t: t.trials.groupBy("data_source").agg(F.array_join(F.sort_array(F.collect_set("job_name")), ",").alias("jobs")))
 query("agg_trial_summary", "SELECT count(*) AS total, count(objective_value) AS completed, round(100e0 * count(objective_value) / count(*), 4) AS success_pct, max(objective_value) AS best, min(objective_value) AS worst, round(avg(objective_value), 6) AS mean, round(median(objective_value), 6) AS mid, round(stddev_samp(objective_value), 6) AS std FROM trials", "trials")(
-    lambda t: t.trials.agg(F.count("*").alias("total"), F.count(_o()).alias("completed"), F.round(100.0 * F.count(_o()) / F.count("*"), 4).alias("success_pct"), F.max(_o()).alias("best"), F.min(_o()).alias("worst"), F.round(F.avg(_o()), 6).alias("mean"), F.round(F.median(_o()), 6).alias("mid"), F.round(F.stddev_samp(_o()), 6).alias("std"))
+    lambda t: t.trials.agg(F.count("*").alias("total"), F.count(_o()).alias("completed"), F.round(100.0 * F.count(_o()) / F.count("*"), 4).alias("success_pct"), F.max(_o()).alias("best"), F.min(_o()).alias("worst"), F.round(F.avg(_o()), 6).alias("mean"), F.round(F.lit(exact_medians(t.trials, ["objective_value"])["objective_value"]), 6).alias("mid"), F.round(F.stddev_samp(_o()), 6).alias("std"))
 )
 @query("agg_trial_upper_median", "SELECT job_name, list_sort(list(objective_value) FILTER (WHERE objective_value IS NOT NULL))[count(objective_value) // 2 + 1] AS mid FROM trials GROUP BY job_name", "trials")
 def agg_trial_upper_median(t):
@@ -259,7 +260,7 @@ query("win_sequences", "SELECT symbol, date, CAST(len(s) AS INT) AS steps, array
     lambda t: O.sequences(t.bars, list(_CENTS), ["symbol"], ["date"]).select("symbol", "date", F.size("sequence").alias("steps"), F.array_join(F.transform("sequence", lambda r: F.array_join(F.transform(r, lambda x: F.round(x * 100).cast("long").cast("string")), ",")), ";").alias("sequence"))
 )
 query("win_ordered", "SELECT symbol, count(*) FILTER (WHERE d < p) = 0 AS ordered FROM (SELECT symbol, date AS d, lag(date) OVER (PARTITION BY symbol ORDER BY volume, date) AS p FROM bars) GROUP BY symbol", "bars")(
-    lambda t: t.bars.select("symbol", "date", F.lag("date").over(W.partitionBy("symbol").orderBy("volume", "date")).alias("p")).groupBy("symbol").agg((F.count_if(F.col("date") < F.col("p")) == 0).alias("ordered"))
+    lambda t: ascending(t.bars.select("symbol", "date", "volume"), "date", ["symbol"], ["volume", "date"])
 )
 query("win_latest_two", "SELECT symbol, round(max(close) FILTER (WHERE k = 1) - max(close) FILTER (WHERE k = 2), 4) AS change FROM (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM bars) GROUP BY symbol", "bars")(
     lambda t: t.bars.withColumn("k", F.row_number().over(W.partitionBy("symbol").orderBy(F.desc("date")))).where("k <= 2").groupBy("symbol").agg(F.round(F.max(F.when(F.col("k") == 1, F.col("close"))) - F.max(F.when(F.col("k") == 2, F.col("close"))), 4).alias("change"))
