@@ -205,7 +205,7 @@ def repeats(text: str, base: list[tuple[int, int, int]], rng: random.Random) ->
     return out + " " + rng.choice(words), truth
 
 
-def fit(rows: list[tuple], rounds: int = 1500) -> tuple[np.ndarray, ...]:
+def fit(rows: list[tuple], rounds: int = 1000) -> tuple[np.ndarray, ...]:
     """Weights of features and of the edges of each kind in EDGES. rows: a document's (features, marks, labels, edges) each.
 
     Pseudo-likelihood: each node given its features and its neighbours' labels, with an L2 penalty. A label of -1 is open (a
@@ -248,7 +248,7 @@ def fit(rows: list[tuple], rounds: int = 1500) -> tuple[np.ndarray, ...]:
         by_edge = (by_edge + by_edge.transpose(0, 2, 1)) / 2  # an edge has no direction
         g_a = np.trace(by_edge, axis1=1, axis2=2) * SHARED
         g_a[:_SAME] = 0  # neighbours of the chain need not agree
-        moved_w, moved_t, moved_a = 0.9 * moved_w - 0.5 * g_w, 0.9 * moved_t - 0.5 * (by_edge + 3e-4 * tables), 0.9 * moved_a - 0.5 * (g_a + 3e-5 * agree * SHARED)
+        moved_w, moved_t, moved_a = 0.9 * moved_w - g_w, 0.9 * moved_t - (by_edge + 3e-4 * tables), 0.9 * moved_a - (g_a + 3e-5 * agree * SHARED)
         w, tables, agree = w + moved_w, tables + moved_t, agree + moved_a
     return w, *(tables + agree[:, None, None] * np.eye(k))
 
