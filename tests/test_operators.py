@@ -117,3 +117,21 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     missing = set(want) - set(got)
     assert got == {k: want[k] for k in got} and len(missing) <= 0.05 * len(want)
     assert not missing or min(s for _, s in missing) >= max(s for _, s in got) - dt.timedelta(hours=2)
+
+
+def test_momentum_by_a_plain_loop(spark):
+    """Equal times, one post, no weight, a null key; no trailing window over a key's sorted posts is in the plan."""
+    at = lambda h, m=0: dt.datetime(2024, 1, 5, h, m)
+    times = {"a": [at(0), at(3), at(6), at(7), at(11)], "b": [at(1), at(9), at(9)], "c": [at(2)], "z": [at(4), at(5)], None: [at(1), at(5), at(8, 59)]}
+    rows = [(i * 10 + j, s, t, (j % 4) / 4, (j % 3) / 6, 0.0 if s == "z" else (j + 1) / 8) for i, (s, ts) in enumerate(times.items()) for j, t in enumerate(ts)]
+    df = spark.createDataFrame(rows, "tweet_id long, symbol string, created_at timestamp_ntz, sentiment_positive double, sentiment_negative double, sentiment_confidence double")
+    got = S.momentum(df)
+    assert "rangeframe" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    want = {}
+    for s, ts in times.items():
+        def mean(end):
+            near = [r for r in rows if r[1] == s and end - dt.timedelta(hours=4) < r[2] <= end]
+            return sum((r[3] - r[4]) * r[5] for r in near) / c if (c := sum(r[5] for r in near)) else 0.0
+        ends = sorted(ts)[-2:]
+        want[s] = max(-1, min(1, mean(ends[-1]) - mean(ends[0]))) if len(ends) > 1 else 0.0
+    assert {r.symbol: round(r.momentum, 12) for r in got.collect()} == {s: round(x, 12) for s, x in want.items()} and abs(want["a"]) > 0.01

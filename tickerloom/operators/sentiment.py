@@ -58,13 +58,19 @@ def volatility(posts: DataFrame) -> DataFrame:
 def momentum(posts: DataFrame, hours: int = 4) -> DataFrame:
     """Last minus second last trailing mean of the day: each over (t - hours, t], weighted by confidence; 0 for one post."""
     rows = with_date(posts).where("sentiment_confidence is not null").withColumn("at", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', created_at)"))
-    day = W.partitionBy(*KEYS)
-    trailing = day.orderBy("at").rangeBetween(-hours * 3_600_000_000 + 1, 0)
+    back = F.row_number().over(W.partitionBy(*KEYS).orderBy(F.desc("at"), F.desc("tweet_id")))
+    last = rows.select(*KEYS, "at", "tweet_id").withColumn("back", back).where("back <= 2")  # each task hands on two rows of a key
+    ends = last.groupBy(*KEYS).agg(*[F.max(F.when(F.col("back") == k, F.col("at"))).alias(f"end{k}") for k in (1, 2)])
     c = F.col("sentiment_confidence")
-    mean = F.try_divide(F.sum((F.col("sentiment_positive") - F.col("sentiment_negative")) * c).over(trailing), F.nullif(F.sum(c).over(trailing), F.lit(0.0)))
-    order = day.orderBy("at", "tweet_id")
-    steps = rows.withColumn("mean", F.coalesce(mean, F.lit(0.0))).withColumn("before", F.lag("mean").over(order)).withColumn("back", F.row_number().over(day.orderBy(F.desc("at"), F.desc("tweet_id"))))
-    return steps.where("back = 1").select(*KEYS, F.coalesce(clip(F.col("mean") - F.col("before"), -1.0, 1.0), F.lit(0.0)).alias("momentum"))
+    within = lambda k: (F.col("at") > F.col(f"end{k}") - hours * 3_600_000_000) & (F.col("at") <= F.col(f"end{k}"))
+    sums = [F.sum(F.when(within(k), x)).alias(f"{n}{k}") for k in (1, 2) for n, x in (("x", (F.col("sentiment_positive") - F.col("sentiment_negative")) * c), ("c", c))]
+    ends = ends.withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    near = F.coalesce(F.col("at") > F.coalesce("end2", "end1") - hours * 3_600_000_000, F.lit(True))
+    both = rows.join(ends, same).where(near).groupBy(*KEYS).agg(F.max("end2").alias("end2"), *sums)
+    mean = lambda k: F.coalesce(F.try_divide(f"x{k}", F.nullif(f"c{k}", F.lit(0.0))), F.lit(0.0))
+    step = F.when(F.col("end2").isNotNull(), clip(mean(1) - mean(2), -1.0, 1.0))
+    return both.select(*KEYS, F.coalesce(step, F.lit(0.0)).alias("momentum"))
 
 
 def rolled(posts: DataFrame) -> DataFrame:
