@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -103,3 +104,24 @@ def test_best_symbol(spark, text, tags, want):
     """Ties go to the first listed symbol."""
     row = spark.createDataFrame([(text, tags)], "text string, tags array<string>").select(P.best_symbol(F.col("text"), F.col("tags"), ("AAPL", "TSLA", "V", "MA")).alias("b")).first()
     assert (row.b and tuple(row.b)) == want
+
+
+def test_settle_waits_for_a_job_that_works(spark):
+    """Batches that each take longer than the time without progress that settle allows are waited for."""
+    path = folder(spark)
+
+    @F.udf("long")
+    def slow(i):
+        time.sleep(0.03)
+        return i
+
+    rows = spark.range(100).select("id")
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(path + "/in")
+    stream = J.flushed(J.read_events(spark, path + "/in", rows.schema).select(slow("id").alias("id")), rows=100, seconds=1)
+    job = stream.writeStream.format("parquet").option("path", path + "/out").option("checkpointLocation", path + "/state").trigger(processingTime="0 seconds").start()
+    try:
+        J.settle(job, most=2.5)
+    finally:
+        job.stop()
+    assert spark.read.parquet(path + "/out").count() == 200

@@ -126,16 +126,25 @@ def flushed(stream: DataFrame, key: str | None = None, rows: int = 100, seconds:
 
 
 def settle(job, most: float = 60.0) -> None:
-    """Waits until the running job has read all that there is and its buffers are empty; an error if that takes too long.
+    """Waits until the running job has read all that there is and its buffers are empty, however long it works on that.
 
-    A job with timers runs batches without rows, too, so it never counts as done by itself.
+    An error if for `most` seconds no batch runs, or batches end that neither read a row nor change what the buffers hold. A
+    batch that runs counts as work. A job with timers runs batches without rows, too, so it never counts as done by itself.
     """
-    began = time.monotonic()
-    while time.monotonic() - began < most:
+    moved, seen, held = time.monotonic(), None, None
+    while True:
         if job.exception():
             raise job.exception()
-        last = job.lastProgress
-        if last and last["numInputRows"] == 0 and not job.status["isDataAvailable"] and all(s["numRowsTotal"] == 0 for s in last["stateOperators"]):
-            return
+        last, status = job.lastProgress, job.status
+        if last and last["batchId"] != seen:
+            before, seen, held = held, last["batchId"], [s["numRowsTotal"] for s in last["stateOperators"]]
+            if last["numInputRows"] or held != before:
+                moved = time.monotonic()
+            if last["numInputRows"] == 0 and not status["isDataAvailable"] and not any(held):
+                return
+            stuck = time.monotonic() - moved > most
+        else:
+            stuck = not status["isTriggerActive"] and time.monotonic() - moved > most
+        if stuck:
+            raise TimeoutError(f"the job still has rows to read or buffers to empty: {last}")
         time.sleep(0.2)
-    raise TimeoutError(f"the job still has rows to read or buffers to empty: {job.lastProgress}")
