@@ -125,3 +125,13 @@ def test_settle_waits_for_a_job_that_works(spark):
     finally:
         job.stop()
     assert spark.read.parquet(path + "/out").count() == 200
+
+
+def test_a_batch_writes_one_file_in_each_folder(spark):
+    """Also where it reads several files, a task each."""
+    path = folder(spark)
+    rows = spark.range(4000).select("id", (F.col("id") % 5).alias("k"))
+    rows.repartition(8).write.parquet(path + "/in")
+    J.drain(J.read_events(spark, path + "/in", rows.schema, 8), path + "/out", path + "/state", ("k",))
+    out = spark.read.parquet(path + "/out")
+    assert out.count() == 4000 and len(out.inputFiles()) == 5

@@ -213,11 +213,16 @@ def snk_oof(t):
 
 
 # Streams, each run until its input is used up
+def _files(t, rows, order=()):
+    """The rows as a stream of files, as many as the rows have partitions (four at least), in four batches; by order, if given, as posts come."""
+    path, n = folder(t.spark), rows.rdd.getNumPartitions()
+    dealt = rows.repartitionByRange(max(4, n), *order) if order else rows if n >= 4 else rows.repartition(4)
+    dealt.write.parquet(path)
+    return J.read_events(t.spark, path, rows.schema, -(-max(4, n) // 4))
+
+
 def _stream(t):
-    """The events as a stream of several files."""
-    path = folder(t.spark)
-    t.events.repartition(4).write.parquet(path)
-    return J.posts(J.read_events(t.spark, path, t.events.schema))
+    return J.posts(_files(t, t.events, ("ts", "event_id")))
 
 
 def _drained(t, stream, parts=()):
@@ -280,9 +285,7 @@ def st_partitioned_sink(t):
 
 
 def _text_stream(t):
-    path = folder(t.spark)
-    t.tweet_text.repartition(4).write.parquet(path)
-    return J.read_events(t.spark, path, t.tweet_text.schema)
+    return _files(t, t.tweet_text)
 
 
 _FAN = "(VALUES ('AAPL'), ('TSLA'), ('V'), ('VZ')) k(symbol)"

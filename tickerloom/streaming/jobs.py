@@ -29,8 +29,12 @@ def posts(events: DataFrame) -> DataFrame:
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), mode: str = "append") -> None:
-    """Runs the stream until all that is there has been written, exactly once, and stops."""
-    out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).format("parquet").option("path", path).trigger(availableNow=True)
+    """Runs the stream until all that is there has been written, exactly once, and stops.
+
+    With partition_by, a batch's rows are dealt by those columns first, so that it writes one file in each folder, not one for each task.
+    """
+    rows = stream.repartition(*partition_by) if partition_by else stream
+    out = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).format("parquet").option("path", path).trigger(availableNow=True)
     (out.partitionBy(*partition_by) if partition_by else out).start().awaitTermination()
 
 
@@ -41,8 +45,9 @@ def with_parts(stream: DataFrame) -> DataFrame:
 
 def start(stream: DataFrame, path: str, checkpoint: str, every: str = "300 seconds"):
     """A running job that writes by symbol, day and hour in micro-batches; a failed batch is done again from the checkpoint."""
-    out = with_parts(stream).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return out.partitionBy("symbol", "date", "hour").trigger(processingTime=every).start()
+    parts = ("symbol", "date", "hour")
+    out = with_parts(stream).repartition(*parts).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return out.partitionBy(*parts).trigger(processingTime=every).start()
 
 
 def fan_out(stream: DataFrame, symbols: DataFrame) -> DataFrame:
