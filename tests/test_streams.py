@@ -135,3 +135,17 @@ def test_a_batch_writes_one_file_in_each_folder(spark):
     J.drain(J.read_events(spark, path + "/in", rows.schema, 8), path + "/out", path + "/state", ("k",))
     out = spark.read.parquet(path + "/out")
     assert out.count() == 4000 and len(out.inputFiles()) == 5
+
+
+def test_stream_files_are_as_many_as_the_input_has_partitions(spark):
+    """Four batches of files that each are no larger than a partition of the input; four files at least."""
+    from types import SimpleNamespace
+
+    from tickerloom.plans import q_jobs
+
+    t = SimpleNamespace(spark=spark)
+    for n, files in ((1, 4), (10, 10)):
+        path = folder(spark)
+        J.drain(q_jobs._files(t, spark.range(0, 1000, 1, n)).withColumn("file", F.input_file_name()), path + "/out", path + "/state")
+        out = spark.read.parquet(path + "/out")
+        assert out.count() == 1000 and out.select("file").distinct().count() == files
