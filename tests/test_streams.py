@@ -149,3 +149,11 @@ def test_stream_files_are_as_many_as_the_input_has_partitions(spark):
         J.drain(q_jobs._files(t, spark.range(0, 1000, 1, n)).withColumn("file", F.input_file_name()), path + "/out", path + "/state")
         out = spark.read.parquet(path + "/out")
         assert out.count() == 1000 and out.select("file").distinct().count() == files
+
+
+def test_best_symbol_looks_through_a_text_once(spark):
+    """The pattern of keywords is in the plan's projection once and not again in its filter's other terms."""
+    rows = spark.range(3).select(F.concat(F.lit("Tesla visa "), F.col("id")).alias("text"), F.array(F.lit("company_V")).alias("tags"))
+    b = P.best_symbol(F.col("text"), F.col("tags"), ("TSLA", "V"))
+    got = rows.select(b.alias("b"))
+    assert got._jdf.queryExecution().analyzed().toString().count("regexp_extract_all(lower(") == 1 and [r.b.symbol for r in got.collect()] == ["V"] * 3

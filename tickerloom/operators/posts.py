@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,16 @@ METRICS = ("retweet_count", "like_count", "reply_count", "quote_count")
 WEIGHTS = {"cashtag": 10, "cashtag_": 9, "company_": 7, "keyword": 5}
 
 
+def _pattern(words: list[str]) -> str:
+    """A pattern that takes the longest of the words at a place; at each letter it goes on with the words that have it."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    more = [re.escape(c) + _pattern(rest) for c, rest in heads.items()]
+    return "" if not more else f"(?:{'|'.join(more)})" + ("?" if "" in words else "")
+
+
 def contained(text: Column, words: list[str]) -> Column:
     """Those of the words (lower case, none empty) that the lower-cased text contains, overlaps included, in one pass over it.
 
@@ -23,11 +34,17 @@ def contained(text: Column, words: list[str]) -> Column:
     """
     words = sorted(set(words), key=lambda w: (-len(w), w))
     begin = {w: [v for v in words if w.startswith(v)] for w in words}
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("(?=(" + "|".join(map(re.escape, words)) + "))"), F.lit(1)))
+    starts = "".join(sorted({re.escape(w[0]) for w in words}))
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=[{starts}])(?=({_pattern(words)}))"), F.lit(1)))
     more = F.create_map(*[x for w in words for x in (F.lit(w), F.array(*map(F.lit, begin[w])))])
     return F.array_distinct(F.flatten(F.transform(found, lambda w: more[w])))
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), which evaluates value once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def evidence(text: Column, tags: Column, symbols: tuple[str, ...], keywords: dict[str, tuple[str, ...]] = KEYWORDS) -> Column:
     """array<struct<symbol, weight>>: every cashtag, tag of a rule and keyword that speaks for one of the symbols. Null text is empty."""
     text = F.coalesce(text, F.lit(""))
@@ -55,9 +72,13 @@ def best_symbol(text: Column, tags: Column, symbols: tuple[str, ...], keywords:
     """struct<symbol, confidence>: the symbol with most evidence, the first listed of ties, and min(1, evidence); null without any."""
     found = F.coalesce(evidence(text, tags, symbols, keywords), F.array().cast("array<struct<symbol:string,weight:int>>"))
     place = F.create_map(*[x for i, s in enumerate(symbols) for x in (F.lit(s), F.lit(-i))])
-    total = lambda s: F.aggregate(F.filter(found, lambda e: e["symbol"] == s), F.lit(0), lambda a, e: a + e["weight"])
-    best = F.array_max(F.transform(F.array_distinct(F.transform(found, lambda e: e["symbol"])), lambda s: F.struct(total(s).alias("weight"), place[s].alias("place"), s.alias("symbol"))))
-    return F.when(best.isNotNull(), F.struct(best["symbol"].alias("symbol"), (F.least(F.lit(10), best["weight"]) / F.lit(10.0)).alias("confidence")))
+
+    def most(found: Column) -> Column:
+        total = lambda s: F.aggregate(F.filter(found, lambda e: e["symbol"] == s), F.lit(0), lambda a, e: a + e["weight"])
+        return F.array_max(F.transform(F.array_distinct(F.transform(found, lambda e: e["symbol"])), lambda s: F.struct(total(s).alias("weight"), place[s].alias("place"), s.alias("symbol"))))
+
+    shown = lambda best: F.when(best.isNotNull(), F.struct(best["symbol"].alias("symbol"), (F.least(F.lit(10), best["weight"]) / F.lit(10.0)).alias("confidence")))
+    return _once(_once(found, most), shown)
 
 
 def first_symbol(text: Column, tags: Column, symbols: tuple[str, ...], default: str | None = None) -> Column:
