@@ -151,6 +151,15 @@ def test_stream_files_are_as_many_as_the_input_has_partitions(spark):
         assert out.count() == 1000 and out.select("file").distinct().count() == files
 
 
+def test_reads_of_a_long_batch():
+    """No more reads than READS while each is below MOST_BYTES; they cover all bytes once."""
+    reader = G.LogReader({"path": "/none", "bytes_per_read": "100"})
+    for size, most in ((1000, 10), (10_000_000, G.READS), (2 * G.READS * G.MOST_BYTES, 2 * G.READS)):
+        parts = reader.partitions({"a": 7}, {"a": size, "b": 50})
+        assert len(parts) <= most + 2 and max(p.end - p.begin for p in parts) <= max(100, G.MOST_BYTES)
+        assert sorted((p.begin, p.end) for p in parts if p.path == "a")[0][0] == 7 and sum(p.end - p.begin for p in parts) == size - 7 + 50
+
+
 def test_best_symbol_looks_through_a_text_once(spark):
     """The pattern of keywords is in the plan's projection once and not again in its filter's other terms."""
     rows = spark.range(3).select(F.concat(F.lit("Tesla visa "), F.col("id")).alias("text"), F.array(F.lit("company_V")).alias("tags"))

@@ -1,7 +1,8 @@
 """A stream source over a folder of logs: files that only grow, a record a line, read by byte offsets.
 
 Offsets are {file: bytes}, so a run that starts again reads on from where its checkpoint ends, and a batch that failed is read
-again byte by byte. A batch takes all whole lines that there are, cut into reads of bytes_per_read, a task each.
+again byte by byte. A batch takes all whole lines that there are, cut into reads of bytes_per_read, a task each;
+long batches into longer ones, so that tasks don't grow with the bytes.
 Paths go through pyarrow's file systems, for the driver and the executors alike.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from tickerloom.operators.posts import RECORD
 
 CHUNK = 1 << 20
+READS, MOST_BYTES = 256, 64 << 20  # a batch of more than READS reads gets longer ones, of MOST_BYTES at most
 
 
 @dataclass
@@ -63,7 +66,8 @@ class LogReader(DataSourceStreamReader):
         return out
 
     def partitions(self, start: dict, end: dict) -> list[Stretch]:
-        return [Stretch(name, at, min(at + self.each, to)) for name, to in sorted(end.items()) for at in range(start.get(name, 0), to, self.each)]
+        each = max(self.each, min(MOST_BYTES, -(-sum(to - start.get(name, 0) for name, to in end.items()) // READS)))
+        return [Stretch(name, at, min(at + each, to)) for name, to in sorted(end.items()) for at in range(start.get(name, 0), to, each)]
 
     def read(self, partition: Stretch):
         """The lines that begin in the stretch."""
@@ -78,10 +82,14 @@ class LogReader(DataSourceStreamReader):
                 data = f.read(min(CHUNK, end - at))
                 at += len(data)
                 *lines, rest = (rest + data).split(b"\n")
+                rows = []
                 for line in lines:
                     if line:
-                        yield line.decode("utf-8", "replace"), partition.path, begin
+                        rows.append((line.decode("utf-8", "replace"), begin))
                     begin += len(line) + 1
+                if rows:
+                    values, offsets = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(values, pa.string()), pa.array([partition.path] * len(rows), pa.string()), pa.array(offsets, pa.int64())], ["value", "file", "offset"])
 
     def commit(self, end: dict) -> None:
         pass
