@@ -821,3 +821,24 @@ def test_lm_scores_do_not_depend_on_the_layout(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one, other = ({r.doc_id: r.score for r in lmscore.text_scores(docs.repartition(n)).collect()} for n in (1, 5))
     assert one.keys() == other.keys() and all(abs(one[d] - other[d]) <= 1e-6 * abs(one[d]) for d in one)
+
+
+def test_lm_learns_from_all_windows():
+    """The units of the pass give every window of every training text, with its context."""
+    with open(lmscore.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    end, given = len(lmscore._blank(ranks)), lambda: None
+    given.value = ranks
+    texts = [" ".join(f"w{i * j % 997}" for j in range(n)) for i, n in enumerate((0, 1, 5000, 40, 9000))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "text": texts, "held_out": [False, False, False, True, False]})
+    (chunk,) = lmscore._chunks(given, end)([batch])
+    given.value = model = lmscore.Model(np.ones(end + 1), np.r_[lmscore._blank(ranks), True])
+    want = [w for b in lmscore._taught(given, end, 1)([chunk]) for w in b.column("window").to_pylist()]
+    got = []
+    for b in lmscore._units(end, 3)([chunk]):
+        for lead, ids in zip(b.column("lead").to_pylist(), b.column("ids").to_pylist()):
+            ids = lmscore._unzip(ids, "<u4").astype(np.int64)
+            x, target = model.windows(ids, np.array([0, len(ids)]), leads=np.array([lead]))
+            assert len(x) <= lmscore.UNIT
+            got += [r.tobytes() for r in np.hstack([x, model.classes(ids, target)]).astype("<i2")]
+    assert len(want) > 3 * lmscore.UNIT and sorted(got) == sorted(want)
