@@ -15,12 +15,14 @@ CRC-32, the digits.
 
 from __future__ import annotations
 
+import codecs
 import os
 import struct
 import uuid
 import zlib
 from functools import lru_cache
 from itertools import chain, filterfalse
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -195,12 +197,12 @@ def _coded(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) -
         hashed >>= five
         hashed &= low
         slots = tables + hashed
-        held = memory.take(slots)
+        held = memory.take(slots, mode="clip")
         well, known = held >> 16, held & 0xFFFF
         guess = np.where(well[0] > 0, known[0], known[1])
         places = sixteens + well
         places[1] += (known[1] == guess) << 4
-        odd = odds.take(places)
+        odd = odds.take(places, mode="clip")
         _STRETCH.take(odd >> 4, out=stretch[:2], mode="clip")
         order0.stretch.take(guess, out=stretch[2], mode="clip")
         mixed = np.einsum("ij,ij->j", weights, stretch) >> 16
@@ -295,14 +297,22 @@ def _tokenizer(path: str):
 
 def _gathered(begin: np.ndarray, size: np.ndarray, flat: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of units one after the other, and each unit's number of ids."""
-    sizes = size[units]
+    sizes = size.take(units, mode="clip")
     ends = np.cumsum(sizes)
-    return flat[np.repeat(begin[units] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
+    at = np.repeat(begin.take(units, mode="clip") - ends + sizes, sizes)
+    at += np.arange(len(at))
+    return flat.take(at, mode="clip"), sizes
 
 
 #: Bytes of letters beyond ASCII as the letters that the vocabulary has for them: a byte that doesn't print has one from 256 on.
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-_LETTERS = {c: "".join(chr(256 + _HIDDEN.index(b) if b in _HIDDEN else b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+_LETTERS = "".join(chr(256 + _HIDDEN.index(b)) if b in _HIDDEN and b != 10 else chr(b) for b in range(256))  # but for the line feed, which stands between words
+_ID = attrgetter("id")
+
+
+def _strings(column) -> list[str]:
+    """Arrow strings without nulls as a list; to_pylist makes a scalar of each first, which takes several times as long."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 class Tokens:
@@ -328,10 +338,16 @@ class Tokens:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _latin(self, words: list[str]) -> tuple[list, list]:
-        model = self.tokenizer.model.tokenize
-        each = [[t.id for t in model(w if w.isascii() else w.lower().translate(_LETTERS))] for w in words]
-        return [np.fromiter(chain.from_iterable(each), np.uint16)], [np.fromiter(map(len, each), np.int64, len(each))]
+    def _ascii(self, words: list[str]) -> tuple[list, list]:
+        model, flats, sizes = self.tokenizer.model.tokenize, [], []
+        for i in range(0, len(words), self.LOT):  # in lots, so that few tokens live at once
+            each = list(map(model, words[i : i + self.LOT]))
+            sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+            flats.append(np.fromiter(map(_ID, chain.from_iterable(each)), np.uint16, int(sizes[-1].sum())))
+        return flats, sizes
+
+    def _accented(self, words: list[str]) -> tuple[list, list]:
+        return self._ascii(codecs.charmap_decode("\n".join(words).lower().encode(), "strict", _LETTERS)[0].split("\n"))
 
     def _marked(self, words: list[str]) -> tuple[list, list]:
         flats, sizes = [], []
@@ -351,9 +367,9 @@ class Tokens:
 
     def _learn(self, new: list[str]) -> None:
         words = pa.array(new, pa.large_string())
-        latin = pc.match_substring_regex(words, self.LATIN)
-        rest = words.filter(pc.invert(latin)).to_pylist()
-        ways = {self._latin: words.filter(latin).to_pylist(), self._marked: [w for w in rest if not (self.MARK in w or "<|" in w)], self._alone: [w for w in rest if self.MARK in w or "<|" in w]}
+        latin, ascii = pc.match_substring_regex(words, self.LATIN), pc.string_is_ascii(words)
+        rest = _strings(words.filter(pc.invert(latin)))
+        ways = {self._ascii: _strings(words.filter(pc.and_(latin, ascii))), self._accented: _strings(words.filter(pc.and_not(latin, ascii))), self._marked: [w for w in rest if not (self.MARK in w or "<|" in w)], self._alone: [w for w in rest if self.MARK in w or "<|" in w]}
         for way, words in ways.items():
             if words:
                 flats, sizes = way(words)
@@ -374,13 +390,13 @@ class Tokens:
         word = pc.if_else(pc.and_not(pc.string_is_ascii(word), pc.match_substring(word, "<|")), pc.ascii_lower(word), word)
         core = pc.if_else(pc.string_is_ascii(word), pc.ascii_lower(core), core)
         parts = pa.chunked_array([pc.if_else(cut, core, word), _tails(word, core, cut)]).combine_chunks().dictionary_encode()
-        units = parts.dictionary.to_pylist()
+        units = _strings(parts.dictionary)
         new = list(filterfalse(self.place.__contains__, units))
         if len(self.place) + len(new) > MEMO:
             self._forget()
             new = units
         self._learn(new)
-        at = np.array(list(map(self.place.__getitem__, units)), np.int64)[parts.indices.to_numpy()]
+        at = np.fromiter(map(self.place.__getitem__, units), np.int64, len(units)).take(parts.indices.to_numpy(), mode="clip")
         n = len(word)
         flat, sizes = _gathered(self.begin, self.size, self.flat, at.reshape(2, n).T.ravel())
         flat, size = np.r_[flat, np.uint16(end)], np.r_[sizes.reshape(n, 2).sum(1), 1]
