@@ -842,3 +842,39 @@ def test_lm_learns_from_all_windows():
             assert len(x) <= lmscore.UNIT
             got += [r.tobytes() for r in np.hstack([x, model.classes(ids, target)]).astype("<i2")]
     assert len(want) > 3 * lmscore.UNIT and sorted(got) == sorted(want)
+
+
+def test_lm_counts_by_parts_are_those_of_dictionaries():
+    """Keys of several chunks, packed by ranges of hashes, against counting them one by one; packed they take few bytes."""
+    with open(lmscore.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    given, rng = lambda: None, random.Random(4)
+    given.value, stock, rows = ranks, prose(rng, 3000), []
+    for c in range(3):
+        texts = [" ".join(rng.choice(stock) for _ in range(rng.randint(0, 400))) for _ in range(60)] + [" ".join(prose(rng, 5))] * 3
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(63)), "text": texts, "held_out": [i % 3 == c for i in range(63)]})
+        rows += [{"chunk": c} | r for r in next(lmscore._chunks(given, len(lmscore._blank(ranks)))([batch])).to_pylist()]
+    chunks = pa.RecordBatch.from_pylist(rows)
+    asked = [r for b in lmscore._asked([chunks]) for r in b.to_pylist()]
+    assert [r["n_keys"] for r in rows] == [sum(r["chunk"] == c for r in asked) for c in range(3)]
+    count, mass, types = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in asked:
+        count[r["kind"], r["key"]] += r["n"]
+    for (kind, _), n in count.items():
+        if kind >= 0 and n:
+            mass[kind], types[kind] = mass[kind] + n, types[kind] + 1
+    dealt = pa.Table.from_batches(lmscore._dealt(4)([chunks]))
+    assert len(dealt) == 12 and sum(len(r[c]) for r in dealt.to_pylist() for c in ("keys", "places", "kinds", "counts")) < 14 * len(asked)
+    got, found = {}, []
+    for part in range(4):
+        for r in lmscore._counted(dealt.filter(pa.compute.equal(dealt.column("part"), part))).to_pylist():
+            if r["chunk"] is None:
+                found += zip(r["kinds"], r["types"], r["masses"])
+            else:
+                got |= {(r["chunk"], p): t for p, t in zip(lmscore._unzip(r["places"], "<i4").tolist(), lmscore._unzip(r["totals"], "<i8").tolist())}
+    assert got == {(r["chunk"], r["place"]): count[r["kind"], r["key"]] for r in asked if count[r["kind"], r["key"]] != r["n"]}
+    for want, at in ((types, 1), (mass, 2)):
+        total = collections.Counter()
+        for f in found:
+            total[f[0]] += f[at]
+        assert total == want
