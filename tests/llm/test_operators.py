@@ -878,3 +878,39 @@ def test_lm_counts_by_parts_are_those_of_dictionaries():
         for f in found:
             total[f[0]] += f[at]
         assert total == want
+
+
+def test_lm_gradient_is_that_of_the_halves_and_their_classes(monkeypatch):
+    """Against differences of the cross-entropy in plain sums, also where powers leave the range of floats; a place costs the classes of its half only."""
+    rng = np.random.default_rng(5)
+    model = lm_model(np.r_[rng.integers(0, 50, 700).astype(float), 5], np.r_[rng.random(700) < 0.5, True])
+    model.p["gate"] += rng.standard_normal(len(model.p["gate"])).astype(np.float32) * 0.3
+    ids = rng.integers(0, 701, 200)
+    x, target = model.windows(ids, np.array([0, 45, 46, 200]))
+    y = model.classes(ids, target)
+    size, powers = [], lmscore._powers
+    monkeypatch.setattr(lmscore, "_powers", lambda f: [got := powers(f), size.append(got[0].size)][0])
+
+    def loss():
+        h = model.forward(x)[0].astype(float)
+        at = np.flatnonzero(y.ravel() >= 0)
+        k, begins = y.ravel()[at], y.ravel()[at] < lmscore.HALVES[1].start
+        logits = h[at] @ model.p["out"].astype(float)
+        logits[(np.arange(lmscore.CLASSES) < lmscore.HALVES[1].start) != begins[:, None]] = -np.inf
+        top = logits.max(1)
+        g = h[at] @ model.p["gate"].astype(float)
+        return np.mean(np.logaddexp(0, np.where(begins, -g, g)) + top + np.log(np.exp(logits - top[:, None]).sum(1)) - logits[np.arange(len(at)), k])
+
+    for far in (0.0, 200.0):  # added to all classes alike, which changes no probability
+        model.p["out"][-1] += np.float32(far)
+        size.clear()
+        grad = model.gradient(x, y)
+        assert sum(size) <= x.shape[0] * lmscore.STRIDE * (x.shape[1] + max(h.stop - h.start for h in lmscore.HALVES))
+        for name, a in model.p.items():
+            for at in np.argsort(-np.abs(grad[name]).ravel())[:4]:
+                was, found = a.flat[at], []
+                for step in (0.02, -0.02):
+                    a.flat[at] = was + np.float32(step)
+                    found.append(loss())
+                a.flat[at] = was
+                assert grad[name].flat[at] == pytest.approx((found[0] - found[1]) / 0.04, rel=0.03, abs=3e-4), name
