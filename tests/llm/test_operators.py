@@ -914,3 +914,16 @@ def test_lm_gradient_is_that_of_the_halves_and_their_classes(monkeypatch):
                     found.append(loss())
                 a.flat[at] = was
                 assert grad[name].flat[at] == pytest.approx((found[0] - found[1]) / 0.04, rel=0.03, abs=3e-4), name
+
+
+def test_lm_words_are_joined_alike_in_short_and_long_texts(monkeypatch):
+    """By their bytes' places, and one by one where a text is long; a blank before each, and the same ids as word by word."""
+    with open(lmscore.TOKENIZER, "rb") as f:
+        ranks = f.read()
+    w = lmscore.Words(pa.array(["One é日本 two", None, "x" * 300 + "\u00a0y\tZ"]))
+    at, want = np.array([4, 0, 3, 1, 2]), ["z", "one", "x" * 300 + "\u00a0y", "é日本", "two"]
+    for most in (lmscore.CHUNK_BYTES, 1):
+        monkeypatch.setattr(lmscore, "CHUNK_BYTES", most)
+        assert lmscore.joined(w, at) == "".join(" " + x for x in want) and lmscore.joined(w, at[:0]) == ""
+        ids, lens = lmscore.subwords(lmscore.joined(w, at), ranks, len(at))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])] == [lmscore.encoder(ranks).encode_ordinary(" " + x) for x in want]
