@@ -927,3 +927,43 @@ def test_lm_words_are_joined_alike_in_short_and_long_texts(monkeypatch):
         assert lmscore.joined(w, at) == "".join(" " + x for x in want) and lmscore.joined(w, at[:0]) == ""
         ids, lens = lmscore.subwords(lmscore.joined(w, at), ranks, len(at))
         assert [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])] == [lmscore.encoder(ranks).encode_ordinary(" " + x) for x in want]
+
+
+def test_lm_steps_are_those_of_plain_adam_and_take_no_new_memory():
+    """Against Adam as it is written down, over more steps than the sums of gradients are scaled by; a step's large arrays are there before it."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    model = lm_model(np.r_[rng.integers(0, 50, 1500).astype(float), 5], np.r_[rng.random(1500) < 0.5, True])
+    ids = rng.integers(0, 1501, 128 * lmscore.STRIDE)
+    x, target = model.windows(ids, np.array([0, len(ids)]))
+    y = model.classes(ids, target)
+    tables, was = lmscore.Tables(model.p), {k: a.copy() for k, a in model.p.items()}
+    m, v = ({k: np.zeros(a.shape) for k, a in was.items()} for _ in range(2))
+    for n in range(1, 151):
+        some = rng.permutation(len(x))[: 128 if n == 1 else 5]  # of few windows, so most rows are not seen
+        for k, g in model.gradient(x[some], y[some]).items():
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.99 * v[k] + 0.01 * g.astype(float) ** 2
+            model.p[k] = (model.p[k] - 0.002 * m[k] / (1 - 0.9**n) / (np.sqrt(v[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
+        tables.step(x[some], y[some], 0.002)
+    for k, a in model.p.items():
+        assert np.abs(a - was[k]).max() > 0.01 and np.abs(tables.p[k] - a).max() < 0.02 * np.abs(a - was[k]).max(), k
+    tracemalloc.start()
+    tables.step(x, y, 0.002)
+    assert tracemalloc.get_traced_memory()[1] < 1_200_000
+    tracemalloc.stop()
+
+
+def test_lm_windows_are_those_of_plain_loops():
+    rng = np.random.default_rng(8)
+    model = lm_model(np.r_[rng.integers(0, 50, 700).astype(float), 5], np.r_[rng.random(700) < 0.5, True])
+    ids, starts, leads = rng.integers(0, 701, 120), np.array([0, 1, 3, 40, 41, 65, 120]), np.array([0, 0, 5, 0, 5, 0])
+    x, target = model.windows(ids, starts, leads=leads)
+    want = []
+    for a, b, lead in zip(starts, starts[1:], leads):
+        for begin in range(a + lead, b, lmscore.STRIDE):
+            places = range(begin - lmscore.CONTEXT - 1, begin + lmscore.STRIDE - 1)
+            want.append(([model.input_of[ids[p]] if a <= p < b else model.input_of[-1] for p in places], [p if p < b else -1 for p in range(begin, begin + lmscore.STRIDE)]))
+    assert [(r.tolist(), t.tolist()) for r, t in zip(x, target)] == [([int(c) for c in r], [int(p) for p in t]) for r, t in want]
+    assert model.classes(ids, target).tolist() == [[int(model.class_of[ids[p]]) if p >= 0 else -1 for p in t] for _, t in want]
